@@ -60,28 +60,50 @@ def bounded_sample(rows: DataFrame, group: str, key: str, per_group: int, salt:
     return rows.where(keep).limit(2 * per_group * max(1, len(sizes)))
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], list[dict] | Iterator[dict]]], schema, rows_out: int = 20_000) -> DataFrame:
-    """``mapInArrow`` with a generator over rows: ``make()`` runs once a task and returns the row function.
+def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], dict[str, list]]], fields: str, keep_text: bool = False) -> DataFrame:
+    """Columns computed from whole texts, beside the rows' own columns.
 
-    Output is cut into batches of ``rows_out`` rows, so memory does not depend on what one input batch gives.
+    ``make()`` runs once a task; what it returns takes a list of texts and gives a list for each of ``fields``
+    (a DDL string of new columns, which must not clash with the others: callers prefix theirs). The text itself goes
+    back to Spark only if asked for.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType, _parse_datatype_string
-
-    kind = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
-    arrow = to_arrow_schema(kind)
-
-    def run(batches):
-        row = make()
-        out: list[dict] = []
-        for batch in batches:
-            names = batch.schema.names
-            for values in zip(*(batch.column(i).to_pylist() for i in range(len(names)))):
-                out.extend(row(dict(zip(names, values))))
-                if len(out) >= rows_out:
-                    yield pa.RecordBatch.from_pylist(out, arrow)
-                    out = []
-        if out:
-            yield pa.RecordBatch.from_pylist(out, arrow)
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    new = _parse_datatype_string(fields)
+    own = [f for f in df.schema if keep_text or f.name != text_col]
+    if clash := {f.name for f in own} & {f.name for f in new}:
+        raise ValueError(f"columns {sorted(clash)} exist already")
+    kind = StructType([StructField(f.name, f.dataType) for f in own] + list(new))
+    arrow = to_arrow_schema(new)
+    names, at = [f.name for f in own], df.columns.index(text_col)
+    places = [df.columns.index(n) for n in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = make()
+        for whole in batches:
+            for first in range(0, whole.num_rows, 500):
+                batch = whole.slice(first, 500)
+                got = score(batch.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(i) for i in places] + [pa.array(got[f.name], f.type) for f in arrow], [*names, *arrow.names])
 
     return df.mapInArrow(run, kind)
+
+
+def letter_table():
+    """Whether a code point is a letter, for all code points."""
+    import numpy as np
+
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+
+
+def letter_codes(text: str, letters):
+    """Lower-cased code points with every run of other characters as one space, one space at either end; None without letters."""
+    import numpy as np
+
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    spread = np.full(len(codes) + 2, 32, np.uint32)
+    spread[1:-1] = np.where(letters[codes], codes, 32)
+    gap = spread == 32
+    kept = spread[np.concatenate(([True], ~(gap[1:] & gap[:-1])))]
+    return kept if len(kept) > 1 else None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annomerge.llm.common import fresh_path, table
+from annomerge.llm.common import fold, fresh_path, table
 
 
 def tokenizer_path() -> str:
@@ -14,12 +14,28 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    scored = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.col("l_pred").alias("lang_pred"), F.col("l_score").alias("score"), F.col("l_ambiguous").alias("ambiguous"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import quality
+
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), keep_text=False)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    return judged.select("doc_id", *[F.col(f"q_{n}").alias(n) for n in names])
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm.warc import read_warc, write_warc
 
@@ -28,6 +44,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(spark, uri, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.col("t_score").alias("score"), F.when(F.col("t_score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 OP9_SQL = """
 WITH p AS (
   SELECT page_id, sha256(coalesce(html, '')) AS digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages
@@ -42,7 +66,7 @@ FROM f
 
 
 def queries() -> dict:
-    return {"op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
