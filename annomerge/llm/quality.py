@@ -20,8 +20,9 @@ UPPER = bytes(range(65, 91))
 MARKS = b"!?"
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 TAILS = bytes(range(0x80, 0xC0))
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_stops", "n_digits", "n_lines")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_lines")
 WINDOW = 5
+PRIOR = 30
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -64,16 +65,17 @@ def count_text(text: str | None) -> tuple[int, ...]:
     less = lambda chars: len(data) - len(data.translate(None, chars))
     lines = [x for x in (text or "").split("\n") if x.strip(" \t\r\x0b\x0c")]
     chars = len(data) - less(TAILS) - less(SPACES)
-    return (len(words), chars, less(SYMBOLS), len(lines) - len(set(lines)), repeated_words(words), less(UPPER), less(MARKS), less(b"."), less(b"0123456789"), len(lines))
+    return (len(words), chars, less(SYMBOLS), len(lines) - len(set(lines)), repeated_words(words), less(UPPER), less(MARKS), len(lines))
 
 
 def rule_features(counts):
-    """Rates that do not grow with a text's length, one row per text."""
+    """Rates that do not grow with a text's length, one row per text. Each starts from what plain prose of ``PRIOR``
+    words has, so a few words are not odd for being few."""
     import numpy as np
 
     c = np.asarray(counts, float).reshape(-1, len(COUNTS))
-    words, chars, lines = np.maximum(c[:, 0], 1), np.maximum(c[:, 1], 1), np.maximum(c[:, 9], 1)
-    return np.stack([c[:, 1] / words, c[:, 2] / words, c[:, 3] / lines, c[:, 4] / words, c[:, 5] / chars, c[:, 6] / words, c[:, 7] / words, c[:, 8] / chars], axis=1)
+    words, chars, lines = c[:, 0] + PRIOR, c[:, 1] + 6 * PRIOR, c[:, 7] + 3
+    return np.stack([chars / words, c[:, 2] / words, c[:, 3] / lines, c[:, 4] / words, c[:, 5] / chars, c[:, 6] / words], axis=1)
 
 
 class IsolationForest:

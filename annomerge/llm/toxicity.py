@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from annomerge.llm.common import bounded_sample, fold, letter_codes, letter_table, map_texts
 
-BITS = 17
+BITS = 19
 LENGTHS = (3, 4, 5, 6)
 
 
@@ -52,23 +52,28 @@ class Model:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, float(self.weights[found].mean()) + self.bias))))
 
 
-def train(texts: list[str], toxic: list[int], prior: float, dim: int = 8, epochs: int = 10, rate: float = 0.1, seed: int = 5) -> Model | None:
-    """One document a step, with Adagrad for each n-gram's row; the bias is then moved from the sample's share to ``prior``."""
+def train(texts: list[str], toxic: list[int], prior: float, dim: int = 8, epochs: int = 8, rate: float = 0.3, seed: int = 5) -> Model | None:
+    """One document a step, with Adagrad for each n-gram's row; the bias is then moved from the sample's share to ``prior``.
+
+    N-grams of fewer than one in 300 texts are left at zero: they would only memorise their texts.
+    """
     import numpy as np
 
     letters, rng = letter_table(), np.random.default_rng(seed)
-    bags = []
+    bags, texts_with = [], np.zeros(1 << BITS, np.int32)
     for text, label in zip(texts, toxic):
         codes = letter_codes(text or "", letters)
         found = grams(codes) if codes is not None else ()
         if len(found):
-            ids, counts = np.unique(found, return_counts=True)
+            ids, counts = np.unique(found.astype(np.int32), return_counts=True)
+            texts_with[ids] += 1
             bags.append((ids, (counts / counts.sum()).astype(np.float32), int(label)))
     if len({label for *_, label in bags}) < 2:
         return Model(np.zeros(1 << BITS, np.float32), -40.0, prior) if bags else None
-    embed = rng.uniform(-0.5, 0.5, (1 << BITS, dim)).astype(np.float32) / dim
-    seen = np.full(1 << BITS, 1e-8, np.float32)
-    soft, soft_seen = rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.full((dim, 2), 1e-4, np.float32)
+    common = texts_with >= max(2, len(bags) // 300)
+    bags = [(ids[keep], share[keep], label) for ids, share, label in bags for keep in [common[ids]]]
+    embed, seen = np.zeros((1 << BITS, dim), np.float32), np.full(1 << BITS, 1e-8, np.float32)
+    soft, soft_seen = rng.normal(0, 1, (dim, 2)).astype(np.float32), np.full((dim, 2), 1e-4, np.float32)
     bias = np.zeros(2, np.float32)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
