@@ -36,6 +36,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"q_{n}").alias(n) for n in names])
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import licenses
+
+    return licenses.digest(licenses.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm.warc import read_warc, write_warc
 
@@ -66,7 +72,7 @@ FROM f
 
 
 def queries() -> dict:
-    return {"op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
