@@ -14,6 +14,17 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: The key that the registered queries use; a deployment passes its own.
+KEY = "example key, not for production"
+
+
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import pii
+
+    done = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+    return done.select("doc_id", "text", F.size("pii_found").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct(F.transform("pii_found", lambda x: x["kind"]))), ",").alias("kinds"))
+
+
 def op5_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm import langid
 
@@ -72,7 +83,7 @@ FROM f
 
 
 def queries() -> dict:
-    return {"op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
