@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,19 @@ def bounded_sample(rows: DataFrame, group: str, key: str, per_group: int, salt:
     return rows.where(keep).limit(2 * per_group * max(1, len(sizes)))
 
 
+def slices(batch: pa.RecordBatch, at: int, rows: int = 4096, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and about ``size`` bytes in column ``at``."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+    first = held = 0
+    for i, n in enumerate(lengths):
+        if i > first and (held + n > size or i - first == rows):
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += n
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], dict[str, list]]], fields: str, keep_text: bool = False) -> DataFrame:
     """Columns computed from whole texts, beside the rows' own columns.
 
@@ -82,8 +96,7 @@ def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
+            for batch in slices(whole, at):
                 got = score(batch.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in places] + [pa.array(got[f.name], f.type) for f in arrow], [*names, *arrow.names])
 
@@ -107,3 +120,72 @@ def letter_codes(text: str, letters):
     gap = spread == 32
     kept = spread[np.concatenate(([True], ~(gap[1:] & gap[:-1])))]
     return kept if len(kept) > 1 else None
+
+
+def word_table():
+    """Whether a code point belongs to a word: letters, digits and the underscore."""
+    import numpy as np
+
+    return np.fromiter((chr(i).isalnum() or i == 95 for i in range(0x110000)), bool, 0x110000)
+
+
+def mix(h):
+    """A bijection of 64-bit numbers that spreads every bit; h is a uint64 array."""
+    import numpy as np
+
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return h ^ (h >> np.uint64(33))
+
+
+def word_hashes(text: str | None, words):
+    """64-bit hashes of the lower-cased words of a text, in order; equal on every machine."""
+    import numpy as np
+
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = words[codes]
+    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
+    starts, lengths = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    lengths = lengths - starts
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    power = np.cumprod(np.full(int(lengths.max()), 0x2545F4914F6CDD1D, np.uint64))
+    return mix(np.add.reduceat((codes[inside].astype(np.uint64) + np.uint64(1)) * power[place], first))
+
+
+def window_hashes(hashes, n: int):
+    """Hashes of all windows of n words."""
+    import numpy as np
+
+    k = len(hashes) - n + 1
+    if k <= 0:
+        return np.zeros(0, np.uint64)
+    out = hashes[:k].copy()
+    for i in range(1, n):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += hashes[i : i + k]
+    return mix(out)
+
+
+def components(edges: DataFrame, name: str = "components", most: int = 60) -> DataFrame:
+    """(node, root) of every node of ``edges`` (u, v longs), root being the smallest node that it is connected to.
+
+    Alternating large and small stars: each round only takes minima of neighbours and joins them back, and ends in a
+    written table. Nodes without an edge are not in the result.
+    """
+    now = materialise(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
+    state = None
+    for _ in range(most):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u")
+        now = materialise(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u != v").distinct(), name)
+        found = tuple(now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+        if found == state:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        state = found
+    raise RuntimeError(f"components did not settle in {most} rounds")

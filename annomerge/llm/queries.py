@@ -25,6 +25,13 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii_found").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct(F.transform("pii_found", lambda x: x["kind"]))), ",").alias("kinds"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import decontam
+
+    marked = decontam.mark_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep_text=False)
+    return marked.where(F.size("leaks") > 0).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op5_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm import langid
 
@@ -83,7 +90,7 @@ FROM f
 
 
 def queries() -> dict:
-    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op3_decontamination": op3_decontamination, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
