@@ -32,6 +32,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.where(F.size("leaks") > 0).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import ngram_join
+
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op5_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm import langid
 
@@ -90,7 +96,7 @@ FROM f
 
 
 def queries() -> dict:
-    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op3_decontamination": op3_decontamination, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
