@@ -25,6 +25,12 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii_found").cast("long").alias("n_found"), F.array_join(F.array_sort(F.array_distinct(F.transform("pii_found", lambda x: x["kind"]))), ",").alias("kinds"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import suffix_dedup
+
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm import decontam
 
@@ -96,7 +102,7 @@ FROM f
 
 
 def queries() -> dict:
-    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op2_suffix_dedup": op2_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
 
 
 def oracle_sql() -> dict[str, str]:
