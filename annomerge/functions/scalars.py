@@ -55,17 +55,14 @@ def review_stars(status: Column) -> Column:
     return F.coalesce(lookup(STARS, F.lower(status)), F.lit(0))
 
 
-def substitution_part(variant: Column) -> Column:
-    """What follows the first underscore, or all."""
-    at = F.instr(variant, "_")
-    return F.when(at > 0, F.substring(variant, at + 1, F.length(variant))).otherwise(variant)
+#: What follows the first underscore, or all, as a character, a whole number and a character.
+SUBSTITUTION = r"^(?:[^_]*_)?+(.)(\d+)(.)$"
 
 
-def parse_substitution(variant: Column) -> Column:
-    """struct(ref_aa, position, alt_aa); NULL unless a whole number stands between two characters."""
-    v = substitution_part(variant)
-    position = found(v, r"^.(\d+).$").try_cast("int")
-    return F.when(position.isNotNull(), F.struct(F.substring(v, 1, 1).alias("ref_aa"), position.alias("position"), F.right(v, F.lit(1)).alias("alt_aa")))
+def parse_substitution(variant: Column) -> tuple[Column, Column, Column]:
+    """(reference, position, alternate): position is NULL unless a whole number stands between two characters."""
+    part = lambda k: F.regexp_extract(variant, SUBSTITUTION, k)
+    return part(1), part(2).try_cast("int"), part(3)
 
 
 def hgvs_p_from_aa(ref: Column, position: Column, alt: Column) -> Column:
