@@ -367,7 +367,8 @@ def _(s, d):
     from annomerge.sources.readers import read_cadd
 
     path = scratch(s, "cadd")
-    adapter(s, d, "cadd_like").drop("ord").withColumnRenamed("Chrom", "#Chrom").write.option("sep", "\t").option("header", True).csv(path)
+    rows = adapter(s, d, "cadd_like").select(F.concat_ws("\t", "Chrom", "Pos", "Ref", "Alt", "RawScore", "PHRED").alias("line"))
+    rows.unionByName(rows.limit(1).select(F.lit("#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED").alias("line"))).write.text(path)
     return read_cadd(s, path)
 
 
