@@ -19,12 +19,12 @@ def unmapped_genes(genes: DataFrame, dim: DataFrame) -> DataFrame:
     return genes.join(small(dim), "gene", "left_anti")
 
 
-def revel_for_genes(scores: DataFrame, transcripts: DataFrame, ord_col: str = "ord") -> DataFrame:
+def revel_for_genes(scores: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Rows of each gene with one of its transcripts, and the matches in the gene's order; transcripts: gene,
     transcript_ids. Each listed transcript is looked up, so genes are found by key and not by comparing lists."""
     wanted = transcripts.select("gene", F.posexplode("transcript_ids").alias("_place", "_id"))
-    listed = scores.withColumn("_id", F.explode(F.array_distinct(F.split("Ensembl_transcriptid", ";"))))
-    hits = listed.join(small(wanted), "_id").groupBy(ord_col, "gene").agg(F.sort_array(F.collect_list(F.struct("_place", "_id"))).alias("_m"), F.first(F.struct(*scores.columns)).alias("_r"))
+    listed = scores.withColumn("_row", F.monotonically_increasing_id()).withColumn("_id", F.explode(F.array_distinct(F.split("Ensembl_transcriptid", ";"))))
+    hits = listed.join(small(wanted), "_id").groupBy("_row", "gene").agg(F.sort_array(F.collect_list(F.struct("_place", "_id"))).alias("_m"), F.first(F.struct(*scores.columns)).alias("_r"))
     return hits.select("gene", *[F.col("_r")[c].alias(c) for c in scores.columns], F.transform("_m", lambda m: m["_id"]).alias("matched_transcripts"))
 
 
