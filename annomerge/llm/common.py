@@ -179,7 +179,8 @@ def components(edges: DataFrame, name: str = "components", most: int = 60) -> Da
     state = None
     for _ in range(most):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # a plain table of minima on this side lets Spark split the neighbours of a hub on the other
+        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), name)
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
