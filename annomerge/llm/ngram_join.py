@@ -303,7 +303,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row of each class, that with the smallest id; rows with a null id or without words stay."""
     told = materialise(similar(docs, id_col, text_col, threshold), "kept")
     drop = told.where("doc_id IS NOT NULL AND doc_id != class_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.join(drop, F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
+    # a merge join at every size: the list grows with the documents and is not for broadcasting
+    kept = docs.join(drop.hint("merge"), F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
     if told.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(kept.where(F.col(id_col).isNull()))
