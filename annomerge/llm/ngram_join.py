@@ -268,7 +268,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, shingles binary")
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, runs: int = 3, first: int = 3, branch: float = 1.6, limit: int = 1024, depth: int = 3, slack: float = 0.2) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, runs: int = 3, first: int = 3, branch: float = 1.6, limit: int = 2048, depth: int = 3, slack: float = 0.2) -> DataFrame:
     """One row per row of docs: doc_id; rep_id, the smallest id with the same shingle set; class_id, the smallest id that
     links lead to; n_links, the number of other documents whose similarity is at least the threshold.
 
