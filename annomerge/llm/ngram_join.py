@@ -88,6 +88,7 @@ def chosen_buckets(heads: DataFrame, marks: DataFrame, branch: float, limit: int
     for level in range(depth + 1):
         now = materialise(now, "paths")
         sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.expr("bit_xor(xxhash64(doc, 1))").alias("f1"), F.expr("bit_xor(xxhash64(doc, 2))").alias("f2")).where("size > 1")
+        sizes = materialise(sizes, "sizes")  # a plain table, so that Spark can split a hot bucket in the joins with it
         ends = sizes if level == depth else sizes.where(F.col("size") <= limit)
         # buckets of the same documents would be compared alike: one of them is enough
         ends = ends.groupBy("f1", "f2", "size").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
