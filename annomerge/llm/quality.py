@@ -1,7 +1,7 @@
 """Quality rules: statistics of whole texts, a base rule, and an isolation forest over the rule statistics.
 
-The forest is fitted on a bounded sample of rows; its threshold is calibrated on all labelled rows, as the lowest
-one that rejects at most ``max_false_reject`` of those labelled good.
+The forest is fitted on a bounded sample of rows; its threshold is calibrated on all labelled rows, as the one that
+parts good from bad best among those that reject at most ``max_false_reject`` of the rows labelled good.
 
 Defined cases: a null or empty text has no words and fails the base rule; repeated rows get equal verdicts; without
 labels the forest is fitted on a sample of all rows and rejects nothing; an empty table gives no rows; further
@@ -23,6 +23,7 @@ TAILS = bytes(range(0x80, 0xC0))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_lines")
 WINDOW = 5
 PRIOR = 30
+HALF = 0.1
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -70,12 +71,15 @@ def count_text(text: str | None) -> tuple[int, ...]:
 
 def rule_features(counts):
     """Rates that do not grow with a text's length, one row per text. Each starts from what plain prose of ``PRIOR``
-    words has, so a few words are not odd for being few."""
+    words has, so a few words are not odd for being few. Rates of symbols and marks, which prose hardly has, are told as
+    x / (x + HALF): the few texts full of them would else widen the range that splits are drawn from, and texts with some
+    would stay beside those with none. Both together are a rate of their own, so that trees split on them more often."""
     import numpy as np
 
     c = np.asarray(counts, float).reshape(-1, len(COUNTS))
     words, chars, lines = c[:, 0] + PRIOR, c[:, 1] + 6 * PRIOR, c[:, 7] + 3
-    return np.stack([chars / words, c[:, 2] / words, c[:, 3] / lines, c[:, 4] / words, c[:, 5] / chars, c[:, 6] / words], axis=1)
+    symbols, marks, either = (x / (x + HALF) for x in (c[:, 2] / words, c[:, 6] / words, (c[:, 2] + c[:, 6]) / words))
+    return np.stack([chars / words, symbols, c[:, 3] / lines, c[:, 4] / words, c[:, 5] / chars, marks, either], axis=1)
 
 
 class IsolationForest:
@@ -158,20 +162,27 @@ def fit_forest(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id"
 
 
 def calibrate(docs: DataFrame, labels: DataFrame | None, forest: IsolationForest, id_col: str = "doc_id", text_col: str = "text", max_false_reject: float = 0.002) -> float:
-    """The lowest threshold, in steps of 1/2000, above which at most that share of all rows labelled good lies."""
+    """The threshold, in steps of 1/2000, that parts labelled rows best (share of the bad above it less that of the good),
+    of those above which at most ``max_false_reject`` of the good lie; the lowest of those where no row is labelled bad."""
     if labels is None:
         return 1.0
-    marks = labels.where("quality = 1").select(F.col(id_col).alias("q_id")).distinct()
+    marks = labels.where("quality IN (0, 1)").groupBy(F.col(id_col).alias("q_id")).agg(F.min("quality").alias("q_label"))
     rows = docs.select(F.col(id_col).alias("q_id"), F.col(text_col).cast("string").alias("q_text"))
     base = F.expr("q_n_words < 10 OR 100 * q_n_repeat_words > 20 * q_n_words")
-    scores = counted(rows, "q_text", forest).where(~base).join(marks, "q_id", "left_semi")
-    steps = dict(scores.groupBy(F.ceil(F.col("q_score") * 2000).alias("step")).count().collect())
-    left = max_false_reject * sum(steps.values())
+    scores = counted(rows, "q_text", forest).where(~base).join(marks, "q_id")
+    steps = {(r[0], r[1]): r[2] for r in scores.groupBy("q_label", F.ceil(F.col("q_score") * 2000).alias("step")).count().collect()}
+    good, bad = (sum(n for (label, _), n in steps.items() if label == x) for x in (1, 0))
+    found, most, above = 1.0, 0.0, {0: 0, 1: 0}
     for step in range(2000, 0, -1):
-        left -= steps.get(step, 0)
-        if left < 0:
-            return step / 2000
-    return 1.0
+        # above the threshold step / 2000 lie the rows of higher steps
+        if above[1] > max_false_reject * good:
+            break
+        gain = above[0] / bad - above[1] / max(1, good) if bad else 0.0
+        if good and (gain > most or not bad):
+            found, most = step / 2000, gain
+        for label in above:
+            above[label] += steps.get((label, step), 0)
+    return found
 
 
 def judge(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, max_false_reject: float = 0.002) -> DataFrame:

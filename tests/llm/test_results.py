@@ -1,6 +1,7 @@
 """Operators against brute force, round trips and held-out rows."""
 
 import collections
+import os
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annomerge.llm import decontam, langid, licenses, ngram_join, packing, pii, quality, suffix_dedup, warc
-from annomerge.llm.common import components, fresh_path
+from annomerge.llm.common import components, fold, fresh_path
 from annomerge.llm.queries import op5_language_codes, op10_toxicity, tokenizer_path
 
 WORD = re.compile(r"\w+")
@@ -200,6 +201,33 @@ def test_quality_on_long_vocabulary():
     assert quality.repeated_words(words + words[100:107]) == 14
 
 
+def test_quality_parts_held_out_labels(spark, sf_dir):
+    tables = f"{os.path.dirname(sf_dir)}/sf0.1"
+    docs, labels = (spark.read.parquet(f"{tables}/{name}.parquet") for name in ("documents", "labels"))
+    held = fold(F.col("doc_id")) == 2
+    judged = quality.judge(docs.select("doc_id", "text"), labels.where(~held), keep_text=False).where(~F.col("q_base_failed"))
+    asked = labels.where(held & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("label"))
+    shares = {r.label: (r.n, r.rejected) for r in judged.join(asked, "doc_id").groupBy("label").agg(F.count("*").alias("n"), F.avg((~F.col("q_kept")).cast("int")).alias("rejected")).collect()}
+    print("held-out labels that pass the base rule (rows, share rejected):", shares)
+    assert shares[0][1] > 0.9 and shares[1][1] < 0.01
+
+
+def test_quality_calibrates_on_both_labels(spark):
+    class Forest:
+        @staticmethod
+        def score(rows):
+            return rows[:, 0] / 100  # mean length of words, with the prior of six letters
+
+    text = lambda n: " ".join(["q" * n + str(k) for k in range(300)])
+    docs = spark.createDataFrame([(i, text(10 + i)) for i in range(20)], "doc_id long, text string")
+    labels = lambda bad: spark.createDataFrame([(i, 0 if i in bad else 1) for i in range(20)], "doc_id long, quality int")
+    score = {i: float(Forest.score(quality.rule_features([quality.count_text(text(10 + i))]))[0]) for i in range(20)}
+    above = lambda bad, most: {i for i in score if score[i] > quality.calibrate(docs, labels(bad), Forest, max_false_reject=most)}
+    assert above({15, 16, 17, 18, 19}, 0.5) == {15, 16, 17, 18, 19}
+    assert above({15, 16, 18, 19}, 0.1) == {15, 16, 17, 18, 19} and above({15, 16, 18, 19}, 0.0) == {18, 19}
+    assert above({}, 0.1) == {18, 19}
+
+
 def test_licenses(spark):
     rows = [(1, "Released UNDER the (MIT) License."), (2, "Licensed under the Apache License, Version 2.0"), (3, "CC BY-NC 4.0 and cc by nc"), (4, "the GNU Lesser General Public License, version 2.1 or later"), (5, "permission is hereby granted, free of charge, to any person obtaining a copy"), (6, "no licence here"), (7, "All rights reserved")]
     got = {r.doc_id: r for r in licenses.digest(licenses.detect(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
