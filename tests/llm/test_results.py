@@ -157,6 +157,33 @@ def test_pseudonyms(spark):
     assert "@c." not in got[7].text and "éo" not in got[7].text and len(got[7].pii_found) == 2
 
 
+def test_each_kind_alone_in_a_text(spark):
+    alone = {"email": ["a@b.de"], "ip": ["8.8.8.8", "at 1.1.1.1 and 9.9.9.9"], "date": ["2020-02-29"], "ssn": ["123-45-6789"], "phone": ["555-123-4567"], "secret": ["a1b2c3d4e5f6" * 3, "A1B2C3D4" * 4], "card": ["4111111111111111"]}
+    rows = [(kind, text) for kind, texts in alone.items() for text in texts]
+    got = pii.pseudonymise(spark.createDataFrame([*rows, ("ip", "8.8.8.8 12")], "kind string, text string"), "k").collect()
+    assert set(alone) == {kind for kind, _ in pii.KINDS}
+    for (kind, text), r in zip(rows, got):
+        assert {x.kind for x in r.pii_found} == {kind} and r.text != text, text
+    assert got[1].pii_found == got[-1].pii_found
+
+
+def test_groups_of_phone_numbers(spark):
+    same = [["1-800-555-1234", "800-555-1234", "+1 (800) 555-1234", "1 (800) 555-1234"], ["+33 6 12 34 56 78", "+33612345678", "+33 (0)6 12 34 56 78", "06 12 34 56 78"], ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "020 7946 0958"], ["+34 612 345 678", "+34 612 34 56 78"], ["+49 30 1234567", "+4930-1234567"], ["+351 912 345 678"]]
+    rows = [(k, n) for k, group in enumerate(same) for n in group]
+    got = pii.pseudonymise(spark.createDataFrame([(k, f"call {n} 2020-02-29, now") for k, n in rows], "k int, text string"), "k").collect()
+    digits = lambda x: re.sub(r"\D", "", x)
+    tails = collections.defaultdict(set)
+    for (k, n), r in zip(rows, got):
+        assert [x.kind for x in r.pii_found] == ["phone", "date"], n
+        new = r.pii_found[0].pseudonym
+        assert r.text.startswith(f"call {new} ") and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", n) and digits(new) != digits(n), n
+        tails[k].add(digits(new)[-9 if k in (1, 3) else -7 if k == 4 else -10 :])
+        assert not n.startswith("+") or new[:3] == n[:3] or n[1] == "1" and new[:2] == "+1", n
+    assert all(len(t) == 1 for t in tails.values())
+    plain = ["1.5 of 3", "10 20 30 40 50", "room 020 7946", "version 1.2.3", "f" * 31]
+    assert all(not r.pii_found for r in pii.pseudonymise(spark.createDataFrame([(x,) for x in plain], "text string"), "k").collect())
+
+
 def test_permutations_are_one_to_one(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"), F.col("id"))
     df = df.select(pii.permute_digits("k", "t", F.col("d")).alias("d"), pii.permute_pair("k", "t", F.floor(F.col("id") / 40), F.col("id") % 40, 25, 40).alias("p"))
