@@ -18,6 +18,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -80,8 +81,8 @@ def chosen_buckets(heads: DataFrame, marks: DataFrame, branch: float, limit: int
     """(bucket, doc, size) of all buckets with at least two documents that are not split further.
 
     heads: doc and its root buckets; marks: doc and signature, looked up only for documents of wide buckets. A bucket of
-    more than ``limit`` documents splits on those coordinates that a hash of its own picks, ``branch`` of all on average,
-    up to ``depth`` times.
+    more than ``limit`` documents splits on the coordinates that a hash of its own puts first, ``branch`` rounded up, up to
+    ``depth`` times. None picks fewer: a bucket that picked none would be lost with all its documents.
     """
     now = heads.select("doc", F.explode("roots").alias("bucket"))
     done = signed = None
@@ -101,8 +102,8 @@ def chosen_buckets(heads: DataFrame, marks: DataFrame, branch: float, limit: int
             break
         if signed is None:
             signed = materialise(marks.join(wide.select("doc").distinct(), "doc").groupBy("doc").agg(F.first("signature").alias("signature")), "signed")
-        share = int(branch / COORDINATES * (1 << 30))
-        picked = F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: F.pmod(F.xxhash64("bucket", c), F.lit(1 << 30)) < share)
+        order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: F.struct(F.xxhash64("bucket", c).alias("h"), c.alias("c"))))
+        picked = F.slice(order, 1, min(COORDINATES, math.ceil(branch)))["c"]
         now = wide.join(signed, "doc").select("doc", F.explode(F.transform(picked, lambda c: F.xxhash64("bucket", c, F.get("signature", c)))).alias("bucket"))
     return done
 

@@ -75,6 +75,26 @@ def test_join_against_all_pairs(spark, prose):
         assert told == {i: links[i] for i in sets} if limit == 2048 else sum(told.values()) >= 0.99 * sum(links.values())
 
 
+def test_wide_buckets_keep_each_group(spark, prose):
+    rng, rows, sets, groups, size = random.Random(6), [], {}, 40, 30
+    for g in range(groups):  # four words in a row are other ones: shingles 0.8 alike
+        base = prose(150, 3000 + g).split()
+        for k in range(size):
+            own = list(base)
+            start = rng.randrange(4, 142)
+            own[start : start + 4] = [f"new{g}x{k}x{at}" for at in range(4)]
+            sets[len(rows)] = {tuple(own[i : i + 5]) for i in range(146)}
+            rows.append((len(rows), " ".join(own)))
+    near = [(i, j) for g in range(groups) for i in range(g * size, (g + 1) * size) for j in range(g * size, i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
+    want = collections.Counter(i // size for i, _ in near)
+    told = collections.Counter()
+    for r in ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string"), limit=6).collect():
+        told[r.doc_id // size] += r.n_links
+    recall = sorted((told[g] / 2 / want[g], want[g]) for g in want)
+    print("groups, links, lowest recall of a group and over all:", len(want), len(near), recall[0], sum(told.values()) / 2 / len(near))
+    assert recall[0][0] >= 0.995 and sum(told.values()) / 2 <= len(near)
+
+
 def test_repeats_against_all_windows(documents, texts):
     words = {i: WORD.findall((t or "").lower()) for i, t in texts.items()}
     holders = collections.defaultdict(set)
