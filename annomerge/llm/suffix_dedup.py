@@ -108,34 +108,53 @@ def windows_at(texts: DataFrame, length: int, span: int) -> DataFrame:
     return texts.select("doc", "text", "places").mapInArrow(run, "doc long, start long, window long")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
-    """doc_id, start_word, n_words, first_doc: maximal stretches of words all of whose windows of ``length`` words stand in
-    another document too; first_doc is the smallest id that holds one of them."""
+def repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, n_words, first_doc) of texts that have an exact copy in another document, first_doc being the smallest id with
+    those words; and (doc, start, low) of the windows that stand in different texts, low being the smallest id that holds
+    one, where texts of equal words are asked for their smallest id alone."""
     span = length - GRAM - 9
     if span < 1:
         raise ValueError(f"length must be at least {GRAM + 10}")
     prefix = length - span + 1
     marks = materialise(kept_suffixes(docs, id_col, text_col, length, span, prefix), "suffixes")
     groups = marks.where(F.col("n_words") >= length).groupBy("words_hash").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-    whole = marks.join(groups.where("first_doc < last_doc"), "words_hash").select("doc", F.lit(0).cast("long").alias("start_word"), "n_words", "first_doc").distinct()
-    alone = marks.join(groups.select("words_hash", F.col("first_doc").alias("doc"), (F.col("first_doc") < F.col("last_doc")).alias("copied")), ["words_hash", "doc"])
+    whole = marks.join(groups.where("first_doc < last_doc"), "words_hash").select("doc", "n_words", "first_doc").distinct()
+    alone = marks.join(groups.select("words_hash", F.col("first_doc").alias("doc")), ["words_hash", "doc"])
     suffixes = alone.select("doc", F.explode(F.arrays_zip("starts", "heads")).alias("s")).select("doc", F.col("s.starts").alias("place"), F.col("s.heads").alias("head"))
     matched = suffixes.groupBy("head").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("head")
     places = suffixes.join(matched, "head").groupBy("doc").agg(F.collect_set("place").alias("places"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).join(places, "doc")
     windows = materialise(windows_at(texts, length, span), "windows")
     shared = windows.groupBy("window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("window", "low")
-    copied = whole.select("doc").distinct()
-    hits = windows.join(shared, "window").select("doc", "start", "low").join(copied, "doc", "left_anti")
+    return whole, windows.join(shared, "window").select("doc", "start", "low")
+
+
+def joined(hits: DataFrame, length: int) -> DataFrame:
+    """(doc, start_word, n_words, first_doc): windows that overlap or adjoin as one span."""
     order = Window.partitionBy("doc").orderBy("start")
     # a window that begins where no other covers the word before it begins a span
     hits = hits.withColumn("begins", F.when(F.col("start") > F.lag("start").over(order) + length, 1).otherwise(0))
     hits = hits.withColumn("number", F.sum("begins").over(order))
     spans = hits.groupBy("doc", "number").agg(F.min("start").alias("start_word"), (F.max("start") + length - F.min("start")).alias("n_words"), F.min("low").alias("first_doc"))
-    return spans.select("doc", "start_word", "n_words", "first_doc").unionByName(whole).withColumnRenamed("doc", "doc_id")
+    return spans.drop("number")
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
+    """doc_id, start_word, n_words, first_doc: maximal stretches of words all of whose windows of ``length`` words stand in
+    another document too; first_doc is the smallest id that holds one of them."""
+    whole, hits = repeats(docs, id_col, text_col, length)
+    spans = materialise(joined(hits, length), "spans")
+    # copies of a text with a passage of an earlier document have it from there
+    earlier = spans.groupBy(F.col("doc").alias("first_doc")).agg(F.min("first_doc").alias("earlier"))
+    copies = whole.join(earlier, "first_doc", "left").select("doc", F.lit(0).cast("long").alias("start_word"), "n_words", F.least("first_doc", "earlier").alias("first_doc"))
+    return spans.join(whole.select("doc").distinct(), "doc", "left_anti").unionByName(copies).withColumnRenamed("doc", "doc_id")
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
-    """The documents' words outside spans that an earlier document holds: (doc_id, spans to cut), for rewriting texts."""
-    spans = repeated_spans(docs, id_col, text_col, length).where("first_doc < doc_id")
-    return spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start_word", "n_words"))).alias("cut"))
+    """The documents' words outside windows that an earlier document holds: (doc_id, spans to cut), for rewriting texts.
+
+    Told window by window: what a document is the first to hold stays there, even next to what it repeats."""
+    whole, hits = repeats(docs, id_col, text_col, length)
+    copies = whole.where("first_doc < doc").select("doc", F.lit(0).cast("long").alias("start_word"), "n_words")
+    spans = joined(hits.where("low < doc"), length).select("doc", "start_word", "n_words").unionByName(copies)
+    return spans.groupBy(F.col("doc").alias("doc_id")).agg(F.sort_array(F.collect_list(F.struct("start_word", "n_words"))).alias("cut"))

@@ -115,6 +115,17 @@ def test_repeats_against_all_windows(documents, texts):
     assert got == want
 
 
+def test_passages_of_copied_texts(spark, prose):
+    p, q = prose(60, 71), prose(60, 72)
+    copied = prose(80, 73) + " " + p + " " + prose(80, 74)
+    rows = [(1, prose(70, 75) + " " + p + " " + prose(70, 76)), (2, copied), (3, copied), (5, prose(30, 77) + " " + p + " " + q), (9, q + " " + prose(30, 78))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {(r.doc_id, r.start_word, r.n_words, r.first_doc) for r in suffix_dedup.repeated_spans(docs).collect()}
+    assert spans == {(1, 70, 60, 1), (2, 0, 220, 1), (3, 0, 220, 1), (5, 30, 120, 1), (9, 0, 60, 5)}
+    cut = {r.doc_id: [tuple(x) for x in r.cut] for r in suffix_dedup.drop_repeats(docs).collect()}
+    assert cut == {2: [(80, 60)], 3: [(0, 220)], 5: [(30, 60)], 9: [(0, 60)]}
+
+
 def test_leaks_with_edits(spark, sf_dir, prose):
     rng = random.Random(4)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
