@@ -1,9 +1,9 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
-Tokens: words are looked up in a bounded cache of token bytes; what the cache lacks goes through the
-tokenizer, many words in one call. Packing: bounded-space online best fit. A task keeps a fixed number of open
-bins, held by free space with a bitset of the free spaces in use, puts each piece where the least space stays,
-and closes the fullest bin when it needs another.
+Tokens: a batch of texts is cut into parts (runs of letters, of signs, single digits) by array operations; distinct
+parts are looked up in a bounded cache, and what it lacks goes through the tokenizer, many parts in one call. Packing:
+bounded-space online best fit. A task keeps a fixed number of open bins, held by free space with a bitset of the free
+spaces in use, puts each piece where the least space stays, and closes the fullest bin when it needs another.
 
 Defined cases: a null or empty text is one piece holding the end id alone; a null id is kept; repeated rows are
 packed once each; an empty table gives no rows; a text of more than ``max_len`` ids is cut and nothing is dropped.
@@ -20,19 +20,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annomerge.llm.common import materialise
+from annomerge.llm.common import materialise, slices
 
-#: One letter run of Latin-1 and then perhaps one run of ASCII signs without the apostrophe: two words at most for the tokenizer.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-#: Python splits words at these four too, the tokenizer does not.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Bytes by what the tokenizer does with them: white space ends words; runs of letters and of signs are parts of their own; each
+#: digit is one. A word with any other byte (apostrophes, control characters, letters beyond Latin-1) stays whole.
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+#: Lower-cased parts that many can be encoded of in one call.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def byte_kinds():
+    import numpy as np
+
+    kinds = np.full(256, OTHER, np.uint8)
+    kinds[list(b" \t\n\r\x0b\x0c")] = SPACE
+    kinds[list(b"0123456789")] = DIGIT
+    kinds[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27]] = SIGN
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *range(0x80, 0xC0)]] = LETTER
+    return kinds
 
 
 class TokenBytes:
-    """Ids of a text as little-endian 32-bit bytes, the same as the tokenizer's own.
+    """Ids of texts as little-endian 32-bit bytes, the same as the tokenizer's own.
 
-    White space separates words for this tokenizer, so a text's ids are its words' ids one after another. The
-    caches are cleared when they hold ``most`` words.
+    White space separates words for this tokenizer, and a plain word's letters, digits and signs are separate parts, so a
+    text's ids are its parts' ids one after another. Parts are told apart for a whole batch at once; only distinct ones are
+    looked up, and those not known go through the tokenizer, many in one call. Known parts are kept in two generations of
+    at most ``most`` each; when the newer is full the older is forgotten.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -44,55 +58,91 @@ class TokenBytes:
         ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             ends[i] = token.endswith("</w>")
-        self.ends = ends
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.ends, self.kinds = ends, byte_kinds()
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        return self.np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def encode(self, text: bytes) -> bytes:
+        return self.np.asarray(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn_parts(self, parts: list[str]) -> None:
-        """Each part is one word of the tokenizer, so its last token, and no other, ends a word."""
+    def learn(self, parts: list[bytes]) -> None:
+        """A plain part is one word of the tokenizer, so its last token, and no other, ends a word."""
         np = self.np
-        ids = np.asarray(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        plain = [p for p in parts if PLAIN.fullmatch(p)]
+        ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(parts):
-            data, at = ids.tobytes(), 0
-            for part, stop in zip(parts, stops.tolist()):
-                self.parts[part] = data[4 * at : 4 * stop]
-                at = stop
-        else:
-            for part in parts:
-                self.parts[part] = self.encode(part)
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.words) > self.most:
-            self.words.clear()
-        if len(self.parts) > self.most:
-            self.parts = {"": b""}
-        split = {w: (m[1].lower(), m[2]) for w in words if (m := PLAIN.fullmatch(w))}
-        new = list(dict.fromkeys(p for pair in split.values() for p in pair if p not in self.parts))
-        if new:
-            self.learn_parts(new)
-        for w in words:
-            if w in split:
-                head, tail = split[w]
-                self.words[w] = self.parts[head] + self.parts[tail]
-            else:
-                self.words[w] = self.encode(w)
-
-    def __call__(self, text: str) -> bytes:
-        if ODD_SPACE.search(text):
-            return self.encode(text)
-        words = text.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.words]
-            before = {w: self.words[w] for w in words if w in self.words} if len(self.words) + len(new) > self.most else {}
-            self.learn(new)
-            self.words.update(before)
-            return b"".join(map(self.words.__getitem__, words))
+        if len(stops) == len(plain):
+            data, stops = ids.tobytes(), (4 * stops).tolist()
+            self.known.update(zip(plain, (data[a:b] for a, b in zip([0, *stops], stops))))
+        for p in parts:
+            if p not in self.known:
+                self.known[p] = self.encode(p)
+
+    def look_up(self, parts: list[bytes]) -> list[bytes]:
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
+        new = [p for p in parts if p not in self.known]
+        self.known.update((p, self.older[p]) for p in new if p in self.older)
+        if missing := [p for p in new if p not in self.older]:
+            self.learn(missing)
+        return [self.known[p] for p in parts]
+
+    def parts(self, joined: bytes):
+        """Places where parts begin, and the parts as an Arrow array, lower-cased but for words that stay whole."""
+        np = self.np
+        data = np.frombuffer(joined, np.uint8)
+        kind = self.kinds[data]
+        after = np.flatnonzero(data == 0xC3) + 1
+        after = after[after < len(data)]
+        no_letter = (data[after] == 0x97) | (data[after] == 0xB7)
+        other = [np.flatnonzero(kind == OTHER), after[no_letter]]
+        if b"<|" in joined:  # special tokens, which case and neighbours matter to
+            other.append(np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)))
+        other = np.concatenate(other)
+        space = kind == SPACE
+        if len(other):
+            ends = np.concatenate(([-1], np.flatnonzero(space), [len(data)]))
+            word = np.unique(np.searchsorted(ends, other))
+            first, size = ends[word - 1] + 1, ends[word] - ends[word - 1] - 1
+            kind[np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))] = OTHER
+        low = data | ((data >= 0x41) & (data <= 0x5A) & (kind == LETTER)).astype(np.uint8) << 5
+        upper = after[(data[after] >= 0x80) & (data[after] <= 0x9E) & (kind[after] == LETTER)]
+        low[upper] += 0x20
+        begin = kind == DIGIT
+        begin[1:] |= kind[1:] != kind[:-1]
+        begin[:1] = True
+        begin &= ~space
+        begins = np.flatnonzero(begin)
+        packed = low[~space]
+        offsets = np.append(begins - np.cumsum(space, dtype=np.int64)[begins], len(packed))
+        return begins, pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+
+    def __call__(self, texts: list[bytes]) -> list[memoryview]:
+        """The ids' bytes of each text."""
+        np = self.np
+        begins, parts = self.parts(b" ".join(texts))
+        if not len(begins):
+            return [memoryview(b"")] * len(texts)
+        coded = parts.dictionary_encode()
+        taken = pa.array(self.look_up(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        _, offsets, data = taken.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[: len(taken) + 1]
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        at = offsets[np.searchsorted(begins, starts)].tolist()
+        view = memoryview(data)
+        return [view[a:b] for a, b in zip(at, at[1:])]
+
+
+def chunks(text: bytes, most: int = 8 << 20) -> Iterator[bytes]:
+    """The text cut at blanks into parts of at most ``most`` bytes, more only where no blank stands in between."""
+    while len(text) > most:
+        at = text.rfind(b" ", 0, most)
+        at = text.find(b" ", most) if at <= 0 else at
+        if at < 0:
+            break
+        yield text[:at]
+        text = text[at:]
+    yield text
 
 
 TOKENISERS: dict[str, TokenBytes] = {}
@@ -115,15 +165,16 @@ def tokenise_pieces(docs: DataFrame, tokenizer: str, max_len: int = 4096, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = token_bytes(tokenizer), int(end_id).to_bytes(4, "little")
-        for batch in batches:
-            out: list[tuple] = []
-            texts = batch.column(1)
-            for i, doc in enumerate(batch.column(0).to_pylist()):
-                data = encode(texts[i].as_py() or "") + end
-                for piece, at in enumerate(range(0, len(data), 4 * max_len)):
-                    cut = data[at : at + 4 * max_len]
-                    out.append((doc, piece, at // 4, len(cut) // 4, zlib.crc32(cut)) + ((np.frombuffer(cut, "<u4").tolist(),) if with_ids else ()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
+        for whole in batches:
+            for batch in slices(whole, 1):
+                out: list[tuple] = []
+                texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+                for doc, coded in zip(batch.column(0).to_pylist(), encode(texts) if len(texts) > 1 else [b"".join(x for c in chunks(texts[0]) for x in encode([c]))]):
+                    data = bytes(coded) + end
+                    for piece, at in enumerate(range(0, len(data), 4 * max_len)):
+                        cut = data[at : at + 4 * max_len]
+                        out.append((doc, piece, at // 4, len(cut) // 4, zlib.crc32(cut)) + ((np.frombuffer(cut, "<u4").tolist(),) if with_ids else ()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
