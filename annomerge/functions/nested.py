@@ -14,11 +14,13 @@ def match_transcripts(wanted: Column, listed: Column) -> Column:
     return F.when(F.size(both) > 0, both)
 
 
-def flatten_gnomad(payloads: DataFrame) -> DataFrame:
-    """One row per variant of ``data.gene.variants``; genes without variants give none."""
-    rows = payloads.select(F.col("data.gene.symbol").alias("symbol"), F.explode("data.gene.variants").alias("v"))
+def flatten_gnomad(payloads: DataFrame, ord_col: str | None = None) -> DataFrame:
+    """One row per variant of ``data.gene.variants``, with its place there; genes without variants give none. ``ord_col``, the
+    order of the payloads, gives ``ord``, that of the variants."""
+    kept = [F.col(ord_col).alias("payload")] if ord_col else []
+    rows = payloads.select(F.col("data.gene.symbol").alias("symbol"), *kept, F.posexplode("data.gene.variants").alias("place", "v"))
     return rows.select(
-        "symbol", F.col("v.variant_id").alias("variant_id"), F.col("v.hgvsc").alias("hgvs_c"), F.col("v.hgvsp").alias("hgvs_p"), F.col("v.consequence").alias("consequence"),
+        "symbol", "place", *[F.struct("payload", "place").alias("ord")] * len(kept), F.col("v.variant_id").alias("variant_id"), F.col("v.hgvsc").alias("hgvs_c"), F.col("v.hgvsp").alias("hgvs_p"), F.col("v.consequence").alias("consequence"),
         preferred(F.col("v.exome.af"), F.col("v.genome.af")).alias("gnomad_af"),
         preferred(F.col("v.exome.an"), F.col("v.genome.an")).alias("gnomad_an"),
         homozygotes(F.col("v.exome.homozygote_count"), F.col("v.genome.homozygote_count")).alias("gnomad_homozygotes"),

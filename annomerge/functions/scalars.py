@@ -36,14 +36,20 @@ def found(name: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))
 
 
+# What counts as a substitution, a stop and a coding change in a variant's name.
+SUBSTITUTED = r"\(p\.([A-Za-z]{3}\d+[A-Za-z]{3})\)"
+STOPPED = r"\(p\.([A-Za-z]{3}\d+(?:Ter|\*))\)"
+CODING = r":c\.([^\s(]+)"
+
+
 def parse_protein_change(name: Column) -> Column:
     """``p.`` and the first substitution in parentheses, else the first stop, whose star becomes Ter."""
-    change = F.coalesce(found(name, r"\(p\.([A-Za-z]{3}\d+[A-Za-z]{3})\)"), F.replace(found(name, r"\(p\.([A-Za-z]{3}\d+(?:Ter|\*))\)"), F.lit("*"), F.lit("Ter")))
+    change = F.coalesce(found(name, SUBSTITUTED), F.replace(found(name, STOPPED), F.lit("*"), F.lit("Ter")))
     return F.concat(F.lit("p."), change)
 
 
 def parse_hgvs_c(name: Column) -> Column:
-    return F.concat(F.lit("c."), found(name, r":c\.([^\s(]+)"))
+    return F.concat(F.lit("c."), found(name, CODING))
 
 
 def parse_review_date(text: Column) -> Column:
@@ -124,8 +130,12 @@ def predict_nmd_escape(truncation: Column, last_exon: Column) -> Column:
     return F.when(F.coalesce(last_exon, F.lit(False)), True).otherwise(truncation > 0.90)
 
 
-def shown(number: Column, style: str) -> Column:
-    return F.when(number != 0, F.format_string(style, number)).otherwise("N/A")
+def shown(number: Column, digits: int, exponent: bool = False) -> Column:
+    """The number with ``digits`` decimals, plain or with an exponent of two digits and its sign; N/A for none and for 0. The
+    binary value is rounded, to even, as ``printf`` does; Spark's format_string would round its decimal text."""
+    text = F.call_function("format_number", number, F.lit("0." + "0" * digits + "E00" * exponent))
+    text = F.regexp_replace(F.regexp_replace(text, "E(?=[0-9])", "e+"), "E-", "e-")
+    return F.when(number != 0, text).otherwise("N/A")
 
 
 def build_position(build: Column, grch38: Column, hg19: Column) -> Column:

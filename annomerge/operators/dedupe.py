@@ -1,4 +1,5 @@
-"""First wins, last wins, and rows by order. Aggregates with partial sums, not window sorts, where one row is kept."""
+"""First wins, last wins, and rows by order. Where one row is kept, aggregates that reduce each key before the shuffle (by sorting,
+since rows are text), not windows."""
 
 from __future__ import annotations
 
@@ -32,10 +33,11 @@ def first_seen_last_value(rows: DataFrame, keys: list[str], place: str, ord_col:
 
 
 def top_rows(rows: DataFrame, group: str, order: list, n: int = 50) -> DataFrame:
-    """The first n rows of each group and ``n_more``, how many follow."""
-    w = Window.partitionBy(group)
-    ranked = rows.withColumn("_rank", F.row_number().over(w.orderBy(*order))).withColumn("n_more", F.greatest(F.count("*").over(w) - n, F.lit(0)))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    """The first n rows of each group and ``n_more``, how many follow. The rank alone is a window, which Spark limits before
+    the shuffle; groups are counted by partial sums."""
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_rank") <= n).drop("_rank")
+    counts = rows.groupBy(F.col(group).alias("_group")).agg(F.greatest(F.count("*") - n, F.lit(0)).alias("n_more"))
+    return ranked.join(counts, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
 def sample_rows(rows: DataFrame, ord_col: str, n: int) -> DataFrame:

@@ -7,13 +7,6 @@ from pyspark.sql import functions as F
 
 #: Sources that ``all`` stands for.
 ALL_SOURCES = ("alphamissense", "gnomad", "clinvar")
-#: The largest dimension that is broadcast, in rows; a larger one is joined by shuffle.
-BROADCAST_ROWS = 100_000
-
-
-def small(dim: DataFrame) -> DataFrame:
-    """A broadcast hint, only if the frame is shown to be small."""
-    return F.broadcast(dim) if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else dim
 
 
 def normalize_genes(rows: DataFrame, col: str, out: str = "gene") -> DataFrame:
@@ -30,7 +23,7 @@ def normalize_sources(text: Column) -> Column:
 
 def filter_gene_set(rows: DataFrame, genes: DataFrame, col: str = "gene", gene_col: str = "gene") -> DataFrame:
     wanted = genes.select(F.col(gene_col).alias(col)).distinct()
-    return rows.join(small(wanted), col, "left_semi")
+    return rows.join(wanted, col, "left_semi")
 
 
 def filter_clinvar(rows: DataFrame, assembly: str = "GRCh38", include_all_types: bool = False) -> DataFrame:
@@ -82,4 +75,4 @@ def display_rows(rows: DataFrame) -> DataFrame:
     from annomerge.functions.scalars import shown
 
     cut = lambda c: F.coalesce(F.substring(c, 1, 19), F.lit("N/A"))
-    return rows.select("gene", cut("hgvs_p").alias("hgvs_p"), shown(F.col("alphamissense_score"), "%.3f").alias("alphamissense"), shown(F.col("gnomad_af"), "%.2e").alias("af"), cut("clinvar_significance").alias("clinvar"))
+    return rows.select("gene", cut("hgvs_p").alias("hgvs_p"), shown(F.col("alphamissense_score"), 3).alias("alphamissense"), shown(F.col("gnomad_af"), 2, exponent=True).alias("af"), cut("clinvar_significance").alias("clinvar"))

@@ -1,31 +1,48 @@
-"""Joins that attach scores and annotations. A side is broadcast only if it is shown to be small."""
+"""Joins that attach scores and annotations. Which side is broadcast is left to Spark, which knows the sizes of files and, at
+run time, of shuffled sides."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annomerge.functions.scalars import build_position, normalize_chromosome, safe_double, variant_id
 from annomerge.operators.dedupe import dedupe_first
-from annomerge.operators.filters import require_coordinates, small
+from annomerge.operators.filters import require_coordinates
+from annomerge.sources.shared import materialise
+
+#: Transcripts that are looked up in a literal map; more are joined.
+MAP_ENTRIES = 1000
 
 
 def alphamissense_for_genes(scores: DataFrame, dim: DataFrame) -> DataFrame:
     """Substitutions of the genes' proteins; dim: gene, uniprot_id."""
-    return scores.join(small(dim), "uniprot_id")
+    return scores.join(dim, "uniprot_id")
 
 
 def unmapped_genes(genes: DataFrame, dim: DataFrame) -> DataFrame:
-    return genes.join(small(dim), "gene", "left_anti")
+    return genes.join(dim, "gene", "left_anti")
 
 
-def revel_for_genes(scores: DataFrame, transcripts: DataFrame) -> DataFrame:
+def revel_for_genes(scores: DataFrame, transcripts: DataFrame, ord_col: str = "ord", most: int = MAP_ENTRIES) -> DataFrame:
     """Rows of each gene with one of its transcripts, and the matches in the gene's order; transcripts: gene,
-    transcript_ids. Each listed transcript is looked up, so genes are found by key and not by comparing lists."""
-    wanted = transcripts.select("gene", F.posexplode("transcript_ids").alias("_place", "_id"))
-    listed = scores.withColumn("_row", F.monotonically_increasing_id()).withColumn("_id", F.explode(F.array_distinct(F.split("Ensembl_transcriptid", ";"))))
-    hits = listed.join(small(wanted), "_id").groupBy("_row", "gene").agg(F.sort_array(F.collect_list(F.struct("_place", "_id"))).alias("_m"), F.first(F.struct(*scores.columns)).alias("_r"))
-    return hits.select("gene", *[F.col("_r")[c].alias(c) for c in scores.columns], F.transform("_m", lambda m: m["_id"]).alias("matched_transcripts"))
+    transcript_ids. Up to ``most`` transcripts are a literal map, and nothing is shuffled; more are joined by transcript and
+    brought together again by ``ord_col``, which must tell rows apart."""
+    wanted = transcripts.select("gene", F.posexplode("transcript_ids").alias("place", "id")).groupBy("id").agg(F.sort_array(F.collect_set(F.struct("gene", "place"))).alias("genes"))
+    listed = F.array_distinct(F.split("Ensembl_transcriptid", ";"))
+    known = wanted.limit(most + 1).collect()
+    if len(known) <= most:
+        text = json.dumps({r["id"]: [{"gene": g["gene"], "place": g["place"]} for g in r["genes"]] for r in known})
+        genes_of = F.from_json(F.lit(text), "map<string,array<struct<gene:string,place:int>>>")
+        hits = F.flatten(F.transform(listed, lambda t: F.transform(F.coalesce(F.try_element_at(genes_of, t), F.array().cast("array<struct<gene:string,place:int>>")), lambda g: F.struct(g["place"].alias("place"), t.alias("id"), g["gene"].alias("gene")))))
+        rows = scores.withColumn("_hits", hits).withColumn("_gene", F.explode(F.array_distinct(F.transform("_hits", lambda h: h["gene"]))))
+        matched = F.transform(F.array_sort(F.filter("_hits", lambda h: h["gene"] == F.col("_gene"))), lambda h: h["id"])
+        return rows.select(F.col("_gene").alias("gene"), *scores.columns, matched.alias("matched_transcripts"))
+    rows = scores.withColumn("_id", F.explode(listed)).join(wanted, F.col("_id") == F.col("id")).select(*scores.columns, "_id", F.explode("genes").alias("_g"))
+    hits = rows.groupBy(ord_col, "_g.gene").agg(F.sort_array(F.collect_list(F.struct("_g.place", "_id"))).alias("_m"), *[F.first(c).alias(c) for c in scores.columns if c != ord_col])
+    return hits.select("gene", *scores.columns, F.transform("_m", lambda m: m["_id"]).alias("matched_transcripts"))
 
 
 def revel_by_coordinates(variants: DataFrame, scores: DataFrame, build: str = "GRCh38", ord_col: str = "ord") -> DataFrame:
@@ -52,17 +69,18 @@ def annotate_cadd(variants: DataFrame, scores: DataFrame, key: str, ord_col: str
 
 
 def cadd_for_gene_variants(variants: DataFrame, genes: DataFrame, scores: DataFrame, key: str, ord_col: str = "ord") -> DataFrame:
-    own = require_coordinates(variants.join(small(genes), "gene", "left_semi"))
+    own = require_coordinates(variants.join(genes.select("gene").distinct(), "gene", "left_semi"))
     places = own.select(normalize_chromosome(F.col("chromosome")).alias("Chrom"), F.col("position").cast("long").alias("Pos")).distinct()
     return annotate_cadd(own, scores.join(places, ["Chrom", "Pos"], "left_semi"), key, ord_col)
 
 
 def revel_by_substitution(scores: DataFrame, revel: DataFrame, keys: list[str] = ("aaref", "aaalt"), ord_col: str = "ord") -> DataFrame:
-    """Adds the value seen last of the position seen first for the row's amino acids; position is not compared."""
+    """Adds the value seen last of the position seen first for the row's amino acids; position is not compared. The reduced
+    scores are written once, so that the join knows their size."""
     from annomerge.operators.dedupe import first_seen_last_value
 
-    reduced = first_seen_last_value(revel, list(keys), "grch38_pos", ord_col, "revel_score")
-    return scores.join(small(reduced.select(*keys, "revel_score")), list(keys), "left")
+    reduced = materialise(first_seen_last_value(revel, list(keys), "grch38_pos", ord_col, "revel_score").select(*keys, "revel_score"), "revel")
+    return scores.join(reduced, list(keys), "left")
 
 
 def nearby_variants(queries: DataFrame, variants: DataFrame, key: str, reach: int = 5, most: int = 10, ord_col: str = "ord") -> DataFrame:
@@ -83,7 +101,7 @@ def gnomad_by_variant_id(variants: DataFrame, gnomad: DataFrame) -> DataFrame:
 
 def attach_gene_constraint(lof: DataFrame, genes: DataFrame) -> DataFrame:
     dim = genes.select(F.col("symbol").alias("gene"), F.col("pli").alias("gene_pli"), F.col("loeuf").alias("gene_loeuf"))
-    return lof.join(small(dim), "gene", "left")
+    return lof.join(dim, "gene", "left")
 
 
 def attach_penetrance(variants: DataFrame, estimates: DataFrame) -> DataFrame:

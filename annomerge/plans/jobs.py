@@ -36,9 +36,10 @@ def parse_alphamissense(rows: DataFrame, keep: tuple = ("ord", "uniprot_id")) ->
     return s.select(*keep, ref.alias("aaref"), pos.alias("aa_position"), alt.alias("aaalt"), x.hgvs_p_from_aa(ref, pos, alt).alias("hgvs_p"), score.alias("alphamissense_score"), F.coalesce("am_class", F.lit("unknown")).alias("alphamissense_class"))
 
 
-def load_alphamissense(rows: DataFrame, dim: DataFrame, ord_col: str = "ord") -> DataFrame:
+def load_alphamissense(rows: DataFrame, dim: DataFrame, ord_col: str = "ord", keep: tuple = ()) -> DataFrame:
+    """``keep``: further columns, such as the amino acids that ``substitution_scores`` needs."""
     own = joins.alphamissense_for_genes(parse_alphamissense(rows, (ord_col, "uniprot_id")), dim)
-    return dedupe.dedupe_last(own.select("gene", "hgvs_p", "alphamissense_score", "alphamissense_class", ord_col), ["gene", "hgvs_p"], ord_col)
+    return dedupe.dedupe_last(own.select("gene", "hgvs_p", "alphamissense_score", "alphamissense_class", *keep, ord_col), ["gene", "hgvs_p"], ord_col)
 
 
 def parse_revel(rows: DataFrame, keep: tuple = ("ord",)) -> DataFrame:
@@ -52,10 +53,24 @@ def load_gnomad(flat: DataFrame, ord_col: str = "ord") -> DataFrame:
     return dedupe.dedupe_last(own, ["gene", "hgvs_p"], ord_col)
 
 
-def feature_table(alphamissense: DataFrame, gnomad: DataFrame, clinvar: DataFrame | None = None, ord_col: str = "ord") -> DataFrame:
-    """All sources, one row per (gene, hgvs_p); later ones win on shared columns."""
-    sources = [d.drop(ord_col) for d in (alphamissense, gnomad, clinvar) if d is not None]
-    return merge.build_features(sources)
+def scored_clinvar(clinvar: DataFrame, revel: DataFrame, cadd: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """Clinical rows with revel_score of their coordinates and with cadd_raw, cadd_phred and the coordinates of the first row
+    there. revel: rows as read; every row of clinvar must have an ``ord_col`` of its own."""
+    own = joins.revel_by_coordinates(clinvar, revel, ord_col=ord_col).withColumn("position", F.col("position").cast("long"))
+    return joins.annotate_cadd(own, cadd, ord_col, ord_col)
+
+
+def substitution_scores(alphamissense: DataFrame, revel: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """Scores of AlphaMissense rows with revel_score of their amino acids. revel: parsed rows."""
+    return joins.revel_by_substitution(alphamissense, revel, ord_col=ord_col).select("gene", "hgvs_p", "alphamissense_score", "alphamissense_class", "revel_score")
+
+
+def feature_table(alphamissense: DataFrame, gnomad: DataFrame, clinvar: DataFrame | None = None, substitutions: DataFrame | None = None, ord_col: str = "ord") -> DataFrame:
+    """All sources, one row per (gene, hgvs_p); later ones win on shared columns, but a substitution without a REVEL score
+    leaves the one that is stored."""
+    sources = [d.drop(ord_col, "aaref", "aaalt") for d in (alphamissense, gnomad, clinvar) if d is not None]
+    table = merge.build_features(sources)
+    return merge.merge_coalesce(table, substitutions, ["revel_score"]) if substitutions is not None else table
 
 
 def coverage(features: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annomerge.functions import nested
@@ -12,21 +12,21 @@ from annomerge.functions import scalars as x
 from annomerge.operators import dedupe, filters, joins, lof, merge, quality, stats
 from annomerge.plans import jobs
 from annomerge.plans.adapters import adapter, ctes
+from annomerge.sources.shared import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 #: Views that oracles share, with the stand-ins that they need.
-AA = "'ACDEFGHIKLMNPQRSTVWY'"
-LONG = "'AlaCysAspGluPheGlyHisIleLysLeuMetAsnProGlnArgSerThrValTrpTyr'"
+AA, LONG = (f"'{''.join(part)}'" for part in (x.AMINO_ACIDS.keys(), x.AMINO_ACIDS.values()))
 
 
 def three(c: str) -> str:
     return f"CASE WHEN instr({AA}, {c}) > 0 THEN substr({LONG}, CAST(instr({AA}, {c}) * 3 - 2 AS INT), 3) ELSE {c} END"
 
 
-CHANGE = r"coalesce(nullif(regexp_extract(name, '\(p\.([A-Za-z]{3}\d+[A-Za-z]{3})\)', 1), ''), replace(nullif(regexp_extract(name, '\(p\.([A-Za-z]{3}\d+(?:Ter|\*))\)', 1), ''), '*', 'Ter'))"
+CHANGE = f"coalesce(nullif(regexp_extract(name, '{x.SUBSTITUTED}', 1), ''), replace(nullif(regexp_extract(name, '{x.STOPPED}', 1), ''), '*', 'Ter'))"
 PARSED = rf"""parsed AS (SELECT ord, gene_symbol AS gene, type, assembly, 'p.' || {CHANGE} AS hgvs_p,
-  'c.' || nullif(regexp_extract(name, ':c\.([^\s(]+)', 1), '') AS hgvs_c, nullif(chromosome, 'na') AS chromosome,
+  'c.' || nullif(regexp_extract(name, '{x.CODING}', 1), '') AS hgvs_c, nullif(chromosome, 'na') AS chromosome,
   TRY_CAST(nullif(nullif(pos_vcf, 'na'), '') AS BIGINT) AS position, nullif(nullif(ref_vcf, 'na'), '') AS ref, nullif(nullif(alt_vcf, 'na'), '') AS alt,
   TRY_CAST(variation_id AS BIGINT) AS clinvar_id, clinical_sig AS clinvar_significance, review_status AS clinvar_review_status,
   CAST(CASE lower(review_status) WHEN 'practice guideline' THEN 4 WHEN 'reviewed by expert panel' THEN 3 WHEN 'criteria provided, multiple submitters, no conflicts' THEN 2
@@ -38,23 +38,30 @@ AM = rf"""am_cut AS (SELECT *, CASE WHEN instr(protein_variant, '_') > 0 THEN su
   am_parsed AS (SELECT ord, uniprot_id, substr(v, 1, 1) AS aaref, TRY_CAST(nullif(regexp_extract(v, '^.(\d+).$', 1), '') AS INT) AS aa_position, substr(v, length(v), 1) AS aaalt,
   CASE WHEN am_pathogenicity IS NULL AND am_class IS NULL THEN 0.0::DOUBLE ELSE TRY_CAST(am_pathogenicity AS DOUBLE) END AS alphamissense_score, coalesce(am_class, 'unknown') AS alphamissense_class FROM am_cut),
   am_all AS (SELECT ord, uniprot_id, aaref, aa_position, aaalt, 'p.' || {three("aaref")} || CAST(aa_position AS VARCHAR) || {three("aaalt")} AS hgvs_p, alphamissense_score, alphamissense_class FROM am_parsed WHERE aa_position IS NOT NULL),
-  am_dim AS (SELECT DISTINCT symbol AS gene, symbol AS uniprot_id FROM genes_like WHERE symbol < 'Brand#3'),
-  am AS (SELECT gene, hgvs_p, alphamissense_score, alphamissense_class, ord FROM am_all JOIN am_dim USING (uniprot_id) QUALIFY row_number() OVER (PARTITION BY gene, hgvs_p ORDER BY ord DESC) = 1)"""
-GNOMAD = """g_flat AS (SELECT ord, symbol, variant_id, hgvsc AS hgvs_c, hgvsp AS hgvs_p, consequence, CASE WHEN exome_af <> 0 THEN exome_af ELSE genome_af END AS gnomad_af,
+  am_dim AS (SELECT DISTINCT symbol AS gene, symbol AS uniprot_id FROM genes_like),
+  am AS (SELECT gene, hgvs_p, alphamissense_score, alphamissense_class, aaref, aaalt, ord FROM am_all JOIN am_dim USING (uniprot_id) QUALIFY row_number() OVER (PARTITION BY gene, hgvs_p ORDER BY ord DESC) = 1)"""
+GNOMAD = """g_flat AS (SELECT ord, CAST(ord // 1000 AS BIGINT) AS part, CAST(row_number() OVER (PARTITION BY symbol, ord // 1000 ORDER BY ord) - 1 AS INT) AS place, symbol, variant_id, hgvsc AS hgvs_c, hgvsp AS hgvs_p, consequence, CASE WHEN exome_af <> 0 THEN exome_af ELSE genome_af END AS gnomad_af,
   CAST(CASE WHEN exome_an <> 0 THEN exome_an ELSE genome_an END AS BIGINT) AS gnomad_an, CAST(coalesce(exome_hom, 0) + coalesce(genome_hom, 0) AS BIGINT) AS gnomad_homozygotes FROM gnomad_like),
   gnomad AS (SELECT symbol AS gene, hgvs_p, hgvs_c, gnomad_af, gnomad_homozygotes, ord FROM g_flat WHERE hgvs_p <> '' QUALIFY row_number() OVER (PARTITION BY symbol, hgvs_p ORDER BY ord DESC) = 1)"""
-FEATURES = f"""{AM}, {GNOMAD}, {CLINVAR}, two AS (SELECT coalesce(a.gene, g.gene) AS gene, coalesce(a.hgvs_p, g.hgvs_p) AS hgvs_p, alphamissense_score, alphamissense_class, hgvs_c, gnomad_af, gnomad_homozygotes
-  FROM am a FULL JOIN gnomad g ON a.gene = g.gene AND a.hgvs_p = g.hgvs_p),
-  features AS (SELECT coalesce(t.gene, c.gene) AS gene, coalesce(t.hgvs_p, c.hgvs_p) AS hgvs_p, alphamissense_score, alphamissense_class, CASE WHEN c.gene IS NOT NULL THEN c.hgvs_c ELSE t.hgvs_c END AS hgvs_c,
-  gnomad_af, gnomad_homozygotes, chromosome, position, ref, alt, clinvar_id, clinvar_significance, clinvar_review_status, clinvar_stars, clinvar_last_evaluated
-  FROM two t FULL JOIN clinvar c ON t.gene = c.gene AND t.hgvs_p = c.hgvs_p)"""
 REVEL = """revel AS (SELECT ord, replace(chr, 'chr', '') AS chromosome, hg19_pos, grch38_pos, ref, alt, aaref, aaalt, TRY_CAST(REVEL AS DOUBLE) AS revel_score, Ensembl_transcriptid FROM revel_like WHERE TRY_CAST(REVEL AS DOUBLE) IS NOT NULL)"""
 FIRST_LAST = """d3 AS (SELECT aaref, aaalt, grch38_pos, revel_score FROM (SELECT *, min(ord) OVER (PARTITION BY aaref, aaalt, grch38_pos) AS f, max(ord) OVER (PARTITION BY aaref, aaalt, grch38_pos) AS l FROM revel)
   WHERE ord = l QUALIFY row_number() OVER (PARTITION BY aaref, aaalt ORDER BY f) = 1)"""
+SCORED = """revel_first AS (SELECT chr, grch38_pos, ref, alt, TRY_CAST(REVEL AS DOUBLE) AS revel_score FROM revel_like QUALIFY row_number() OVER (PARTITION BY chr, grch38_pos, ref, alt ORDER BY ord) = 1),
+  cadd_hit AS (SELECT a.ord AS id, c.Chrom, c.Pos, c.Ref AS cref, c.Alt AS calt, c.RawScore, c.PHRED FROM clinvar a JOIN cadd_like c ON a.chromosome = c.Chrom AND a.position = c.Pos AND (coalesce(a.ref, '') = '' OR a.ref = c.Ref) AND (coalesce(a.alt, '') = '' OR a.alt = c.Alt)
+  QUALIFY row_number() OVER (PARTITION BY a.ord ORDER BY c.ord) = 1),
+  scored AS (SELECT c.* REPLACE (coalesce(h.Chrom, c.chromosome) AS chromosome, coalesce(h.Pos, c.position) AS position, CASE WHEN h.id IS NOT NULL THEN h.cref ELSE c.ref END AS ref, CASE WHEN h.id IS NOT NULL THEN h.calt ELSE c.alt END AS alt),
+  r.revel_score, h.RawScore AS cadd_raw, h.PHRED AS cadd_phred FROM clinvar c LEFT JOIN revel_first r ON c.chromosome = r.chr AND CAST(c.position AS VARCHAR) = r.grch38_pos AND c.ref = r.ref AND c.alt = r.alt LEFT JOIN cadd_hit h ON c.ord = h.id),
+  subs AS (SELECT am.gene, am.hgvs_p, am.alphamissense_score, am.alphamissense_class, d3.revel_score FROM am LEFT JOIN d3 USING (aaref, aaalt))"""
+FEATURES = f"""{AM}, {GNOMAD}, {CLINVAR}, {REVEL}, {FIRST_LAST}, {SCORED}, two AS (SELECT coalesce(a.gene, g.gene) AS gene, coalesce(a.hgvs_p, g.hgvs_p) AS hgvs_p, alphamissense_score, alphamissense_class, hgvs_c, gnomad_af, gnomad_homozygotes
+  FROM am a FULL JOIN gnomad g ON a.gene = g.gene AND a.hgvs_p = g.hgvs_p),
+  three AS (SELECT coalesce(t.gene, c.gene) AS gene, coalesce(t.hgvs_p, c.hgvs_p) AS hgvs_p, alphamissense_score, alphamissense_class, CASE WHEN c.gene IS NOT NULL THEN c.hgvs_c ELSE t.hgvs_c END AS hgvs_c,
+  gnomad_af, gnomad_homozygotes, chromosome, position, ref, alt, clinvar_id, clinvar_significance, clinvar_review_status, clinvar_stars, clinvar_last_evaluated, revel_score, cadd_raw, cadd_phred
+  FROM two t FULL JOIN scored c ON t.gene = c.gene AND t.hgvs_p = c.hgvs_p),
+  features AS (SELECT t.* REPLACE (coalesce(u.revel_score, t.revel_score) AS revel_score) FROM three t LEFT JOIN subs u ON t.gene = u.gene AND t.hgvs_p = u.hgvs_p)"""
 LOF = """lof_typed AS (SELECT *, CASE WHEN coalesce(hgvs_p, '') LIKE '%fs%' THEN 'frameshift' WHEN coalesce(hgvs_p, '') LIKE '%Ter%' THEN 'nonsense' WHEN consequence LIKE '%splice_donor%' THEN 'splice_donor'
   WHEN consequence LIKE '%splice_acceptor%' THEN 'splice_acceptor' WHEN consequence LIKE '%stop_gained%' THEN 'nonsense' WHEN consequence LIKE '%frameshift%' THEN 'frameshift' END AS lof_type,
   CASE WHEN protein_length <= 0 THEN 0.0::DOUBLE ELSE aa_position::DOUBLE / protein_length::DOUBLE END AS truncation FROM lof_like)"""
-IN = {PARSED: ("clinvar_like",), CLINVAR: ("clinvar_like",), AM: ("am_like", "genes_like"), GNOMAD: ("gnomad_like",), FEATURES: ("clinvar_like", "am_like", "genes_like", "gnomad_like"), REVEL: ("revel_like",), LOF: ("lof_like",)}
+IN = {PARSED: ("clinvar_like",), CLINVAR: ("clinvar_like",), AM: ("am_like", "genes_like"), GNOMAD: ("gnomad_like",), FEATURES: ("clinvar_like", "am_like", "genes_like", "gnomad_like", "revel_like", "cadd_like"), REVEL: ("revel_like",), LOF: ("lof_like",)}
 
 
 def query(name: str, select: str, *views: str, tables: tuple = ()):
@@ -78,7 +85,7 @@ def clinvar(s, d):
 
 
 def dim(s, d):
-    return adapter(s, d, "genes_like").where("symbol < 'Brand#3'").select(F.col("symbol").alias("gene"), F.col("symbol").alias("uniprot_id"))
+    return adapter(s, d, "genes_like").select(F.col("symbol").alias("gene"), F.col("symbol").alias("uniprot_id"))
 
 
 def am_all(s, d):
@@ -86,21 +93,20 @@ def am_all(s, d):
 
 
 def am(s, d):
-    return jobs.load_alphamissense(adapter(s, d, "am_like"), dim(s, d))
+    return jobs.load_alphamissense(adapter(s, d, "am_like"), dim(s, d), keep=("aaref", "aaalt"))
 
 
 def payloads(s, d):
-    """The nested form: one payload per gene. The order rides in the variant id's place of a field of its own."""
+    """The nested form: a payload for each gene and thousand of rows, variants in row order, and the order of payloads."""
     g = adapter(s, d, "gnomad_like")
     side = lambda p: F.when(F.coalesce(f"{p}_af", f"{p}_an", f"{p}_hom").isNotNull(), F.struct(F.lit(None).cast("long").alias("ac"), F.col(f"{p}_an").cast("long").alias("an"), F.col(f"{p}_af").alias("af"), F.col(f"{p}_hom").cast("long").alias("homozygote_count")))
     v = F.struct("variant_id", "hgvsc", "hgvsp", "consequence", side("exome").alias("exome"), side("genome").alias("genome"))
-    groups = g.groupBy("symbol", F.floor(F.col("ord") / 1000).alias("part")).agg(F.collect_list(v).alias("variants"))
-    return groups.select(F.struct(F.struct(F.lit("ENSG").alias("gene_id"), "symbol", "variants").alias("gene")).alias("data"))
+    groups = g.groupBy("symbol", F.floor(F.col("ord") / 1000).alias("part")).agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", v.alias("v")))), lambda x: x["v"]).alias("variants"))
+    return groups.select("part", F.struct(F.struct(F.lit("ENSG").alias("gene_id"), "symbol", "variants").alias("gene")).alias("data"))
 
 
 def gnomad_flat(s, d):
-    flat = nested.flatten_gnomad(payloads(s, d))
-    return flat.withColumn("ord", F.split("variant_id", "-")[1].cast("long"))
+    return nested.flatten_gnomad(payloads(s, d), "part")
 
 
 def gnomad(s, d):
@@ -108,7 +114,15 @@ def gnomad(s, d):
 
 
 def features(s, d):
-    return jobs.feature_table(am(s, d), gnomad(s, d), clinvar(s, d))
+    return jobs.feature_table(am(s, d), gnomad(s, d), scored(s, d), substitutions(s, d))
+
+
+def scored(s, d):
+    return jobs.scored_clinvar(clinvar(s, d), adapter(s, d, "revel_like"), adapter(s, d, "cadd_like"))
+
+
+def substitutions(s, d):
+    return jobs.substitution_scores(am(s, d), revel(s, d))
 
 
 def revel(s, d):
@@ -128,27 +142,27 @@ query("dedupe_first", "SELECT * FROM clinvar", CLINVAR)(clinvar)
 query("load_clinvar", "SELECT ord, gene, hgvs_p, clinvar_id, clinvar_stars, clinvar_last_evaluated FROM clinvar WHERE gene IN (SELECT DISTINCT symbol FROM genes_like WHERE symbol < 'Brand#2')", CLINVAR, tables=("genes_like",))(lambda s, d: jobs.load_clinvar(adapter(s, d, "clinvar_like"), adapter(s, d, "genes_like").where("symbol < 'Brand#2'").select(F.col("symbol").alias("gene"))).select("ord", "gene", "hgvs_p", "clinvar_id", "clinvar_stars", "clinvar_last_evaluated"))
 query("review_stars", "SELECT clinvar_stars, count(*) AS n_rows FROM parsed GROUP BY clinvar_stars", PARSED)(lambda s, d: parsed(s, d).groupBy("clinvar_stars").agg(F.count("*").alias("n_rows")))
 query("normalize_genes", "SELECT DISTINCT upper(trim(g)) AS gene FROM (SELECT unnest(string_split(replace(c_mktsegment, 'E', ', e'), ',')) AS g FROM customer) WHERE trim(g) <> ''")(lambda s, d: filters.normalize_genes(s.read.parquet(f"{d}/customer.parquet").select(F.replace("c_mktsegment", F.lit("E"), F.lit(", e")).alias("genes")), "genes"))
-query("filter_gene_set", "SELECT ord, gene, hgvs_p FROM parsed WHERE gene IN (SELECT symbol FROM genes_like WHERE pli > 0.47)", PARSED, tables=("genes_like",))(lambda s, d: filters.filter_gene_set(parsed(s, d), adapter(s, d, "genes_like").where("pli > 0.47"), gene_col="symbol").select("ord", "gene", "hgvs_p"))
+query("filter_gene_set", "SELECT ord, gene, hgvs_p FROM parsed WHERE gene IN (SELECT symbol FROM genes_like WHERE symbol >= 'Brand#2')", PARSED, tables=("genes_like",))(lambda s, d: filters.filter_gene_set(parsed(s, d), adapter(s, d, "genes_like").where("symbol >= 'Brand#2'"), gene_col="symbol").select("ord", "gene", "hgvs_p"))
 query("parse_alphamissense", "SELECT * FROM am_all", AM)(am_all)
 query("drop_bad_scores", "SELECT ord, chromosome, aaref, aaalt, revel_score FROM revel", REVEL)(lambda s, d: revel(s, d).select("ord", "chromosome", "aaref", "aaalt", "revel_score"))
 query("alphamissense_for_genes", "SELECT * FROM am_all JOIN am_dim USING (uniprot_id)", AM)(lambda s, d: joins.alphamissense_for_genes(am_all(s, d), dim(s, d)))
-query("unmapped_genes", "SELECT DISTINCT symbol AS gene FROM gnomad_like WHERE symbol NOT IN (SELECT gene FROM am_dim)", AM, tables=("gnomad_like",))(lambda s, d: joins.unmapped_genes(adapter(s, d, "gnomad_like").select(F.col("symbol").alias("gene")).distinct(), dim(s, d)))
+query("unmapped_genes", "SELECT DISTINCT symbol AS gene FROM gnomad_like WHERE symbol NOT IN (SELECT symbol FROM genes_like WHERE symbol < 'Brand#3')", tables=("gnomad_like", "genes_like"))(lambda s, d: joins.unmapped_genes(adapter(s, d, "gnomad_like").select(F.col("symbol").alias("gene")).distinct(), dim(s, d).where("gene < 'Brand#3'")))
 query("dedupe_last", "SELECT * FROM am", AM)(am)
 query("last_known", "SELECT symbol AS gene, exome_af FROM gnomad_like WHERE exome_af IS NOT NULL QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ord DESC) = 1", tables=("gnomad_like",))(lambda s, d: dedupe.last_known(adapter(s, d, "gnomad_like").withColumnRenamed("symbol", "gene"), ["gene"], "ord", "exome_af"))
 
 # Nested payloads and frequencies
 
-query("flatten_gnomad", "SELECT symbol, variant_id, hgvs_c, hgvs_p, consequence, gnomad_af, gnomad_an, gnomad_homozygotes, ord FROM g_flat", GNOMAD)(gnomad_flat)
+query("flatten_gnomad", "SELECT symbol, variant_id, hgvs_c, hgvs_p, consequence, gnomad_af, gnomad_an, gnomad_homozygotes, part, place FROM g_flat", GNOMAD)(lambda s, d: gnomad_flat(s, d).withColumn("part", F.col("ord.payload")).drop("ord"))
 query("preferred_af", "SELECT ord, gnomad_af, coalesce(exome_af, genome_af) AS plain_af FROM g_flat JOIN gnomad_like USING (ord)", GNOMAD)(lambda s, d: adapter(s, d, "gnomad_like").select("ord", x.preferred(F.col("exome_af"), F.col("genome_af")).alias("gnomad_af"), x.preferred(F.col("exome_af"), F.col("genome_af"), zero_is_missing=False).alias("plain_af")))
 query("homozygotes", "SELECT ord, gnomad_homozygotes FROM g_flat", GNOMAD)(lambda s, d: adapter(s, d, "gnomad_like").select("ord", x.homozygotes(F.col("exome_hom"), F.col("genome_hom")).cast("long").alias("gnomad_homozygotes")))
-query("require_protein_change", "SELECT ord, symbol, hgvs_p FROM g_flat WHERE hgvs_p <> ''", GNOMAD)(lambda s, d: filters.require_protein_change(gnomad_flat(s, d)).select("ord", "symbol", "hgvs_p"))
+query("require_protein_change", "SELECT variant_id, symbol, hgvs_p FROM g_flat WHERE hgvs_p <> ''", GNOMAD)(lambda s, d: filters.require_protein_change(gnomad_flat(s, d)).select("variant_id", "symbol", "hgvs_p"))
 query("protein_change_counts", "SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE hgvs_p <> '') AS BIGINT) AS loaded, CAST(count(*) FILTER (WHERE coalesce(hgvs_p, '') = '') AS BIGINT) AS skipped FROM g_flat", GNOMAD)(lambda s, d: stats.protein_change_counts(gnomad_flat(s, d)))
 
 
-@query("gnomad_by_variant_id", "SELECT e.event_id, g.variant_id AS variant_id, g.gnomad_af FROM events e LEFT JOIN g_flat g ON g.variant_id = CAST(e.user_id % 22 + 1 AS VARCHAR) || '-' || CAST(e.event_id AS VARCHAR) || '-A-C' AND e.event_id % 3 <> 1 WHERE e.event_id % 3 <> 1", GNOMAD)
+@query("gnomad_by_variant_id", "SELECT e.event_id, 'asked' AS side, CAST(e.user_id % 22 + 1 AS VARCHAR) || '-' || CAST(e.event_id AS VARCHAR) || '-A-' || CASE WHEN value > 50 THEN 'C' ELSE 'G' END AS variant_id, g.gnomad_af FROM events e LEFT JOIN g_flat g ON g.variant_id = CAST(e.user_id % 22 + 1 AS VARCHAR) || '-' || CAST(e.event_id AS VARCHAR) || '-A-' || CASE WHEN value > 50 THEN 'C' ELSE 'G' END", GNOMAD)
 def _(s, d):
-    asked = s.read.parquet(f"{d}/events.parquet").where("event_id % 3 <> 1").select("event_id", F.concat(F.lit("chr"), (F.col("user_id") % 22 + 1).cast("string")).alias("chromosome"), F.col("event_id").alias("position"), F.lit("A").alias("ref"), F.lit("C").alias("alt"))
-    return joins.gnomad_by_variant_id(asked, gnomad_flat(s, d).select("variant_id", "gnomad_af")).select("event_id", "variant_id", "gnomad_af")
+    asked = s.read.parquet(f"{d}/events.parquet").select("event_id", F.lit("asked").alias("side"), F.concat(F.lit("chr"), (F.col("user_id") % 22 + 1).cast("string")).alias("chromosome"), F.col("event_id").alias("position"), F.lit("A").alias("ref"), F.when(F.col("value") > 50, "C").otherwise("G").alias("alt"))
+    return joins.gnomad_by_variant_id(asked, gnomad_flat(s, d).select("variant_id", "gnomad_af")).select("event_id", "side", "variant_id", "gnomad_af")
 
 
 # Merges
@@ -157,8 +171,9 @@ SMALL = "gene, hgvs_p, hgvs_c, gnomad_af, clinvar_id"
 query("build_features", "SELECT * FROM features", FEATURES)(features)
 query("merge_overwrite", """SELECT coalesce(c.gene, g.gene) AS gene, coalesce(c.hgvs_p, g.hgvs_p) AS hgvs_p, CASE WHEN g.gene IS NOT NULL THEN g.hgvs_c ELSE c.hgvs_c END AS hgvs_c, clinvar_id, gnomad_af
   FROM clinvar c FULL JOIN gnomad g ON c.gene = g.gene AND c.hgvs_p = g.hgvs_p""", CLINVAR, GNOMAD)(lambda s, d: merge.merge_overwrite(clinvar(s, d).select("gene", "hgvs_p", "hgvs_c", "clinvar_id"), gnomad(s, d).select("gene", "hgvs_p", "hgvs_c", "gnomad_af")))
-query("merge_coalesce", """SELECT coalesce(c.gene, g.gene) AS gene, coalesce(c.hgvs_p, g.hgvs_p) AS hgvs_p, coalesce(g.hgvs_c, c.hgvs_c) AS hgvs_c, clinvar_id, gnomad_af
-  FROM clinvar c FULL JOIN gnomad g ON c.gene = g.gene AND c.hgvs_p = g.hgvs_p""", CLINVAR, GNOMAD)(lambda s, d: merge.merge_coalesce(clinvar(s, d).select("gene", "hgvs_p", "hgvs_c", "clinvar_id"), gnomad(s, d).select("gene", "hgvs_p", "hgvs_c", "gnomad_af"), ["hgvs_c"]))
+query("merge_coalesce", """SELECT coalesce(c.gene, u.gene) AS gene, coalesce(c.hgvs_p, u.hgvs_p) AS hgvs_p, coalesce(u.revel_score, c.revel_score) AS revel_score, c.clinvar_id, u.alphamissense_score
+  FROM scored c FULL JOIN subs u ON c.gene = u.gene AND c.hgvs_p = u.hgvs_p""", FEATURES)(lambda s, d: merge.merge_coalesce(scored(s, d).select("gene", "hgvs_p", "revel_score", "clinvar_id"), substitutions(s, d).select("gene", "hgvs_p", "revel_score", "alphamissense_score"), ["revel_score"]))
+query("scored_clinvar", "SELECT ord, chromosome, position, ref, alt, revel_score, cadd_raw, cadd_phred FROM scored", FEATURES)(lambda s, d: scored(s, d).select("ord", "chromosome", "position", "ref", "alt", "revel_score", "cadd_raw", "cadd_phred"))
 
 LOF_TARGET = """lof_t AS (SELECT gene, hgvs_c, lof_type, truncation, hgvs_p FROM lof_typed WHERE ord % 2 = 0 AND lof_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gene, hgvs_c ORDER BY ord) = 1),
   lof_s AS (SELECT gene, hgvs_c, lof_type, consequence FROM lof_typed WHERE ord % 2 = 1 AND lof_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY gene, hgvs_c ORDER BY ord DESC) = 1)"""
@@ -183,8 +198,8 @@ def _(s, d):
     return merge.merge_genes(adapter(s, d, "genes_like").where("symbol < 'Brand#3'"), source)
 
 
-PEN = """pen_t AS (SELECT variant_type, variant_id, gene, hgvs_p, penetrance_mean FROM penetrance_like WHERE ord % 2 = 0 QUALIFY row_number() OVER (PARTITION BY variant_type, variant_id ORDER BY ord) = 1),
-  pen_s AS (SELECT variant_type, variant_id, gene, hgvs_p, penetrance_mean FROM penetrance_like WHERE ord % 3 = 0 QUALIFY row_number() OVER (PARTITION BY variant_type, variant_id ORDER BY ord DESC) = 1),
+PEN = """pen_t AS (SELECT variant_type, variant_id, gene, hgvs_p, penetrance_mean FROM penetrance_like WHERE penetrance_mean < 0.5 QUALIFY row_number() OVER (PARTITION BY variant_type, variant_id ORDER BY ord) = 1),
+  pen_s AS (SELECT variant_type, variant_id, gene, hgvs_p, penetrance_mean FROM penetrance_like WHERE penetrance_mean >= 0.25 QUALIFY row_number() OVER (PARTITION BY variant_type, variant_id ORDER BY ord DESC) = 1),
   pen AS (SELECT coalesce(t.variant_type, s.variant_type) AS variant_type, coalesce(t.variant_id, s.variant_id) AS variant_id, CASE WHEN t.variant_id IS NOT NULL THEN t.gene ELSE s.gene END AS gene,
   CASE WHEN t.variant_id IS NOT NULL THEN t.hgvs_p ELSE s.hgvs_p END AS hgvs_p, CASE WHEN s.variant_id IS NOT NULL THEN s.penetrance_mean ELSE t.penetrance_mean END AS penetrance_mean
   FROM pen_t t FULL JOIN pen_s s ON t.variant_type = s.variant_type AND t.variant_id = s.variant_id)"""
@@ -194,7 +209,7 @@ IN[PEN] = ("penetrance_like",)
 def penetrance(s, d):
     rows = adapter(s, d, "penetrance_like")
     keys = ["variant_type", "variant_id"]
-    return merge.merge_penetrance(dedupe.dedupe_first(rows.where("ord % 2 = 0"), keys, "ord").drop("ord"), dedupe.dedupe_last(rows.where("ord % 3 = 0"), keys, "ord").drop("ord"))
+    return merge.merge_penetrance(dedupe.dedupe_first(rows.where("penetrance_mean < 0.5"), keys, "ord").drop("ord"), dedupe.dedupe_last(rows.where("penetrance_mean >= 0.25"), keys, "ord").drop("ord"))
 
 
 query("merge_penetrance", "SELECT * FROM pen", PEN)(penetrance)
@@ -262,25 +277,35 @@ def _(s, d):
 
 # Reports and lookups over the feature table
 
-query("coverage_by_gene", "SELECT gene, CAST(count(*) AS BIGINT) AS total, CAST(count(clinvar_id) AS BIGINT) AS with_clinvar, CAST(count(alphamissense_score) AS BIGINT) AS with_alphamissense, CAST(count(gnomad_af) AS BIGINT) AS with_gnomad, CAST(0 AS BIGINT) AS with_revel FROM features GROUP BY gene", FEATURES)(lambda s, d: stats.coverage_by_gene(features(s, d).withColumn("revel_score", F.lit(None).cast("double"))))
+RANK = "row_number() OVER (PARTITION BY gene ORDER BY hgvs_p)"
+
+
+def placed(rows, order: str | None = None):
+    """Rows with their place in their gene, by the order that they stand in or that a reader noted."""
+    out = rows if order else rows.withColumn("_stands", F.monotonically_increasing_id())
+    return out.withColumn("place", F.row_number().over(Window.partitionBy("gene").orderBy(order or "_stands")).cast("long"))
+
+
+query("coverage_by_gene", "SELECT gene, CAST(count(*) AS BIGINT) AS total, CAST(count(clinvar_id) AS BIGINT) AS with_clinvar, CAST(count(alphamissense_score) AS BIGINT) AS with_alphamissense, CAST(count(gnomad_af) AS BIGINT) AS with_gnomad, CAST(count(revel_score) AS BIGINT) AS with_revel FROM features GROUP BY gene", FEATURES)(lambda s, d: stats.coverage_by_gene(features(s, d)))
 query("verify_gene_totals", "SELECT gene, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE clinvar_id <> 0) AS BIGINT) AS with_clinvar, CAST(count(gnomad_af) AS BIGINT) AS with_frequency FROM features GROUP BY gene", FEATURES)(lambda s, d: stats.verify_gene_totals(features(s, d)))
 query("load_counts", """, wanted_genes AS (SELECT DISTINCT 'Brand#' || CAST(n_nationkey + 11 AS VARCHAR) AS gene FROM nation), per AS (SELECT w.gene, CAST(count(c.gene) AS BIGINT) AS n_rows FROM wanted_genes w LEFT JOIN clinvar c ON w.gene = c.gene GROUP BY w.gene)
   SELECT gene, n_rows FROM per UNION ALL SELECT NULL, CAST(sum(n_rows) AS BIGINT) FROM per""", CLINVAR)(lambda s, d: stats.load_counts(s.read.parquet(f"{d}/nation.parquet").select(F.concat(F.lit("Brand#"), (F.col("n_nationkey") + 11).cast("string")).alias("gene")), clinvar(s, d)))
-query("variants_for_gene", f"SELECT upper(gene) AS gene, hgvs_p, hgvs_c, gnomad_af, clinvar_id FROM features WHERE upper(gene) = 'BRAND#7'", FEATURES)(lambda s, d: filters.variants_for_gene(features(s, d).withColumn("gene", F.upper("gene")), "Brand#7").select(*SMALL.split(", ")))
-query("lookup_variants", "SELECT k.gene, k.hgvs_p, f.gnomad_af, f.clinvar_id FROM (SELECT DISTINCT symbol AS gene, hgvs_p FROM g_flat WHERE ord % 10 = 0 AND hgvs_p <> '') k LEFT JOIN features f ON k.gene = f.gene AND k.hgvs_p = f.hgvs_p", FEATURES)(lambda s, d: filters.lookup_variants(gnomad_flat(s, d).where("ord % 10 = 0 AND hgvs_p <> ''").select(F.col("symbol").alias("gene"), "hgvs_p").distinct(), features(s, d), ["gene", "hgvs_p"]).select("gene", "hgvs_p", "gnomad_af", "clinvar_id"))
+query("variants_for_gene", f"SELECT upper(gene) AS gene, hgvs_p, hgvs_c, gnomad_af, clinvar_id, CAST({RANK} AS BIGINT) AS place FROM features WHERE upper(gene) = 'BRAND#7'", FEATURES)(lambda s, d: placed(filters.variants_for_gene(features(s, d).withColumn("gene", F.upper("gene")), "Brand#7")).select(*SMALL.split(", "), "place"))
+query("lookup_variants", "SELECT k.gene, k.hgvs_p, f.gnomad_af, f.clinvar_id FROM (SELECT DISTINCT gene, hgvs_p FROM lof_like WHERE hgvs_p IS NOT NULL) k LEFT JOIN features f ON k.gene = f.gene AND k.hgvs_p = f.hgvs_p", FEATURES, tables=("lof_like",))(lambda s, d: filters.lookup_variants(lof_rows(s, d).where("hgvs_p IS NOT NULL").select("gene", "hgvs_p").distinct(), features(s, d), ["gene", "hgvs_p"]).select("gene", "hgvs_p", "gnomad_af", "clinvar_id"))
 query("find_substitution", "SELECT ord, uniprot_id, hgvs_p FROM am_all WHERE aa_position = 21 AND aaalt = 'V'", AM)(lambda s, d: filters.find_substitution(am_all(s, d).withColumnsRenamed({"aa_position": "position", "aaalt": "alt_aa"}), 21, "V").select("ord", "uniprot_id", "hgvs_p"))
 query("has_annotation", f"SELECT {SMALL} FROM features WHERE gnomad_af IS NOT NULL AND clinvar_id IS NOT NULL", FEATURES)(lambda s, d: filters.has_annotation(features(s, d), "gnomad_af", "clinvar_id").select(*SMALL.split(", ")))
-query("sort_features", f"SELECT {SMALL} FROM features", FEATURES)(lambda s, d: filters.sort_features(features(s, d)).select(*SMALL.split(", ")))
+query("sort_features", f"SELECT {SMALL}, CAST({RANK} AS BIGINT) AS place FROM features", FEATURES)(lambda s, d: placed(filters.sort_features(features(s, d))).select(*SMALL.split(", "), "place"))
 query("top_rows_report", f"SELECT {SMALL}, CAST(greatest(count(*) OVER (PARTITION BY gene) - 50, 0) AS BIGINT) AS n_more FROM features QUALIFY row_number() OVER (PARTITION BY gene ORDER BY hgvs_p) <= 50", FEATURES)(lambda s, d: dedupe.top_rows(features(s, d), "gene", ["hgvs_p"]).select(*SMALL.split(", "), F.col("n_more").cast("long").alias("n_more")))
-query("sample_rows", "SELECT ord, symbol, hgvs_p FROM g_flat WHERE hgvs_p <> '' ORDER BY ord LIMIT 15", GNOMAD)(lambda s, d: dedupe.sample_rows(filters.require_protein_change(gnomad_flat(s, d)).select("ord", "symbol", "hgvs_p"), "ord", 15))
-query("display_row", "SELECT gene, coalesce(substr(hgvs_p, 1, 19), 'N/A') AS hgvs_p, alphamissense_score IS NULL OR alphamissense_score = 0 AS no_score, gnomad_af IS NULL OR gnomad_af = 0 AS no_af, coalesce(substr(clinvar_significance, 1, 19), 'N/A') AS clinvar FROM features", FEATURES)(lambda s, d: filters.display_rows(features(s, d)).select("gene", "hgvs_p", (F.col("alphamissense") == "N/A").alias("no_score"), (F.col("af") == "N/A").alias("no_af"), "clinvar"))
+query("sample_rows", "SELECT part, symbol, place, hgvs_p FROM g_flat WHERE hgvs_p <> '' ORDER BY part, symbol, place LIMIT 15", GNOMAD)(lambda s, d: dedupe.sample_rows(filters.require_protein_change(gnomad_flat(s, d)).select(F.struct("ord.payload", "symbol", "place").alias("o"), "hgvs_p"), "o", 15).select(F.col("o.payload").alias("part"), "o.symbol", "o.place", "hgvs_p"))
+query("display_row", """SELECT gene, coalesce(substr(hgvs_p, 1, 19), 'N/A') AS hgvs_p, CASE WHEN alphamissense_score <> 0 THEN printf('%.3f', alphamissense_score) ELSE 'N/A' END AS alphamissense,
+  CASE WHEN gnomad_af <> 0 THEN printf('%.2e', gnomad_af) ELSE 'N/A' END AS af, coalesce(substr(clinvar_significance, 1, 19), 'N/A') AS clinvar FROM features""", FEATURES)(lambda s, d: filters.display_rows(features(s, d)))
 
 
-@query("nearby_variants", """, q AS (SELECT n_nationkey AS id, 'Brand#' || CAST(n_nationkey + 1 AS VARCHAR) AS gene, CAST(n_nationkey * 2 + 5 AS INT) AS p FROM nation), v AS (SELECT uniprot_id AS gene, aa_position AS position, hgvs_p, ord FROM am_all)
+@query("nearby_variants", """, q AS (SELECT s_suppkey AS id, 'Brand#' || CAST(s_suppkey % 25 + 1 AS VARCHAR) AS gene, CAST(s_suppkey % 60 + 1 AS INT) AS p FROM supplier), v AS (SELECT uniprot_id AS gene, aa_position AS position, hgvs_p, ord FROM am_all)
   SELECT q.id, v.gene, v.position, v.hgvs_p, v.ord FROM q JOIN v ON q.gene = v.gene AND abs(v.position - q.p) <= 5 QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY v.ord) <= 10""", AM)
 def _(s, d):
-    k = F.col("n_nationkey")
-    asked = s.read.parquet(f"{d}/nation.parquet").select(k.alias("id"), F.concat(F.lit("Brand#"), (k + 1).cast("string")).alias("gene"), (k * 2 + 5).cast("int").alias("position"))
+    k = F.col("s_suppkey")
+    asked = s.read.parquet(f"{d}/supplier.parquet").select(k.alias("id"), F.concat(F.lit("Brand#"), (k % 25 + 1).cast("string")).alias("gene"), (k % 60 + 1).cast("int").alias("position"))
     rows = am_all(s, d).select(F.col("uniprot_id").alias("gene"), F.col("aa_position").alias("position"), "hgvs_p", "ord")
     return joins.nearby_variants(asked, rows, "id").select("id", "gene", "position", "hgvs_p", "ord")
 
@@ -315,19 +340,11 @@ query("constraint_violations", "SELECT variant_type, variant_id, ord, 'variant_t
 # Sources and sinks, written and read back in the folder that the cluster shares
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="annomerge-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query("read_alphamissense", "SELECT uniprot_id, protein_variant, am_pathogenicity, am_class FROM am_like", tables=("am_like",))
 def _(s, d):
     from annomerge.sources.readers import read_alphamissense
 
-    path = scratch(s, "am")
+    path = fresh_path(s, "am")
     adapter(s, d, "am_like").drop("ord").write.option("sep", "\t").option("header", True).option("quote", "").csv(path)
     return read_alphamissense(s, path)
 
@@ -337,7 +354,7 @@ def _(s, d):
     from annomerge.sources.readers import read_clinvar
     from annomerge.sources.schemas import SUMMARY_COLUMNS
 
-    path, rows = scratch(s, "summary"), adapter(s, d, "clinvar_like")
+    path, rows = fresh_path(s, "summary"), adapter(s, d, "clinvar_like")
     named = lambda i: SUMMARY_COLUMNS.get(i) if SUMMARY_COLUMNS.get(i) in rows.columns else None
     rows.select(*[(F.col(named(i)) if named(i) else F.lit("x")).alias(f"h{i}") for i in range(34)]).write.option("sep", "\t").option("header", True).option("quote", "").csv(path)
     return read_clinvar(s, path).drop("allele_id", "start")
@@ -347,7 +364,7 @@ def _(s, d):
 def _(s, d):
     from annomerge.sources.readers import read_revel
 
-    path = scratch(s, "revel")
+    path = fresh_path(s, "revel")
     adapter(s, d, "revel_like").drop("ord").write.option("header", True).csv(path)
     return read_revel(s, path)
 
@@ -356,8 +373,8 @@ def _(s, d):
 def _(s, d):
     from annomerge.sources.readers import read_gnomad
 
-    path = scratch(s, "gnomad")
-    payloads(s, d).write.json(path)
+    path = fresh_path(s, "gnomad")
+    payloads(s, d).select("data").write.json(path)
     v = read_gnomad(s, path).select(F.col("data.gene.symbol").alias("symbol"), F.explode("data.gene.variants").alias("v"))
     return v.select("symbol", "v.variant_id", F.col("v.hgvsc").alias("hgvs_c"), F.col("v.hgvsp").alias("hgvs_p"), F.col("v.genome.af").alias("genome_af"))
 
@@ -366,19 +383,28 @@ def _(s, d):
 def _(s, d):
     from annomerge.sources.readers import read_cadd
 
-    path = scratch(s, "cadd")
+    path = fresh_path(s, "cadd")
     rows = adapter(s, d, "cadd_like").select(F.concat_ws("\t", "Chrom", "Pos", "Ref", "Alt", "RawScore", "PHRED").alias("line"))
     rows.unionByName(rows.limit(1).select(F.lit("#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED").alias("line"))).write.text(path)
     return read_cadd(s, path)
 
 
+@query("annotate_cadd_from_files", f"SELECT a.ord, h.RawScore AS cadd_raw, h.PHRED AS cadd_phred FROM clinvar a LEFT JOIN cadd_hit h ON a.ord = h.id", FEATURES)
+def _(s, d):
+    from annomerge.sources.readers import read_cadd
+
+    path = fresh_path(s, "cadd-sorted")
+    adapter(s, d, "cadd_like").orderBy("ord").select(F.concat_ws("\t", "Chrom", "Pos", "Ref", "Alt", "RawScore", "PHRED").alias("line")).write.text(path)
+    return joins.annotate_cadd(clinvar(s, d), read_cadd(s, path, order=True), "ord").select("ord", "cadd_raw", "cadd_phred")
+
+
 @query("read_scored_variants", f"""SELECT 'p.' || {three("aaref")} || CAST(aa_position AS VARCHAR) || {three("aaalt")} AS hgvs_p, aaref, aaalt, alphamissense_score, alphamissense_class FROM am_parsed WHERE aa_position IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY aaref, aa_position, aaalt ORDER BY ord DESC) = 1""", AM)
 def _(s, d):
     from annomerge.sources.readers import read_scored_variants
 
-    path = scratch(s, "scored")
-    adapter(s, d, "am_like").orderBy("ord").select(F.col("protein_variant").alias("variant"), "am_pathogenicity", "am_class").coalesce(1).write.option("header", True).csv(path)
+    path = fresh_path(s, "scored")
+    adapter(s, d, "am_like").orderBy("ord").select(F.col("protein_variant").alias("variant"), "am_pathogenicity", "am_class").write.option("header", True).csv(path)
     return read_scored_variants(s, path)
 
 
@@ -387,12 +413,18 @@ def _(s, d):
     from annomerge.sources.readers import read_features
     from annomerge.sources.writers import write_features
 
-    path = scratch(s, "features")
+    path = fresh_path(s, "features")
     write_features(features(s, d), path)
     return read_features(s, path).where("gene = 'Brand#5'").select(*SMALL.split(", "))
 
 
-query("gene_dims", "SELECT symbol AS gene, symbol AS uniprot_id FROM genes_like WHERE symbol < 'Brand#3'", tables=("genes_like",))(dim)
+@query("gene_dims", """SELECT g.symbol AS gene, 'P' || g.symbol AS uniprot_id, t1 || ';' || t2 AS transcripts FROM genes_like g LEFT JOIN wanted w ON g.symbol = w.gene""", TRANSCRIPTS, tables=("genes_like",))
+def _(s, d):
+    from annomerge.sources.readers import gene_dims
+
+    named = {r["symbol"]: f"P{r['symbol']}" for r in adapter(s, d, "genes_like").select("symbol").collect()}
+    proteins, listed = gene_dims(s, named, {r["gene"]: r["transcript_ids"] for r in transcripts(s, d).collect()})
+    return proteins.join(listed, "gene", "left").select("gene", "uniprot_id", F.array_join("transcript_ids", ";").alias("transcripts"))
 
 
 @query("write_features", f"SELECT {SMALL} FROM features", FEATURES)
@@ -400,7 +432,7 @@ def _(s, d):
     from annomerge.sources.readers import read_features
     from annomerge.sources.writers import write_features
 
-    path = scratch(s, "features")
+    path = fresh_path(s, "features")
     write_features(features(s, d), path)
     return read_features(s, path).select(*SMALL.split(", "))
 
@@ -409,24 +441,35 @@ def _(s, d):
 def _(s, d):
     from annomerge.sources.writers import write_gene_cache
 
-    path = scratch(s, "cache")
-    write_gene_cache(am(s, d).drop("ord"), path, "tsv")
+    path = fresh_path(s, "cache")
+    write_gene_cache(am(s, d).drop("ord", "aaref", "aaalt"), path, "tsv")
     return s.read.option("sep", "\t").option("header", True).csv(path).select("gene", "hgvs_p", "alphamissense_class")
 
 
-@query("export_csv", "SELECT gene, hgvs_p, hgvs_c, CAST(clinvar_id AS VARCHAR) AS clinvar_id FROM clinvar", CLINVAR)
+@query("export_csv", f"SELECT gene, hgvs_p, hgvs_c, CAST(clinvar_id AS VARCHAR) AS clinvar_id, CAST({RANK} AS BIGINT) AS place FROM clinvar", CLINVAR)
 def _(s, d):
+    from annomerge.sources.readers import with_row_order
     from annomerge.sources.writers import export_csv
 
-    path = scratch(s, "csv")
-    export_csv(clinvar(s, d), path)
-    return s.read.option("header", True).option("escape", '"').csv(path).select("gene", "hgvs_p", "hgvs_c", "clinvar_id")
+    path = fresh_path(s, "csv")
+    export_csv(clinvar(s, d).drop("ord"), path)
+    return placed(with_row_order(s.read.option("header", True).option("escape", '"').csv(path)), "ord").select("gene", "hgvs_p", "hgvs_c", "clinvar_id", "place")
+
+
+@query("write_tsv", "SELECT CAST(ord AS VARCHAR) AS ord, gene, lof_type, lof_flags AS loftee_flags, CAST(CAST(nmd_escape AS INT) AS VARCHAR) AS nmd_escape FROM annotated", LOF, ANNOTATED)
+def _(s, d):
+    from annomerge.sources.writers import write_tsv
+
+    path = fresh_path(s, "tsv")
+    write_tsv(annotated(s, d).select("ord", "gene", "lof_type", "loftee_flags", "nmd_escape"), path)
+    read = s.read.option("sep", "\t").option("header", True).csv(path)
+    return read.select("ord", "gene", "lof_type", F.coalesce("loftee_flags", F.lit("")).alias("loftee_flags"), "nmd_escape")
 
 
 @query("export_json", f"SELECT {SMALL} FROM features", FEATURES)
 def _(s, d):
     from annomerge.sources.writers import export_json
 
-    path = scratch(s, "json")
+    path = fresh_path(s, "json")
     export_json(features(s, d).select(*SMALL.split(", ")), path)
     return s.read.schema("gene string, hgvs_p string, hgvs_c string, gnomad_af double, clinvar_id long").json(path)

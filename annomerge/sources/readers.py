@@ -38,14 +38,16 @@ def read_revel(spark: SparkSession, path: str, order: bool = False) -> DataFrame
     return with_row_order(rows) if order else rows
 
 
-def read_gnomad(spark: SparkSession, path: str) -> DataFrame:
+def read_gnomad(spark: SparkSession, path: str, order: bool = False) -> DataFrame:
     """Saved payloads, one JSON document a line."""
-    return spark.read.schema(schemas.GNOMAD).json(path)
+    rows = spark.read.schema(schemas.GNOMAD).json(path)
+    return with_row_order(rows) if order else rows
 
 
-def read_cadd(spark: SparkSession, path: str) -> DataFrame:
-    """Bulk files with the header ``#Chrom``."""
-    return spark.read.option("sep", "\t").option("comment", "#").schema(schemas.CADD).csv(path)
+def read_cadd(spark: SparkSession, path: str, order: bool = False) -> DataFrame:
+    """Bulk files with the header ``#Chrom``; ``order`` is what the first match at a place is chosen by."""
+    rows = spark.read.option("sep", "\t").option("comment", "#").schema(schemas.CADD).csv(path)
+    return with_row_order(rows) if order else rows
 
 
 def cadd_from_payload(rows: DataFrame, col: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-#: Positions, from 0, of the columns that are used of the 34 of a clinical summary file.
+# Positions, from 0, of the columns that are used of the 34 of a clinical summary file.
 SUMMARY_COLUMNS = {0: "allele_id", 1: "type", 2: "name", 4: "gene_symbol", 6: "clinical_sig", 8: "last_evaluated", 16: "assembly", 18: "chromosome", 19: "start", 24: "review_status", 30: "variation_id", 31: "pos_vcf", 32: "ref_vcf", 33: "alt_vcf"}
 CLINVAR = ", ".join(f"{SUMMARY_COLUMNS.get(i, f'c{i}')} string" for i in range(34))
 ALPHAMISSENSE = "uniprot_id string, protein_variant string, am_pathogenicity string, am_class string"

@@ -87,6 +87,60 @@ def test_cadd_payload(spark):
     assert [(r.Chrom, r.Pos, r.RawScore, r.PHRED) for r in readers.cadd_from_payload(df, "p").collect()] == [("1", 5, 0.0, 7.5)]
 
 
+def test_revel_for_genes_by_map_and_by_join(spark):
+    scores = spark.createDataFrame([(1, 0.1, "T1;T2;T1"), (2, 0.2, "T3"), (3, 0.3, None), (4, 0.4, "T9;T2")], "ord int, revel_score double, Ensembl_transcriptid string")
+    wanted = spark.createDataFrame([("A", ["T2", "T1"]), ("B", ["T2", "T9"]), ("C", None)], "gene string, transcript_ids array<string>")
+    got = [sorted((r.gene, r.ord, tuple(r.matched_transcripts)) for r in joins.revel_for_genes(scores, wanted, most=most).collect()) for most in (1000, 1)]
+    assert got[0] == got[1] == [("A", 1, ("T2", "T1")), ("A", 4, ("T2",)), ("B", 1, ("T2",)), ("B", 4, ("T2", "T9"))]
+
+
+def test_top_rows_count_the_rest(spark):
+    df = spark.createDataFrame([("G", k) for k in range(7)] + [(None, 1), ("H", 1)], "gene string, k int")
+    assert rows(dedupe.top_rows(df, "gene", ["k"], 2), "gene", "k") == [(None, 1, 0), ("G", 0, 5), ("G", 1, 5), ("H", 1, 0)]
+
+
+def test_gnomad_payloads_keep_row_order(spark, tmp_path):
+    variant = '{"variant_id": "%s", "hgvsc": null, "hgvsp": "%s", "consequence": "x", "exome": {"ac": 1, "an": 2, "af": %s, "homozygote_count": 0}, "genome": null}'
+    body = lambda *v: '{"data": {"gene": {"gene_id": "E", "symbol": "G", "variants": [' + ", ".join(variant % x for x in v) + "]}}}"
+    (tmp_path / "g.json").write_text(body(("1-1-A-C", "p.1", 0.1), ("1-2-A-C", "p.1", 0.2)) + "\n" + body(("1-0-A-C", "p.1", 0.3), ("1-0-A-G", "p.2", 0.4)) + "\n" + '{"data": {"gene": null}}\n')
+    flat = nested.flatten_gnomad(readers.read_gnomad(spark, str(tmp_path / "g.json"), order=True), "ord")
+    assert rows(jobs.load_gnomad(flat).select("hgvs_p", "gnomad_af"), "hgvs_p") == [("p.1", 0.3), ("p.2", 0.4)]
+
+
+def test_cadd_file_first_row_of_a_place(spark, tmp_path):
+    (tmp_path / "c.tsv").write_text("#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED\n1\t5\tA\tG\t2.0\t20.0\n1\t5\tA\tC\t1.0\t10.0\n")
+    v = spark.createDataFrame([(1, "chr1", 5, None, None), (2, "1", 5, "A", "C")], "id int, chromosome string, position long, ref string, alt string")
+    got = joins.annotate_cadd(v, readers.read_cadd(spark, str(tmp_path / "c.tsv"), order=True), "id")
+    assert rows(got.select("id", "alt", "cadd_phred"), "id") == [(1, "G", 20.0), (2, "C", 10.0)]
+
+
+def test_features_of_all_sources(spark):
+    am = spark.createDataFrame([("G", "p.Met1Ala", 0.5, "x", "M", "A", 1), ("G", "p.Met2Cys", 0.6, "x", "M", "C", 2)], "gene string, hgvs_p string, alphamissense_score double, alphamissense_class string, aaref string, aaalt string, ord int")
+    gnomad = spark.createDataFrame([("G", "p.Met1Ala", "c.1", 0.1, 0, 1)], "gene string, hgvs_p string, hgvs_c string, gnomad_af double, gnomad_homozygotes long, ord int")
+    clinvar = spark.createDataFrame([(1, "G", "p.Met1Ala", "c.2", "chr1", 5, "A", "C"), (2, "G", "p.Met2Cys", "c.3", "1", 6, None, None)], "ord int, gene string, hgvs_p string, hgvs_c string, chromosome string, position long, ref string, alt string")
+    revel = spark.createDataFrame([(1, "1", "4", "5", "A", "C", "M", "A", "0.7", "T"), (2, "1", "5", "6", "A", "G", "Q", "R", "0.8", "T")], "ord int, chr string, hg19_pos string, grch38_pos string, ref string, alt string, aaref string, aaalt string, REVEL string, Ensembl_transcriptid string")
+    cadd = spark.createDataFrame([(1, "1", 6, "A", "G", 3.0, 30.0)], "ord int, Chrom string, Pos long, Ref string, Alt string, RawScore double, PHRED double")
+    subs = jobs.substitution_scores(am, jobs.parse_revel(revel))
+    scored = jobs.scored_clinvar(clinvar, revel.replace("0.7", "0.4", "REVEL"), cadd)
+    got = jobs.feature_table(am, gnomad, scored, subs.withColumn("revel_score", F.when(F.col("hgvs_p") == "p.Met1Ala", F.col("revel_score"))))
+    assert rows(got.select("hgvs_p", "hgvs_c", "gnomad_af", "revel_score", "cadd_phred", "alt"), "hgvs_p") == [("p.Met1Ala", "c.2", 0.1, 0.7, None, "C"), ("p.Met2Cys", "c.3", None, None, 30.0, "G")]
+    kept = jobs.feature_table(am, gnomad, scored, subs.withColumn("revel_score", F.lit(None).cast("double")))
+    assert rows(kept.select("hgvs_p", "revel_score"), "hgvs_p") == [("p.Met1Ala", 0.4), ("p.Met2Cys", None)]
+
+
+def test_no_shared_folder_on_a_cluster():
+    import pytest
+
+    from annomerge.sources.shared import shared_dir
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session)
+
+
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([("G", 'p."1', ""), ("G", "p.0", None)], "gene string, hgvs_p string, v string")
     assert writers.export_csv(df, str(tmp_path / "csv"), "g")

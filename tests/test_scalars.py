@@ -73,4 +73,5 @@ def test_numbers_and_ids(spark):
     assert one(spark, x.safe_double(F.col("n")), n="0.5") == 0.5
     assert one(spark, x.variant_id(F.col("c"), F.col("p"), F.col("r"), F.col("a")), c="chr1", p=5, r="A", a="C") == "1-5-A-C"
     assert one(spark, x.variant_id(F.col("c"), F.col("p"), F.col("r"), F.col("a")), c="chr1", p=5, r=None, a="C") is None
-    assert [one(spark, x.shown(F.col("n"), "%.2e"), n=n) for n in (0.0, 1.234e-5)] == ["N/A", "1.23e-05"]
+    assert [one(spark, x.shown(F.col("n"), 2, exponent=True), n=n) for n in (0.0, 1.234e-5, 12345.0, 1.5)] == ["N/A", "1.23e-05", "1.23e+04", "1.50e+00"]
+    assert [one(spark, x.shown(F.col("n"), 3), n=n) for n in (0.2345, 1234.5, -0.0625, 0.9996)] == ["0.234", "1234.500", "-0.062", "1.000"]
