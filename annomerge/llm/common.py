@@ -1,9 +1,8 @@
-"""Shared folder, bounded samples and Arrow plumbing that the corpus operators have in common."""
+"""Bounded samples, hashes and Arrow plumbing that the corpus operators have in common."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import functools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,30 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annomerge.sources.shared import fresh_path, materialise  # noqa: F401
+
 #: ASCII white space; everything else belongs to a word.
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); a temporary one where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="annomerge-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: lineage ends there, and a lost executor costs nothing."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,16 +30,29 @@ def share_of(key: Column, salt: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def bounded_sample(rows: DataFrame, group: str, key: str, per_group: int, salt: int = 17, most_groups: int = 256) -> DataFrame:
-    """About ``per_group`` rows of each value of ``group``, chosen by a hash of ``key``; at most twice that over all.
+def bounded_sample(rows: DataFrame, group: str, key: str, per_group: int, most: int | None = None, least: int = 20, salt: int = 17) -> DataFrame:
+    """About ``per_group`` rows of each value of ``group``, chosen by a hash of ``key``; about ``most`` over all if that is
+    given and there are many values, yet ``least`` of each; never more than twice that. All rows of a rare value.
 
     One count per group, then a filter: no sort, and no group meets in one task. Rows with a null group are left out.
     """
-    sizes = {r[0]: r[1] for r in rows.where(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count")).limit(most_groups).collect()}
-    keep = F.lit(False)
-    for value, n in sizes.items():
-        keep = keep | ((F.col(group) == F.lit(value)) & (share_of(F.col(key), salt) < min(1.0, per_group / n)))
-    return rows.where(keep).limit(2 * per_group * max(1, len(sizes)))
+    sizes = materialise(rows.groupBy(F.col(group).alias("_value")).agg(F.count("*").alias("_n")).where("_value IS NOT NULL"), "groups")
+    groups = max(1, sizes.count())
+    each = per_group if most is None else max(min(per_group, least), min(per_group, most // groups))
+    kept = rows.join(sizes, F.col(group) == F.col("_value")).where(share_of(F.col(key), salt) < F.lit(float(each)) / F.col("_n"))
+    return kept.drop("_value", "_n").limit(2 * each * groups)
+
+
+def numbered(docs: DataFrame, *columns: str) -> tuple:
+    """The rows with columns c0, c1, ..., so that no name of an operator's own can meet one, and the new names of ``columns``."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), *[f"c{docs.columns.index(c)}" for c in columns]
+
+
+def renamed(rows: DataFrame, columns: list[str], *new: str) -> DataFrame:
+    """Back from ``numbered``: those of ``columns`` that rows still have, under their names, and the columns ``new``; an old
+    column with the name of a new one gives way to it."""
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(columns) if f"c{i}" in rows.columns and c not in new]
+    return rows.select(*own, *new)
 
 
 def slices(batch: pa.RecordBatch, at: int, rows: int = 4096, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -103,8 +97,9 @@ def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list],
     return df.mapInArrow(run, kind)
 
 
+@functools.cache
 def letter_table():
-    """Whether a code point is a letter, for all code points."""
+    """Whether a code point is a letter, for all code points; made once a worker."""
     import numpy as np
 
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
@@ -122,6 +117,7 @@ def letter_codes(text: str, letters):
     return kept if len(kept) > 1 else None
 
 
+@functools.cache
 def word_table():
     """Whether a code point belongs to a word: letters, digits and the underscore."""
     import numpy as np

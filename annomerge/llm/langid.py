@@ -5,7 +5,8 @@ loss-weighted: a class costs the exponential loss of its bits' margins, each bit
 that class in training, and the cheapest class wins. A small lead over the second flags ambiguity.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; rows with a null language are not
-learned from; an empty table, or one without labelled rows, gives ``und``; repeated rows count as often as they stand.
+learned from; an empty table, or one without labelled rows, gives ``und``; repeated rows count as often as they stand; a null id is not held out;
+input columns named like a result give way to it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annomerge.llm.common import bounded_sample, fold, letter_codes, letter_table, map_texts
+from annomerge.llm.common import bounded_sample, fold, letter_codes, letter_table, map_texts, numbered, renamed
 
 BUCKETS = 1 << 13
 
@@ -87,15 +88,18 @@ def train(texts: list[str], langs: list[str], steps: int = 150) -> Model | None:
     return Model(names, codes, w, b, trust.astype(np.float32))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400) -> Model | None:
-    """Learn from about ``per_lang`` whole texts of each language, none of the held-out fold."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400, most: int = 6000, longest: int = 32 << 10) -> Model | None:
+    """Learn from about ``per_lang`` whole texts of each language, none of the held-out fold and none of more than ``longest``
+    bytes; with many languages from about ``most`` over all, yet 20 of each. Every language that has a row is learned."""
     rows = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).cast("string").alias("l_text"), F.col(lang_col).cast("string").alias("l_lang"))
-    some = bounded_sample(rows.where((fold(F.col("l_id")) != 2) & F.col("l_text").isNotNull()), "l_lang", "l_id", per_lang).collect()
+    rows = rows.where((F.coalesce(fold(F.col("l_id")), F.lit(0)) != 2) & (F.octet_length("l_text") <= longest))
+    some = bounded_sample(rows, "l_lang", "l_id", per_lang, most).collect()
+    some.sort(key=lambda r: (r["l_lang"], r["l_text"]))
     return train([r["l_text"] for r in some], [r["l_lang"] for r in some])
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", ambiguous_below: float = 0.2, keep_text: bool = False) -> DataFrame:
-    """Adds ``l_pred``, ``l_score`` and ``l_ambiguous``; only the text is looked at."""
+    """Adds ``l_pred``, ``l_score`` and ``l_ambiguous``, in place of columns of those names; only the text is looked at."""
 
     def make():
         import numpy as np
@@ -123,4 +127,5 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", ambigu
 
         return run
 
-    return map_texts(docs, text_col, make, "l_pred string, l_score double, l_ambiguous boolean", keep_text)
+    rows, text = numbered(docs, text_col)
+    return renamed(map_texts(rows, text, make, "l_pred string, l_score double, l_ambiguous boolean", keep_text), docs.columns, "l_pred", "l_score", "l_ambiguous")

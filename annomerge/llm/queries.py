@@ -49,7 +49,7 @@ def op5_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     scored = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.col("l_pred").alias("lang_pred"), F.col("l_score").alias("score"), F.col("l_ambiguous").alias("ambiguous"))
+    return scored.select("doc_id", (F.coalesce(fold(F.col("doc_id")), F.lit(0)) == 2).alias("held_out"), F.col("l_pred").alias("lang_pred"), F.col("l_score").alias("score"), F.col("l_ambiguous").alias("ambiguous"))
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.col("t_score").alias("score"), F.when(F.col("t_score") >= 0.3, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", (F.coalesce(fold(F.col("doc_id")), F.lit(0)) == 2).alias("held_out"), F.col("t_score").alias("score"), F.when(F.col("t_score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
 OP9_SQL = """
