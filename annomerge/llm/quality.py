@@ -5,15 +5,19 @@ parts good from bad best among those that reject at most ``max_false_reject`` of
 
 Defined cases: a null or empty text has no words and fails the base rule; repeated rows get equal verdicts; without
 labels the forest is fitted on a sample of all rows and rejects nothing; an empty table gives no rows; further
-columns are kept.
+columns are kept, but for those named like a result, which give way to it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from annomerge.llm.common import bounded_sample, map_texts, share_of
+from annomerge.llm.common import bounded_sample, map_texts, materialise, numbered, renamed, share_of
 
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
@@ -24,6 +28,7 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 WINDOW = 5
 PRIOR = 30
 HALF = 0.1
+BASE_RULE = "q_n_words < 10 OR 100 * q_n_repeat_words > 20 * q_n_words"
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -85,7 +90,7 @@ def rule_features(counts):
 class IsolationForest:
     """Trees of random splits over samples of ``size`` rows. score: 2 ** -(mean path / expected path), high when odd."""
 
-    def __init__(self, rows, trees: int = 100, size: int = 256, seed: int = 7):
+    def __init__(self, rows, trees: int = 100, size: int = 1024, seed: int = 7):
         import numpy as np
 
         rng = np.random.default_rng(seed)
@@ -147,29 +152,45 @@ def counted(docs: DataFrame, text_col: str, forest: IsolationForest | None = Non
     return map_texts(docs, text_col, make, fields, keep_text)
 
 
-def fit_forest(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text", good: int = 3000, bad: int = 90, trees: int = 100) -> IsolationForest | None:
-    """Fit on about ``good`` rows labelled 1 and ``bad`` rows labelled 0 (the share of anomalies that the forest expects),
-    or on ``good`` rows of all where there are no labels. None for an empty table."""
-    rows = docs.select(F.col(id_col).alias("q_id"), F.col(text_col).cast("string").alias("q_text"))
+def scored(counts: DataFrame, forest: IsolationForest) -> DataFrame:
+    """Rows of counts with ``q_score``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            rows = np.stack([batch.column(batch.schema.get_field_index(f"q_{name}")).to_numpy() for name in COUNTS], axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forest.score(rule_features(rows)))], [*batch.schema.names, "q_score"])
+
+    return counts.mapInArrow(run, StructType([*counts.schema, StructField("q_score", DoubleType())]))
+
+
+def marked(labels: DataFrame, id_col: str) -> DataFrame:
+    return labels.where("quality IN (0, 1)").groupBy(F.col(id_col).alias("q_id")).agg(F.min("quality").alias("q_label"))
+
+
+def fit_forest(counts: DataFrame, labels: DataFrame | None, id_col: str, label_id: str = "doc_id", good: int = 3000, bad: int = 160, trees: int = 100) -> IsolationForest | None:
+    """Fit on about ``good`` rows labelled 1 and ``bad`` rows labelled 0 (the share of anomalies that the forest expects), at
+    most twice that, or on ``good`` rows of all where there are no labels. None for an empty table."""
+    rows = counts.select(F.col(id_col).alias("q_id"), *[f"q_{name}" for name in COUNTS])
+    some = []
     if labels is not None:
-        marks = labels.groupBy(F.col(id_col).alias("q_id")).agg(F.min("quality").alias("q_label"))
+        marks = marked(labels, label_id)
         picked = bounded_sample(marks.where("q_label = 1"), "q_label", "q_id", good).unionByName(bounded_sample(marks.where("q_label = 0"), "q_label", "q_id", bad))
-        some = counted(rows.join(F.broadcast(picked.select("q_id")), "q_id", "left_semi"), "q_text").limit(2 * (good + bad)).collect()
-    if labels is None or not some:
-        n = docs.count()
-        some = counted(rows.where(share_of(F.col("q_id"), 17) < min(1.0, good / max(1, n))), "q_text").limit(2 * good).collect()
-    return IsolationForest(rule_features([[r[f"q_{name}"] for name in COUNTS] for r in some]), trees) if some else None
+        some = rows.join(F.broadcast(picked.select("q_id")), "q_id", "left_semi").limit(2 * (good + bad)).collect()
+    if not some:
+        some = rows.where(share_of(F.col("q_id"), 17) < min(1.0, good / max(1, rows.count()))).limit(2 * good).collect()
+    some = sorted([r[f"q_{name}"] for name in COUNTS] for r in some)
+    return IsolationForest(rule_features(some), trees) if some else None
 
 
-def calibrate(docs: DataFrame, labels: DataFrame | None, forest: IsolationForest, id_col: str = "doc_id", text_col: str = "text", max_false_reject: float = 0.002) -> float:
+def calibrate(counts: DataFrame, labels: DataFrame | None, forest: IsolationForest, id_col: str, label_id: str = "doc_id", max_false_reject: float = 0.002) -> float:
     """The threshold, in steps of 1/2000, that parts labelled rows best (share of the bad above it less that of the good),
     of those above which at most ``max_false_reject`` of the good lie; the lowest of those where no row is labelled bad."""
     if labels is None:
         return 1.0
-    marks = labels.where("quality IN (0, 1)").groupBy(F.col(id_col).alias("q_id")).agg(F.min("quality").alias("q_label"))
-    rows = docs.select(F.col(id_col).alias("q_id"), F.col(text_col).cast("string").alias("q_text"))
-    base = F.expr("q_n_words < 10 OR 100 * q_n_repeat_words > 20 * q_n_words")
-    scores = counted(rows, "q_text", forest).where(~base).join(marks, "q_id")
+    rows = counts.select(F.col(id_col).alias("q_id"), *[f"q_{name}" for name in COUNTS]).where(f"NOT ({BASE_RULE})")
+    scores = scored(rows.join(marked(labels, label_id), "q_id"), forest)
     steps = {(r[0], r[1]): r[2] for r in scores.groupBy("q_label", F.ceil(F.col("q_score") * 2000).alias("step")).count().collect()}
     good, bad = (sum(n for (label, _), n in steps.items() if label == x) for x in (1, 0))
     found, most, above = 1.0, 0.0, {0: 0, 1: 0}
@@ -185,16 +206,19 @@ def calibrate(docs: DataFrame, labels: DataFrame | None, forest: IsolationForest
     return found
 
 
-def judge(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, max_false_reject: float = 0.002) -> DataFrame:
-    """Rows with ``q_*`` counts, ``q_score``, ``q_base_failed`` and ``q_kept``."""
-    forest = fit_forest(docs, labels, id_col, text_col)
-    if forest is None:
-        forest = IsolationForest(rule_features([[0] * len(COUNTS)]), 1)
-    threshold = calibrate(docs, labels, forest, id_col, text_col, max_false_reject)
-    out = counted(docs, text_col, forest, keep_text).withColumn("q_base_failed", F.expr("q_n_words < 10 OR 100 * q_n_repeat_words > 20 * q_n_words"))
-    return out.withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_score") <= threshold))
+def judge(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, max_false_reject: float = 0.002, label_id: str = "doc_id") -> DataFrame:
+    """Rows with ``q_*`` counts, ``q_score``, ``q_base_failed`` and ``q_kept``, in place of columns of those names. Counts are
+    written once, for the forest, its threshold and, where no text is asked for, the verdicts."""
+    rows, own_id, text = numbered(docs, id_col, text_col)
+    counts = materialise(counted(rows.select(own_id, text) if keep_text else rows, text), "counts")
+    forest = fit_forest(counts, labels, own_id, label_id) or IsolationForest(rule_features([[0] * len(COUNTS)]), 1)
+    threshold = calibrate(counts, labels, forest, own_id, label_id, max_false_reject)
+    out = counted(rows, text, forest, True) if keep_text else scored(counts, forest)
+    out = out.withColumn("q_base_failed", F.expr(BASE_RULE)).withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_score") <= threshold))
+    return renamed(out, docs.columns, *[f"q_{name}" for name in (*COUNTS, "score", "base_failed", "kept")])
 
 
-def keep_good(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id") -> DataFrame:
     """The rows that pass, with their own columns."""
-    return judge(docs, labels, id_col, text_col).where("q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, own_id, text = numbered(docs, id_col, text_col)
+    return renamed(judge(rows, labels, own_id, text, label_id=label_id).where("q_kept"), docs.columns)
