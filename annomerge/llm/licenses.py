@@ -1,11 +1,13 @@
 """License detection with ordered signature rules, in column expressions only.
 
-Rules are regular expressions over lower-cased text. A cheap keyword test on the whole text comes first; only a
-text that passes is cut into its words, and a rule runs only where its own keyword stands. Detections that lie inside
-a larger one, or equal one of a rule of higher priority, are suppressed.
+Rules are the hand-written regular expressions of ``license_rules``, over lower-cased words. A cheap test for keywords'
+words on the whole text comes first; only a text that passes is cut into its words, and rules run only where their own
+keyword stands as whole words. Detections that lie inside a larger one, or equal one of a rule of higher priority, are
+suppressed.
 
 Defined cases: a null text is empty; a text without a detection has null first and last words, empty labels and score
-0; repeated rows get equal results; an empty table gives no rows; other columns are kept.
+0; repeated rows get equal results; an empty table gives no rows; other columns are kept, but for those named like a
+result, which give way to it.
 """
 
 from __future__ import annotations
@@ -13,120 +15,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annomerge.llm.common import numbered, renamed
+from annomerge.llm.license_rules import rules
+
 #: Fixed by the contract: phrases whose places are counted, and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 #: Runs of letters and digits; every character beyond ASCII counts as one.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-END = r"(?= )"
-
-#: Families: label, keyword of the prefilter, the name as a pattern over words joined by single spaces, versions.
-FAMILIES = (
-    ("apache", "apache", r"apache(?: software)?", ("1 0", "1 1", "2 0", "2")),
-    ("gpl", "general public", r"(?:gnu )?general public", ("1", "2", "3", "2 0", "3 0")),
-    ("lgpl", "general public", r"(?:gnu )?(?:lesser|library) general public", ("2", "2 1", "3", "3 0")),
-    ("agpl", "affero", r"(?:gnu )?affero general public", ("1", "3", "3 0")),
-    ("mpl", "mozilla", r"mozilla public", ("1 0", "1 1", "2 0")),
-    ("epl", "eclipse", r"eclipse public", ("1 0", "2 0")),
-    ("eupl", "european", r"european union public", ("1 0", "1 1", "1 2")),
-    ("cddl", "development and distribution", r"common development and distribution", ("1 0", "1 1")),
-    ("cpl", "common public", r"common public", ("1 0",)),
-    ("ms-pl", "microsoft", r"microsoft public", ("",)),
-    ("ms-rl", "microsoft", r"microsoft reciprocal", ("",)),
-    ("artistic", "artistic", r"artistic", ("1 0", "2 0")),
-    ("osl", "open software", r"open software", ("1 0", "2 0", "2 1", "3 0")),
-    ("afl", "academic", r"academic free", ("1 2", "2 0", "2 1", "3 0")),
-    ("bsl", "boost", r"boost software", ("1 0",)),
-    ("zlib", "zlib", r"zlib(?: libpng)?", ("",)),
-    ("isc", "isc", r"isc", ("",)),
-    ("mit", "mit", r"mit", ("",)),
-    ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)?", ("",)),
-    ("python", "python", r"python software foundation", ("2", "2 0", "")),
-    ("php", "php", r"php", ("3 0", "3 01")),
-    ("ruby", "ruby", r"ruby", ("",)),
-    ("postgresql", "postgresql", r"postgresql", ("",)),
-    ("openssl", "openssl", r"openssl", ("",)),
-    ("sil-ofl", "open font", r"(?:sil )?open font", ("1 0", "1 1")),
-    ("odbl", "open database", r"open database", ("1 0", "")),
-    ("odc-by", "open data commons", r"open data commons attribution", ("1 0", "")),
-    ("gfdl", "free documentation", r"(?:gnu )?free documentation", ("1 1", "1 2", "1 3")),
-    ("wtfpl", "wtfpl", r"wtfpl", ("2", "")),
-    ("unlicense", "unlicense", r"unlicense", ("",)),
-    ("cecill", "cecill", r"cecill(?: [bc])?", ("1 0", "2 0", "2 1")),
-    ("vim", "vim", r"vim", ("",)),
-    ("ecl", "educational community", r"educational community", ("1 0", "2 0")),
-    ("rpl", "reciprocal", r"reciprocal public", ("1 1", "1 5")),
-    ("upl", "universal permissive", r"universal permissive", ("1 0",)),
-    ("qpl", "q public", r"q public", ("1 0",)),
-    ("nasa", "nasa", r"nasa open source", ("1 3",)),
-    ("bsd-2-clause", "2 clause", r"(?:simplified )?(?:bsd 2 clause|2 clause bsd)", ("",)),
-    ("bsd-3-clause", "3 clause", r"(?:new |revised )*(?:bsd 3 clause|3 clause bsd)", ("",)),
-    ("bsd-4-clause", "4 clause", r"(?:original )?(?:bsd 4 clause|4 clause bsd)", ("",)),
-    ("bsd", "bsd", r"bsd(?: style)?", ("",)),
-)
-#: How a grant names a license; {0} is the name with its version. Earlier ones outrank later ones.
-FRAMES = (
-    r"(?:licensed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{0}",
-    r"(?:under|subject to|covered by|governed by) (?:the )?(?:terms of )?(?:the )?{0}",
-    r"(?:this|the) (?:software|program|file|library|work|project|code) is (?:free software )?(?:licensed )?(?:under )?(?:the )?{0}",
-    r"spdx license identifier {0}",
-    r"{0}",
-)
-#: Licenses known by their own sentences: label, keyword, pattern.
-SENTENCES = (
-    ("mit", "free of charge", r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", "purpose with or without fee", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("zlib", "express or implied", r"this software is provided as is without any express or implied warranty"),
-    ("gpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("public-domain", "public domain", r"(?:released |placed |dedicated )?(?:in|into|to) the public domain"),
-    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("apache-2", "apache org licenses", r"(?:http |https )?www apache org licenses license 2 0"),
-    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc0", "creative commons zero", r"creative commons zero"),
-    ("proprietary", "all rights reserved", r"all rights reserved"),
-    ("proprietary", "confidential", r"proprietary and confidential|confidential and proprietary"),
-    ("agpl", "agpl", r"agpl(?: ?v?3)?(?: 0)?"),
-    ("lgpl", "lgpl", r"lgpl(?: ?v?[23])?(?: [01])?"),
-    ("gpl", "gpl", r"(?:gnu )?gpl(?: ?v?[23])?(?: 0)?"),
-)
-#: Parts of Creative Commons names, by label.
-COMMONS = (("by-nc-sa", "by nc sa"), ("by-nc-nd", "by nc nd"), ("by-nc", "by nc"), ("by-sa", "by sa"), ("by-nd", "by nd"), ("by", "by"))
-COMMONS_LONG = {"by": "attribution", "nc": "non ?commercial", "sa": "share ?alike", "nd": "no ?deriv(?:ative|ative work)?s?"}
-COMMONS_VERSIONS = ("4 0", "3 0", "2 5", "2 0", "1 0", "")
-RULE = "array<struct<priority:int,label:string,keyword:string,pattern:string>>"
-
-
-def rules() -> list[tuple[int, str, str, str]]:
-    """(priority, label, keyword, pattern) of every rule, most specific first: a few hundred from the tables above.
-
-    Text is matched as words between single spaces; a pattern begins behind a space and ends before one.
-    """
-    made: list[tuple[str, str, str]] = list(SENTENCES[:8])
-    for name, short in COMMONS:
-        long = " ".join(COMMONS_LONG[p] for p in short.split())
-        for version in COMMONS_VERSIONS:
-            tail = f" {version}" if version else ""
-            made.append((f"cc-{name}", "cc", rf"cc {short}{tail}"))
-            made.append((f"cc-{name}", "creative commons", rf"creative commons {long}(?: {version})?" if version else rf"creative commons {long}"))
-    for frame in FRAMES[:-1]:
-        for label, keyword, name, versions in FAMILIES:
-            for version in sorted(versions, key=len, reverse=True):
-                full = f"{label}-{version.replace(' ', '.')}" if version and version[-2:] != " 0" else f"{label}-{version[:-2]}" if version else label
-                tail = rf"(?: version| v)? ?{version.replace(' ', ' ?')}" if version else ""
-                made.append((full, keyword, frame.format(rf"{name} licen[cs]e{tail}") + ("(?: or (?:any )?later(?: version)?)?" if version else "")))
-    for label, keyword, name, versions in FAMILIES:
-        for version in sorted(versions, key=len, reverse=True):
-            full = f"{label}-{version.replace(' ', '.')}" if version and version[-2:] != " 0" else f"{label}-{version[:-2]}" if version else label
-            tail = rf"(?: version| v)? ?{version.replace(' ', ' ?')}" if version else ""
-            made.append((full, keyword, rf"{name} licen[cs]e{tail}"))
-        made.append((label, keyword, rf"{name} licen[cs]e"))
-    made += SENTENCES[8:]
-    return [(i, label, keyword, f" (?:{pattern}){END}") for i, (label, keyword, pattern) in enumerate(made)]
+MARK = "\x01"
+
+
+def groups() -> list[tuple[str, list[tuple[int, str, str]]]]:
+    """(keyword, its rules as (priority, label, pattern)), rules in order."""
+    out: dict[str, list] = {}
+    for priority, label, keyword, pattern in rules():
+        out.setdefault(keyword, []).append((priority, label, pattern))
+    return list(out.items())
 
 
 def gate() -> str:
-    """One pattern over raw text that every rule and base phrase needs; a superset on purpose."""
-    return r"(?i)licen[cs]e|licenc|(?<![a-z0-9])(?:cc0?(?![a-z0-9])|[al]?gpl|spdx|unencumbered|creative|confidential|permission|redistribut|warranty|public|rights)"
+    """One pattern over raw text that holds where a keyword or a base phrase may stand: the longest word of each, by first letter."""
+    words = sorted({max(k.split(), key=len) for k, _ in groups()} | {"mit", "apache", "cc"})
+    letters = dict.fromkeys(w[0] for w in words)
+    return "(?i)(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(w[1:] for w in words if w[0] == c)})" for c in letters) + ")(?![a-z0-9])"
 
 
 def lowered(text: Column) -> Column:
@@ -146,43 +57,64 @@ def labelled_places(words: Column, phrase: str, label: str) -> Column:
     return F.transform(found, lambda i: F.struct(F.lit(label).alias("label"), i.cast("long").alias("start")))
 
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of docs, without the text, and: lic_n_words; lic_base (label, start); lic_found (priority, label, first, last
-    word) after suppression; lic_score: the share of found places that a grant's frame or a base phrase backs."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = docs.select(*others, F.regexp_count(text, F.lit(WORD)).cast("long").alias("lic_n_words"), F.when(text.rlike(gate()), lowered(text)).alias("lic_text"))
+def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of docs, without the text, and, in place of columns of those names: lic_n_words; lic_base (label, start); lic_found
+    (priority, label, first, last word) after suppression; lic_score: the share of found places that a grant's frame or a
+    base phrase backs."""
+    rows, text_name = numbered(docs, text_col)
+    text = F.coalesce(F.col(text_name).cast("string"), F.lit(""))
+    others = [c for c in rows.columns if c != text_name]
+    rows = rows.select(*others, F.regexp_count(text, F.lit(WORD)).cast("long").alias("lic_n_words"), F.when(text.rlike(gate()), lowered(text)).alias("lic_text"))
     rows = rows.withColumn("lic_words", F.when(F.col("lic_text").isNotNull(), F.regexp_extract_all("lic_text", F.lit(WORD), F.lit(0))))
     words = F.col("lic_words")
-    line = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-    rows = rows.withColumn("lic_line", line)
+    rows = rows.withColumn("lic_line", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
     base = F.flatten(F.array(*[labelled_places(words, p, label) for p, label in BASE]))
-    known = F.from_json(F.lit(as_json()), RULE)
-    gated = F.filter(known, lambda r: F.contains("lic_line", r["keyword"]))
-    hits = F.flatten(F.transform(gated, lambda r: spans(F.col("lic_line"), r)))
-    rows = rows.withColumn("lic_base", F.when(words.isNotNull(), base)).withColumn("lic_hits", F.when(words.isNotNull(), hits))
-    inside = lambda h: F.exists("lic_hits", lambda o: (o["first"] <= h["first"]) & (o["last"] >= h["last"]) & ((o["last"] - o["first"] > h["last"] - h["first"]) | (o["priority"] < h["priority"])))
-    rows = rows.withColumn("lic_found", F.filter("lic_hits", lambda h: ~inside(h)))
+    rows = rows.withColumn("lic_base", F.when(words.isNotNull(), base)).withColumn("lic_hits", F.when(words.isNotNull(), all_places()))
+    rows = rows.withColumn("lic_found", suppressed("lic_hits"))
     framed = F.filter("lic_found", lambda h: h["last"] - h["first"] >= 3)
     score = (F.size(framed) + F.size("lic_base")) / (F.size("lic_found") + F.size("lic_base"))
-    return rows.select(*others, "lic_n_words", "lic_base", "lic_found", F.when(words.isNotNull() & (F.size("lic_found") + F.size("lic_base") > 0), score).otherwise(F.lit(0.0)).alias("lic_score"))
+    scored = F.when(words.isNotNull() & (F.size("lic_found") + F.size("lic_base") > 0), score).otherwise(F.lit(0.0))
+    return renamed(rows.select(*others, "lic_n_words", "lic_base", "lic_found", scored.alias("lic_score")), docs.columns, "lic_n_words", "lic_base", "lic_found", "lic_score")
+
+
+def groups_found() -> str:
+    """SQL of the array of (group, what its rules match, the line with a mark before each match) where a keyword stands; of
+    rules that match at one place the first. Patterns are literals, which are compiled once a task."""
+    made = []
+    for number, (keyword, own) in enumerate(groups()):
+        pattern = "( (?:" + "|".join(p for *_, p in own) + "))(?= )"
+        made.append(f"CASE WHEN contains(lic_line, ' {keyword} ') THEN named_struct('group', {number}, 'hits', regexp_extract_all(lic_line, '{pattern}', 0), 'marked', regexp_replace(lic_line, '{pattern}', '{MARK}$1')) END")
+    return f"array({', '.join(made)})"
+
+
+def rule_of(group: str, hit: str) -> str:
+    """SQL of (priority, label) of the first rule of the group that is the whole match."""
+    made = []
+    for number, (_, own) in enumerate(groups()):
+        rules_ = " ".join(f"WHEN {hit} RLIKE '^ (?:{pattern})$' THEN named_struct('priority', {priority}, 'label', '{label}')" for priority, label, pattern in own)
+        made.append(f"WHEN {group} = {number} THEN CASE {rules_} END")
+    return f"CASE {' '.join(made)} END"
+
 
+def all_places() -> Column:
+    """Matches as (first word, its negated last, priority, label). Every word has a space before it, so the pieces between
+    spaces number the words."""
+    starts = f"filter(sequence(0, size(x.pieces) - 1), i -> endswith(x.pieces[i], '{MARK}'))"
+    pieces = "transform(filter(" + groups_found() + ", x -> size(x.hits) > 0), x -> named_struct('group', x.group, 'hits', x.hits, 'pieces', split(x.marked, ' ', -1)))"
+    one = f"named_struct('first', CAST(at AS BIGINT), 'end', -CAST(at + length(hit) - length(replace(hit, ' ', '')) - 1 AS BIGINT), 'rule', {rule_of('x.group', 'hit')})"
+    return F.expr(f"flatten(transform({pieces}, x -> zip_with({starts}, x.hits, (at, hit) -> {one})))")
 
-def spans(line: Column, rule: Column) -> Column:
-    """Every match of a rule as word numbers: each match begins with a space, so the spaces before it number its word."""
-    hits = F.regexp_extract_all(line, rule["pattern"], F.lit(0))
-    pieces = F.split(line, rule["pattern"])
-    count = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
-    width = lambda k: count(F.get(hits, k))
-    before = lambda k: F.aggregate(F.sequence(F.lit(0), k), F.lit(0), lambda acc, j: acc + count(F.get(pieces, j)) + F.when(j < k, width(j)).otherwise(0))
-    numbers = F.when(F.size(hits) > 0, F.sequence(F.lit(0), F.size(hits) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(numbers, lambda k: F.struct(rule["priority"].alias("priority"), rule["label"].alias("label"), before(k).cast("long").alias("first"), (before(k) + width(k) - 1).cast("long").alias("last")))
 
+def suppressed(hits: str) -> Column:
+    """Hits that no other holds: by first word, longest first, then by priority, one that ends no later than any before it
+    lies inside an earlier one."""
+    none = F.array().cast("array<struct<priority:int,label:string,first:bigint,last:bigint>>")
 
-def as_json() -> str:
-    import json
+    def step(seen: Column, h: Column) -> Column:
+        own = F.struct(h["rule"]["priority"].alias("priority"), h["rule"]["label"].alias("label"), h["first"].alias("first"), (-h["end"]).alias("last"))
+        return F.when(-h["end"] <= seen["top"], seen).otherwise(F.struct((-h["end"]).alias("top"), F.concat(seen["kept"], F.array(own)).alias("kept")))
 
-    return json.dumps([dict(zip(("priority", "label", "keyword", "pattern"), r)) for r in rules()])
+    return F.aggregate(F.array_sort(hits), F.struct(F.lit(-1).cast("long").alias("top"), none.alias("kept")), step)["kept"]
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
