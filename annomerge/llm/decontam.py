@@ -6,21 +6,24 @@ edit distance, over the best stretch in and near the window. Several walks, each
 A lossless test decides where windows are cut at all: within ``share`` edits of an item of L words, some run of the
 item's words survives, whose length pigeonholing gives; places without such a run cannot match.
 
-Items come in blocks of bounded size, each a pass over the documents, so any number of items works.
+Items come in blocks of bounded size. One block is one pass over the documents; more are a scan each, side by side, so a
+worker holds one block at a time and its memory does not depend on the number of items.
 
 Defined cases: null and empty texts and items match nothing; a document shorter than an item is compared as it is;
 repeated rows get equal results; of several windows that match one item in a document, the one of least distance
-and then the first is told; empty tables give no matches; other columns are kept.
+and then the first is told, inside the document; an item with a null id is told with a null id; empty tables give no
+matches; other columns are kept.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annomerge.llm.common import map_texts
+from annomerge.llm.common import map_texts, materialise, mix, numbered, renamed
 
 WORDS = re.compile(r"\w+")
 HITS = "array<struct<item_id:bigint,start_word:bigint,n_words:bigint,distance:bigint>>"
@@ -46,7 +49,9 @@ class Index:
         self.pad = size - 1
         longest = max((len(w) for _, w in cut), default=0)
         rng = np.random.default_rng(seed)
-        self.coins = rng.integers(0, 2, (walks, 3 * longest, size), np.int8)
+        # a coin is the top bit of a word's number times that of the walk's step
+        self.numbers = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.steps = rng.integers(1, 1 << 62, (walks, 3 * longest), np.int64).astype(np.uint64) << np.uint64(1) | np.uint64(1)
         self.mults = rng.integers(1, 1 << 62, places, np.int64).astype(np.uint64) | np.uint64(1)
         self.by_length: dict[int, tuple] = {}
         self.runs: dict[int, dict[tuple, set[int]]] = {}
@@ -77,12 +82,12 @@ class Index:
 
         rows, length = words.shape
         padded = np.concatenate([words, np.full((rows, 1), self.pad)], axis=1)
+        numbers = self.numbers[padded]
         at, each = np.zeros(rows, np.int64), np.arange(rows)
         out = np.empty((3 * length, rows), np.uint64)
         for t in range(3 * length):
-            symbol = padded[each, at]
-            out[t] = symbol
-            at = np.minimum(at + self.coins[walk, t][symbol], length)
+            out[t] = padded[each, at]
+            at = np.minimum(at + (numbers[each, at] * self.steps[walk, t] >> np.uint64(63)).astype(np.int64), length)
         got = np.zeros((rows, len(picks)), np.uint64)
         for k in range(picks.shape[1]):
             got = (got + out[picks[:, k]].T + np.uint64(1)) * self.mults[k]
@@ -143,7 +148,7 @@ class Index:
             todo = np.array(sorted(pairs), np.int64).reshape(-1, 2)
             for first in range(0, len(todo), 10_000):
                 part = todo[first : first + 10_000]
-                distance, start, end = best_alignments(words[part[:, 0]], items[part[:, 1]])
+                distance, start, end = best_alignments(words[part[:, 0]], items[part[:, 1]], self.pad)
                 for (row, item), far, s, e in zip(part.tolist(), distance.tolist(), start.tolist(), end.tolist()):
                     if far <= d:
                         out[held[row][0]].append({"item_id": names[item], "start_word": held[row][1] - d + s, "n_words": e - s, "distance": far})
@@ -156,43 +161,66 @@ class Index:
         return best
 
 
-def best_alignments(a, b):
+def best_alignments(a, b, pad: int = -1):
     """Least edit distance of each row of b to any stretch of the same row of a, with the stretch's start and end;
-    of equal ones the first start, then the first end."""
+    of equal ones the first start, then the first end. To take ``pad``, which stands where a document has no word, for a
+    word costs twice as much, so the best stretch never holds it."""
     import numpy as np
 
     n, length = a.shape
     unit = np.int64(1 << 20)  # a cell is distance * unit + start
     step = np.arange(length + 1) * unit
     row = np.broadcast_to(np.arange(length + 1, dtype=np.int64), (n, length + 1))
+    outside = unit * (a == pad)
     for j in range(b.shape[1]):
         new = np.empty_like(row)
         new[:, 0] = (j + 1) * unit
-        new[:, 1:] = np.minimum(row[:, 1:] + unit, row[:, :-1] + unit * (a != b[:, j : j + 1]))
+        new[:, 1:] = np.minimum(row[:, 1:] + unit, row[:, :-1] + unit * (a != b[:, j : j + 1]) + outside)
         row = np.minimum.accumulate(new - step, axis=1) + step
     end = row.argmin(1)
     cell = row[np.arange(n), end]
     return cell // unit, cell % unit, end
 
 
+def text_key(text: Column) -> Column:
+    """Two numbers that texts are told apart by where results are joined back to them."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.reverse(text), F.lit(1)).alias("b"), F.octet_length(text).alias("n"))
+
+
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", share: float = 0.2, block_bytes: int = 8 << 20, keep_text: bool = True) -> DataFrame:
-    """Rows with ``leaks``: all items that the text holds, with start word, words and distance."""
+    """Rows with ``leaks``, in place of a column of that name: all items that the text holds, with start word, words and
+    distance."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).where("t IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    out = docs
-    for b in range(blocks):
-        own = [tuple(r) for r in items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b).orderBy("i", "t").collect()]
+    rows, text = numbered(docs, text_col)
+
+    def matched(rows: DataFrame, b: int, keep: bool) -> DataFrame:
+        own = [tuple(r) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).orderBy("i", "t").collect()]
 
-        def make(own=own, b=b):
+        def make():
             index = Index(own, share)
-            return lambda texts: {f"leaks_{b}": index.match(texts)}
+            return lambda texts: {"leaks": index.match(texts)}
+
+        return map_texts(rows, text, make, f"leaks {HITS}", keep)
+
+    if blocks == 1:
+        return renamed(matched(rows, 0, keep_text), docs.columns, "leaks")
+    # a scan for each block, none after another; the few texts with hits are joined back by what the text is
+    keyed = rows.select(text, text_key(F.col(text)).alias("key"))
+    found = reduce(DataFrame.unionByName, [matched(keyed, b, False).where(F.size("leaks") > 0).groupBy("key").agg(F.first("leaks").alias("leaks")) for b in range(blocks)])
+    found = materialise(found.groupBy("key").agg(F.collect_list("leaks").alias("all")).select("key", best_of(F.flatten("all")).alias("leaks")), "leaks")
+    out = rows.withColumn("key", text_key(F.col(text))).join(found, "key", "left").withColumn("leaks", F.coalesce("leaks", F.array().cast(HITS)))
+    return renamed(out if keep_text else out.drop(text), docs.columns, "leaks")
+
 
-        out = map_texts(out, text_col, make, f"leaks_{b} {HITS}", keep_text or b < blocks - 1)
-    names = [f"leaks_{b}" for b in range(blocks)]
-    return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in names], F.array_sort(F.flatten(F.array(*[F.col(n) for n in names]))).alias("leaks"))
+def best_of(hits: Column) -> Column:
+    """Of each item the hit of least distance, then of first start; by item."""
+    better = lambda h, o: (o["item_id"].eqNullSafe(h["item_id"])) & ((o["distance"] < h["distance"]) | ((o["distance"] == h["distance"]) & (o["start_word"] < h["start_word"])))
+    return F.array_sort(F.array_distinct(F.filter(hits, lambda h: ~F.exists(hits, lambda o: better(h, o)))))
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", share: float = 0.2) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", share: float = 0.2, item_col: str = "item_id", item_text: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """The rows without any item of the benchmark, with their own columns."""
-    return mark_leaks(docs, benchmark, text_col, share=share).where(F.size("leaks") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, text = numbered(docs, text_col)
+    return renamed(mark_leaks(rows, benchmark, text, item_col, item_text, share, block_bytes).where(F.size("leaks") == 0), docs.columns)
