@@ -22,6 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annomerge.llm.common import materialise
+
 MAGIC = b"\x1f\x8b\x08"
 RECORD = "<urn:annomerge:page:{}>"
 DATE = "2024-01-01T00:00:00Z"
@@ -52,13 +54,15 @@ def member(row: dict, level: int, date: str) -> bytes:
 
 
 def with_revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes: int) -> DataFrame:
-    """page_id, url, payload, digest, refers_to. The first page of each payload comes from a grouped minimum, so a
-    payload that a third of all pages share is reduced before the shuffle, and the join back can be split."""
+    """page_id, url, payload, digest, refers_to. Digests alone are grouped and joined: the first page of each payload comes
+    from partial minima, and pages meet the list of revisits by digest and page, so a payload that a third of all pages
+    share is spread like any other. Where that list is small pages are not shuffled at all."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.encode(F.col(html_col), "utf-8"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    first = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("first_digest"), "first_id")
-    joined = rows.join(first, F.col("digest") == F.col("first_digest"), "left")
-    return joined.select("page_id", "url", "payload", "digest", F.when(F.col("page_id") != F.col("first_id"), F.col("first_id")).alias("refers_to"))
+    keys = rows.where((F.octet_length("payload") >= min_bytes) & F.col("page_id").isNotNull()).select("digest", "page_id")
+    first = materialise(keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last_id")).where("refers_to < last_id").drop("last_id"), "payloads")
+    revisits = materialise(keys.join(first, "digest").where("page_id != refers_to").distinct(), "revisits")
+    return rows.join(revisits, ["digest", "page_id"], "left").select("page_id", "url", "payload", "digest", "refers_to")
 
 
 def write_warc(pages: DataFrame, uri: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 100, level: int = 1, date: str = DATE) -> DataFrame:
