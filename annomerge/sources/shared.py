@@ -27,5 +27,5 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends there, a lost executor costs nothing, and the size is known."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
