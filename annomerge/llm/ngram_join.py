@@ -4,8 +4,8 @@ Sets become signatures of min-hash tokens. A path chooses coordinates of the sig
 chosen token stay together. A bucket of many documents is split again on further sampled tokens; one of few is compared
 by brute force on the exact shingle sets. Several runs with coordinates of their own reach the target recall.
 
-Scale: texts with equal shingle sets are one representative. A bucket that splitting cannot shrink is compared in
-blocks against blocks, so no task holds more than two blocks. A pair that meets in several buckets is counted in the
+Scale: texts with equal shingle sets are one representative. A bucket is compared in blocks against blocks, bounded in
+documents and in shingles, so no task holds more than two blocks. A pair that meets in several buckets is counted in the
 smallest of their common ones alone, so links are counted without ever listing pairs. Signatures decide first which
 documents of a bucket are in such a pair, and only those bring their shingles. Per bucket come back one row
 for each linked document, with its number of links and a root, and connected components of those give the classes.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annomerge.llm.common import components, materialise, mix, slices, window_hashes, word_hashes, word_table
+from annomerge.llm.common import components, materialise, mix, numbered, renamed, slices, window_hashes, word_hashes, word_table
 
 SHINGLE = 5
 COORDINATES = 64
@@ -40,8 +40,8 @@ def shingles(text: str | None, words):
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, set_hash (128 bits of the shingle set, null for an empty one), signature (min-hash tokens) and brief, 16 bits
-    of each token."""
+    """doc, set_hash (128 bits of the shingle set, null for an empty one), n (its size), signature (min-hash tokens) and
+    brief, 16 bits of each token."""
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,9 +51,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         seeds = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         for whole in batches:
             for batch in slices(whole, 1):
-                hashes, rows, brief = [], [], []
+                hashes, sizes, rows, brief = [], [], [], []
                 for text in batch.column(1).to_pylist():
                     own = shingles(text, words)
+                    sizes.append(len(own))
                     if not len(own):
                         hashes.append(None)
                         rows.append(None)
@@ -66,9 +67,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         low = np.minimum(low, (part ^ (part >> np.uint64(32))).min(0))
                     rows.append(low.view(np.int64).tolist())
                     brief.append(low.astype(np.uint16).tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.string()), pa.array(rows, pa.list_(pa.int64())), pa.array(brief, pa.binary())], ["doc", "set_hash", "signature", "brief"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.string()), pa.array(sizes, pa.int64()), pa.array(rows, pa.list_(pa.int64())), pa.array(brief, pa.binary())], ["doc", "set_hash", "n", "signature", "brief"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, set_hash string, signature array<long>, brief binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, set_hash string, n long, signature array<long>, brief binary")
 
 
 def root_buckets(runs: int, first: int) -> Column:
@@ -78,22 +79,23 @@ def root_buckets(runs: int, first: int) -> Column:
 
 
 def chosen_buckets(heads: DataFrame, marks: DataFrame, branch: float, limit: int, depth: int) -> DataFrame:
-    """(bucket, doc, size) of all buckets with at least two documents that are not split further.
+    """(bucket, doc, size, total) of all buckets with at least two documents that are not split further; total is the number
+    of their shingles.
 
-    heads: doc and its root buckets; marks: doc and signature, looked up only for documents of wide buckets. A bucket of
+    heads: doc, n and its root buckets; marks: doc and signature, looked up only for documents of wide buckets. A bucket of
     more than ``limit`` documents splits on the coordinates that a hash of its own puts first, ``branch`` rounded up, up to
     ``depth`` times. None picks fewer: a bucket that picked none would be lost with all its documents.
     """
-    now = heads.select("doc", F.explode("roots").alias("bucket"))
+    now = heads.select("doc", "n", F.explode("roots").alias("bucket"))
     done = signed = None
     for level in range(depth + 1):
         now = materialise(now, "paths")
-        sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.expr("bit_xor(xxhash64(doc, 1))").alias("f1"), F.expr("bit_xor(xxhash64(doc, 2))").alias("f2")).where("size > 1")
+        sizes = now.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.expr("bit_xor(xxhash64(doc, 1))").alias("f1"), F.expr("bit_xor(xxhash64(doc, 2))").alias("f2")).where("size > 1")
         sizes = materialise(sizes, "sizes")  # a plain table, so that Spark can split a hot bucket in the joins with it
         ends = sizes if level == depth else sizes.where(F.col("size") <= limit)
         # buckets of the same documents would be compared alike: one of them is enough
-        ends = ends.groupBy("f1", "f2", "size").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-        leaves = now.join(ends, "bucket").select("bucket", "doc", "size")
+        ends = ends.groupBy("f1", "f2", "size", "total").agg(F.min("bucket").alias("bucket")).select("bucket", "size", "total")
+        leaves = now.join(ends, "bucket").select("bucket", "doc", "size", "total")
         done = leaves if done is None else done.unionByName(leaves)
         if level == depth:
             break
@@ -104,14 +106,14 @@ def chosen_buckets(heads: DataFrame, marks: DataFrame, branch: float, limit: int
             signed = materialise(marks.join(wide.select("doc").distinct(), "doc").groupBy("doc").agg(F.first("signature").alias("signature")), "signed")
         order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: F.struct(F.xxhash64("bucket", c).alias("h"), c.alias("c"))))
         picked = F.slice(order, 1, min(COORDINATES, math.ceil(branch)))["c"]
-        now = wide.join(signed, "doc").select("doc", F.explode(F.transform(picked, lambda c: F.xxhash64("bucket", c, F.get("signature", c)))).alias("bucket"))
+        now = wide.join(signed, "doc").select("doc", "n", F.explode(F.transform(picked, lambda c: F.xxhash64("bucket", c, F.get("signature", c)))).alias("bucket"))
     return done
 
 
-def in_blocks(leaves: DataFrame, limit: int) -> DataFrame:
-    """(bucket, b1, b2, side, doc): a bucket above the limit is cut in blocks by a hash, and each pair of blocks is a
-    task's work; side tells which of the two a document is in."""
-    n = F.ceil(F.col("size") / limit).cast("int")
+def in_blocks(leaves: DataFrame, block: int, shingles_held: int) -> DataFrame:
+    """(bucket, b1, b2, side, doc): a bucket is cut in blocks of about ``block`` documents, fewer where they are long, by a
+    hash, and each pair of blocks is a task's work; side tells which of the two a document is in."""
+    n = F.ceil(F.greatest(F.col("size") / block, F.col("total") / shingles_held)).cast("int")
     rows = leaves.withColumn("n", n).withColumn("b", F.pmod(F.xxhash64("doc", "bucket"), F.col("n")).cast("int"))
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     return rows.select("bucket", F.least("b", "o").alias("b1"), F.greatest("b", "o").alias("b2"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "doc")
@@ -153,33 +155,25 @@ def met_before(bucket: int, buckets: list[list[int]], i, j):
     return before
 
 
-def across(side: list[int], one_block: bool, close):
-    """Pairs (i, j), i < j, of a matrix of close ones; only those between the two blocks if there are two."""
+def agreeing(brief: list[bytes], side: list[int], one_block: bool, least: int):
+    """Pairs (i, j) of signatures that agree on at least ``least`` tokens: all of one block, or those between two."""
     import numpy as np
 
-    close = np.triu(close, 1)
-    if not one_block:
-        of = np.array(side)
-        close &= of[:, None] != of[None]
-    return np.nonzero(close)
-
-
-def agreeing(brief: list[bytes], least: int):
-    """Matrix of which signatures agree on at least ``least`` tokens."""
-    import numpy as np
-
-    rows = np.frombuffer(b"".join(brief), np.uint16).reshape(len(brief), COORDINATES)
-    agree = np.zeros((len(brief), len(brief)), np.uint8)
+    rows, of = np.frombuffer(b"".join(brief), np.uint16).reshape(len(brief), COORDINATES), np.array(side)
+    first, second = (np.arange(len(brief)),) * 2 if one_block else (np.flatnonzero(of == 0), np.flatnonzero(of != 0))
+    agree = np.zeros((len(first), len(second)), np.uint8)
     for c in range(COORDINATES):
-        agree += rows[:, None, c] == rows[None, :, c]
-    return agree >= least
+        agree += rows[first, None, c] == rows[None, second, c]
+    close = agree >= least
+    i, j = np.nonzero(np.triu(close, 1) if one_block else close)
+    return first[i], second[j]
 
 
 def screen(bucket: int, b1: int, b2: int, rows: list[tuple], least: int) -> list[tuple]:
     """The documents, of rows (side, doc, buckets, brief), in a pair that agrees and is counted in this bucket."""
     import numpy as np
 
-    i, j = across([r[0] for r in rows], b1 == b2, agreeing([r[3] for r in rows], least))
+    i, j = agreeing([r[3] for r in rows], [r[0] for r in rows], b1 == b2, least)
     own = ~met_before(bucket, [r[2] for r in rows], i, j)
     return [(bucket, b1, b2, rows[k][0], rows[k][1]) for k in np.unique(np.concatenate((i[own], j[own]))).tolist()]
 
@@ -209,7 +203,7 @@ def count_links(bucket: int, b1: int, b2: int, rows: list[tuple], threshold: flo
     import numpy as np
 
     m = len(rows)
-    i, j = across([r[0] for r in rows], b1 == b2, agreeing([r[4] for r in rows], least))
+    i, j = agreeing([r[4] for r in rows], [r[0] for r in rows], b1 == b2, least)
     sets = [np.frombuffer(r[5], "<u8") for r in rows]
     sizes = np.array([len(s) for s in sets])
     shared = shared_shingles(sets, i, j)
@@ -270,26 +264,29 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, shingles binary")
 
 
-def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, runs: int = 3, first: int = 3, branch: float = 1.6, limit: int = 2048, depth: int = 3, slack: float = 0.2) -> DataFrame:
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, runs: int = 3, first: int = 3, branch: float = 1.6, limit: int = 2048, depth: int = 3, slack: float = 0.2, block: int = 512, shingles_held: int = 1 << 20) -> DataFrame:
     """One row per row of docs: doc_id; rep_id, the smallest id with the same shingle set; class_id, the smallest id that
     links lead to; n_links, the number of other documents whose similarity is at least the threshold.
 
     Pairs whose signatures agree on ``slack`` less than the threshold are not compared exactly: with 64 tokens, that
-    loses fewer than one in ten thousand pairs at the threshold."""
+    loses fewer than one in ten thousand pairs at the threshold. With ``slack`` equal to the threshold every pair of a
+    bucket is compared. Buckets above ``limit`` documents are split; all are compared in blocks of about ``block``
+    documents and ``shingles_held`` shingles."""
     marks = materialise(signatures(docs, id_col, text_col), "signatures")
     groups = marks.where("doc IS NOT NULL AND set_hash IS NOT NULL").groupBy("set_hash").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
     groups = materialise(groups, "sets")
-    own = marks.select("doc", "set_hash", root_buckets(runs, first).alias("roots"), "brief").join(groups.select("set_hash", F.col("rep").alias("doc"), "copies"), ["set_hash", "doc"])
-    heads = materialise(own.groupBy("doc").agg(F.first("roots").alias("roots"), F.first("brief").alias("brief"), F.first("copies").alias("copies")), "heads")
+    own = marks.select("doc", "set_hash", "n", root_buckets(runs, first).alias("roots"), "brief").join(groups.select("set_hash", F.col("rep").alias("doc"), "copies"), ["set_hash", "doc"])
+    heads = materialise(own.groupBy("doc").agg(F.first("roots").alias("roots"), F.first("brief").alias("brief"), F.first("copies").alias("copies"), F.first("n").alias("n")), "heads")
     leaves = materialise(chosen_buckets(heads, marks, branch, limit, depth), "leaves")
     members = leaves.groupBy("doc").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
-    members = materialise(members.join(heads.drop("roots"), "doc"), "members")
+    members = materialise(members.join(heads.drop("roots", "n"), "doc"), "members")
     least = int((threshold - slack) * COORDINATES)
-    blocks = in_blocks(leaves, limit)
+    blocks = in_blocks(leaves, block, shingles_held)
     near = by_task(blocks.join(members, "doc"), ["side", "doc", "buckets", "brief"], lambda *task: screen(*task, least), "bucket long, b1 long, b2 long, side long, doc long")
     near = materialise(near, "near")
-    asked = near.select(F.col("doc").alias("member")).distinct()
-    sets = shingle_sets(docs.join(asked, F.col(id_col).cast("long") == F.col("member"), "left_semi"), id_col, text_col)
+    asked = near.select("doc").distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    sets = shingle_sets(texts.join(asked, "doc", "left_semi"), "doc", "text")
     compared = by_task(near.join(members.join(sets, "doc"), "doc"), ["side", "doc", "copies", "buckets", "brief", "shingles"], lambda *task: count_links(*task, threshold, least), "doc long, links long, root long")
     found = materialise(compared, "links")
     links = found.groupBy("doc").agg(F.sum("links").alias("links"))
@@ -302,11 +299,20 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """One row of each class, that with the smallest id; rows with a null id or without words stay."""
-    told = materialise(similar(docs, id_col, text_col, threshold), "kept")
-    drop = told.where("doc_id IS NOT NULL AND doc_id != class_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    # a merge join at every size: the list grows with the documents and is not for broadcasting
-    kept = docs.join(drop.hint("merge"), F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
-    if told.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    """One row of each class, that with the smallest id; rows with a null id or without words stay.
+
+    Where an id stands more than once, rows are told apart by numbers of their own, so that a row goes only if its own text
+    has a copy that stays."""
+    rows, own_id, text = numbered(docs, id_col, text_col)
+    if rows.where(F.col(own_id).isNotNull()).groupBy(own_id).count().where("count > 1").isEmpty():
+        told = materialise(similar(rows, own_id, text, threshold), "kept")
+        drop = told.where("doc_id IS NOT NULL AND doc_id != class_id").select(F.col("doc_id").alias("dropped")).distinct()
+        # a merge join at every size: the list grows with the documents and is not for broadcasting
+        return renamed(rows.join(drop.hint("merge"), F.col(own_id).cast("long") == F.col("dropped"), "left_anti"), docs.columns)
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    known = rows.where(F.col(own_id).isNotNull())
+    told = similar(known.select("row", text), "row", text, threshold).select(F.col("doc_id").alias("row"), "class_id")
+    ranked = told.join(known.select("row", F.col(own_id).cast("long").alias("id")), "row")
+    first = materialise(ranked.groupBy("class_id").agg(F.min(F.struct("id", "row"))["row"].alias("kept")), "kept")
+    stay = known.join(first.hint("merge"), F.col("row") == F.col("kept"), "left_semi")
+    return renamed(stay.unionByName(rows.where(F.col(own_id).isNull())), docs.columns)
