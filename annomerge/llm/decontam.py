@@ -120,21 +120,33 @@ class Index:
                     found.update((length, s) for s in (*range(-(-low // step) * step, high + 1, step), high))
         return sorted(found)
 
-    def match(self, texts: list) -> list[list[dict]]:
+    def match(self, texts: list, at_once: int = 20_000) -> list[list[dict]]:
+        """The hits of each text. At most about ``at_once`` windows are held, however long the texts are."""
         import numpy as np
 
-        out: list[list[dict]] = [[] for _ in texts]
+        out: list[dict] = [{} for _ in texts]
         cut: dict[int, list] = {}
-        get = self.vocabulary.get
+        held, get = 0, self.vocabulary.get
         for i, text in enumerate(texts):
-            ids = np.array([get(w, 0) for w in WORDS.findall((text or "").lower())], np.int64)
+            ids = np.array([get(w, 0) for w in WORDS.findall((text or "").lower())], np.int32)
             for length, start in self.windows(ids):
                 d = int(self.share * length)
-                wide = np.full(length + 2 * d, self.pad)
+                wide = np.full(length + 2 * d, self.pad, np.int32)
                 row = ids[max(0, start - d) : start + length + d]
                 at = max(0, d - start)
                 wide[at : at + len(row)] = row
                 cut.setdefault(length, []).append((i, start, wide))
+                held += 1
+                if held == at_once:
+                    self.compare(cut, out)
+                    cut, held = {}, 0
+        self.compare(cut, out)
+        return [sorted(kept.values(), key=lambda h: (h["item_id"] is None, h["item_id"])) for kept in out]
+
+    def compare(self, cut: dict[int, list], out: list[dict]) -> None:
+        """Windows that share a sample with an item, by exact alignment; out keeps the best hit of each item in a text."""
+        import numpy as np
+
         for length, held in cut.items():
             names, items, picks, tables = self.by_length[length]
             d = int(self.share * length)
@@ -151,14 +163,10 @@ class Index:
                 distance, start, end = best_alignments(words[part[:, 0]], items[part[:, 1]], self.pad)
                 for (row, item), far, s, e in zip(part.tolist(), distance.tolist(), start.tolist(), end.tolist()):
                     if far <= d:
-                        out[held[row][0]].append({"item_id": names[item], "start_word": held[row][1] - d + s, "n_words": e - s, "distance": far})
-        best = []
-        for hits in out:
-            kept: dict = {}
-            for h in sorted(hits, key=lambda h: (h["distance"], h["start_word"])):
-                kept.setdefault(h["item_id"], h)
-            best.append(sorted(kept.values(), key=lambda h: h["item_id"]))
-        return best
+                        hit = {"item_id": names[item], "start_word": held[row][1] - d + s, "n_words": e - s, "distance": far}
+                        old = out[held[row][0]].get(hit["item_id"])
+                        if old is None or (hit["distance"], hit["start_word"]) < (old["distance"], old["start_word"]):
+                            out[held[row][0]][hit["item_id"]] = hit
 
 
 def best_alignments(a, b, pad: int = -1):
