@@ -5,11 +5,13 @@ card number that passes its check digit, an address stays an address, a date sta
 permutation depends on the key and the kind alone, so equal values get equal pseudonyms in all documents, and
 different ones of a kind stay different. E-mail addresses have no fixed alphabet; they get a keyed digest as name.
 
-Kinds: email; card (13 to 19 digits with a valid check digit, plain or in groups); phone; ip (version 4); ssn; date
-(years 1800 to 2199); secret (32 to 64 hexadecimal digits). What fails validation is left as it stands.
+Kinds: email; card (13 to 19 digits with a valid check digit, plain or in groups); iban (valid check digits); phone; ip
+(version 4); ip6 (all eight groups); ssn; date (years 1800 to 2199); key (AKIA or ASIA and 16 letters and digits);
+password (6 to 32 letters and digits behind password=, passwd= or pwd=); secret (32 to 64 hexadecimal digits). What fails
+validation is left as it stands.
 
 Defined cases: a null text stays null with nothing found; an empty text stays empty; repeated rows get equal results;
-an empty table gives no rows; other columns are kept.
+an empty table gives no rows; other columns are kept, but for one named ``pii_found``, which gives way to the result.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annomerge.llm.common import numbered, renamed
+
 ROUNDS = 10
 #: Days from the first day of 1800 to the last of 2199: a whole Gregorian cycle, 189 x 773.
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)
@@ -35,14 +39,19 @@ PHONE = (
     r"|(?<![\d(+.-])(?:(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|0\d(?:[ .-]\d\d){4}(?![ .-]\d\d(?!\d))|0\d\d[ .-]\d{4}[ .-]\d{4}))(?!\d)"
 )
 SECRET = r"(?<![0-9A-Za-z])(?=[0-9a-f]*[a-f]|[0-9A-F]*[A-F])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
+IP6 = r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])"
+IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}\d\d(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"
+ACCESS_KEY = r"(?<![0-9A-Za-z])A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
+PASSWORD = r"(?i:password|passwd|pwd)[=:][0-9A-Za-z]{6,32}(?![0-9A-Za-z])"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
-KINDS = (("email", EMAIL), ("ip", IP), ("date", DATE), ("ssn", SSN), ("phone", PHONE), ("secret", SECRET), ("card", CARD))
+KINDS = (("email", EMAIL), ("ip", IP), ("ip6", IP6), ("date", DATE), ("ssn", SSN), ("iban", IBAN), ("phone", PHONE), ("key", ACCESS_KEY), ("password", PASSWORD), ("secret", SECRET), ("card", CARD))
 ANY = "|".join(f"(?:{pattern})" for _, pattern in KINDS)
 #: Holds in every text that ANY finds something in, and costs less.
-GATE = r"\d\d|@|\d\.\d|[0-9a-fA-F]{32}"
+GATE = r"\d\d|@|\d\.\d|[0-9a-fA-F]{32}|A[KS]IA[0-9A-Z]{16}|(?i:password|passwd|pwd)[=:]|[0-9a-fA-F]:[0-9a-fA-F]{1,4}:"
 #: Country codes of one and two digits; all others have three.
 CODE_1, CODE_2 = "^[17]", "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 HEX = "0123456789abcdef"
+UPPER = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def keyed(key: str, kind: str, turn: Column, half: Column) -> Column:
@@ -99,6 +108,22 @@ def permute_hex(key: str, text: Column) -> Column:
     return F.when(text == low, out).otherwise(F.upper(out))
 
 
+def permute_signs(key: str, kind: str, text: Column, signs: str) -> Column:
+    """As permute_digits, sign by sign modulo their number, for texts of 2 to 32 of them."""
+    n = F.length(text)
+    short = F.floor(n / 2).cast("int")
+    value = lambda s, i: F.instr(F.lit(signs), F.substring(s, i, F.lit(1))) - 1
+
+    def step(s: Column, turn: Column) -> Column:
+        added = keyed(key, kind, turn, s["r"])
+        drawn = lambda i: F.conv(F.substring(added, i * 4 - 3, F.lit(4)), 16, 10).cast("int")
+        made = F.transform(F.sequence(F.lit(1), F.length(s["l"])), lambda i: F.substring(F.lit(signs), (value(s["l"], i) + drawn(i)) % len(signs) + 1, F.lit(1)))
+        return F.struct(s["r"].alias("l"), F.array_join(made, "").alias("r"))
+
+    done = rounds(F.struct(F.substring(text, F.lit(1), short).alias("l"), F.substring(text, short + 1, n).alias("r")), step)
+    return F.concat(done["l"], done["r"])
+
+
 def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
@@ -146,6 +171,40 @@ def new_ip(key: str, hit: Column) -> Column:
     return F.transform(made, text)[0]
 
 
+def new_ip6(key: str, hit: Column) -> Column:
+    """All 32 hexadecimal digits, so equal addresses meet however their zeros are written."""
+    full = F.array_join(F.transform(F.split(hit, ":"), lambda g: F.lpad(F.lower(g), 4, "0")), "")
+    made = F.transform(F.array(full), lambda x: permute_hex(key, x))[0]
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.substring(made, k * 4 + 1, F.lit(4))), ":")
+
+
+def mod_97(text: Column) -> Column:
+    """The remainder of the number that digits, and letters as 10 to 35, write."""
+    def add(acc: Column, i: Column) -> Column:
+        code = F.ascii(F.substring(text, i, F.lit(1)))
+        return F.when(code < 58, acc * 10 + code - 48).otherwise(acc * 100 + code - 55) % 97
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
+
+
+def new_iban(key: str, hit: Column) -> Column:
+    """The digits behind the check digits are permuted, letters stay, and check digits follow."""
+    plain = F.replace(hit, F.lit(" "), F.lit(""))
+    country, check, body = F.substring(plain, 1, 2), F.substring(plain, 3, 2), F.substring(plain, F.lit(5), F.length(plain))
+    digits = F.transform(F.array(digits_of(body)), lambda d: permute_digits(key, "iban", d))
+    whole = F.transform(digits, lambda d: F.concat(F.lpad((98 - mod_97(F.concat(refill(body, d), country, F.lit("00")))).cast("string"), 2, "0"), d))[0]
+    return F.when((mod_97(F.concat(body, country, check)) == 1) & (F.length(digits_of(body)) > 1), refill(hit, whole))
+
+
+def new_access_key(key: str, hit: Column) -> Column:
+    return F.concat(F.substring(hit, 1, 4), permute_signs(key, "key", F.substring(hit, 5, 16), UPPER))
+
+
+def new_password(key: str, hit: Column) -> Column:
+    ahead = F.regexp_extract(hit, "^[a-zA-Z]+[=:]", 0)
+    return F.concat(ahead, permute_signs(key, "password", F.substring(hit, F.length(ahead) + 1, F.length(hit)), UPPER + UPPER[10:].lower()))
+
+
 def new_ssn(key: str, hit: Column) -> Column:
     """Areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999, and nothing else, is valid."""
     area, group, serial = (F.substring(hit, at, n).cast("int") for at, n in ((1, 3), (5, 2), (8, 4)))
@@ -171,7 +230,7 @@ def new_email(key: str, hit: Column) -> Column:
     return F.concat(F.lit("u"), F.substring(keyed(key, "email", F.lit(0), low), 1, 16), F.lit("@d"), F.substring(keyed(key, "domain", F.lit(0), F.substring_index(low, "@", -1)), 1, 8), F.lit(".example.com"))
 
 
-MAKERS = {"email": new_email, "ip": new_ip, "date": new_date, "ssn": new_ssn, "phone": new_phone, "secret": lambda key, hit: permute_hex(key, hit), "card": new_card}
+MAKERS = {"email": new_email, "ip": new_ip, "ip6": new_ip6, "iban": new_iban, "key": new_access_key, "password": new_password, "date": new_date, "ssn": new_ssn, "phone": new_phone, "secret": lambda key, hit: permute_hex(key, hit), "card": new_card}
 
 
 def kind_of(hit: Column) -> Column:
@@ -191,21 +250,20 @@ def pseudonym(key: str, kind: Column, hit: Column) -> Column:
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """Rows with the text replaced in place, and ``pii_found``: array of (kind, pseudonym) in order of place.
+    """Rows with the text replaced in place, and ``pii_found``, in place of a column of that name: array of (kind, pseudonym)
+    in order of place.
 
     Only a text in which GATE holds is searched.
     """
-    text = F.col(text_col).cast("string")
+    out, text_name = numbered(docs, text_col)
+    text = F.col(text_name).cast("string")
     some = text.rlike(GATE)
     hits = F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     made = F.transform(F.transform(hits, lambda h: F.struct(kind_of(h).alias("kind"), h.alias("hit"))), lambda x: F.struct(x["kind"].alias("kind"), x["hit"].alias("hit"), pseudonym(key, x["kind"], x["hit"]).alias("pseudonym")))
-    clash = [c for c in ("pii_made", "pii_found") if c in docs.columns]
-    if clash:
-        raise ValueError(f"columns {clash} exist already")
-    rows = docs.withColumn("pii_made", made)
+    rows = out.withColumn("pii_made", made)
     pieces = F.split(text, ANY, -1)
     fill = F.concat(F.transform("pii_made", lambda x: F.coalesce(x["pseudonym"], x["hit"])), F.array(F.lit("")))
     new = F.when(F.size("pii_made") > 0, F.array_join(F.zip_with(pieces, fill, lambda p, f: F.concat(p, f)), "")).otherwise(text)
     found = F.transform(F.filter("pii_made", lambda x: x["pseudonym"].isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym")))
-    own = [new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return rows.select(*own, F.coalesce(found, F.array().cast("array<struct<kind:string,pseudonym:string>>")).alias("pii_found"))
+    own = [new.alias(c) if c == text_name else F.col(c) for c in out.columns]
+    return renamed(rows.select(*own, F.coalesce(found, F.array().cast("array<struct<kind:string,pseudonym:string>>")).alias("pii_found")), docs.columns, "pii_found")

@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
 ``run`` writes every stage's rows to the shared folder and reads them back, so a lost executor repeats one stage at most.
+
+Defined cases, beside those of the operators: a null or empty text fails the quality rules and ends there; a row with a null
+id passes the near-duplicate stage; of rows with one id each goes or stays by its own text; equal rows become one; a null
+n_chars stays null; an empty table gives an empty result of the same columns; without labels nothing but the base rule
+rejects; without benchmark rows nothing leaks.
 """
 
 from __future__ import annotations

@@ -1,13 +1,18 @@
 """Every operator over odd rows and over none."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from annomerge.llm import decontam, langid, licenses, ngram_join, packing, pii, quality, suffix_dedup, toxicity, warc
 from annomerge.llm.common import fresh_path
 from annomerge.llm.queries import tokenizer_path
 
 
+def own_columns_stay(got, docs, *results):
+    """Columns of the input keep names and values, but for those that results take the place of."""
+    assert [c for c in got.columns if c not in results] == [c for c in docs.columns if c not in results and c in got.columns]
+    assert all(r[c] == "mine" for r in got.collect() for c in ("key", "row", "c0", "dropped", "lic_text") if c not in results)
+
+
 @pytest.fixture(params=["odd", "empty"])
 def docs(request, odd):
     return odd if request.param == "odd" else odd.limit(0)
@@ -18,12 +23,15 @@ def test_quality(docs, labels):
     assert len(got) == docs.count()
     assert all(r.q_base_failed and not r.q_kept for r in got if not (r.text or "").strip(" .!\n"))
     assert quality.keep_good(docs, labels).columns == docs.columns
+    own_columns_stay(quality.keep_good(docs, labels), docs)
+    own_columns_stay(quality.judge(docs, labels, keep_text=False), docs, *(f"q_{c}" for c in (*quality.COUNTS, "score", "base_failed", "kept")))
     assert quality.judge(docs, labels.limit(0)).count() == docs.count()
 
 
 def test_language(docs):
     got = langid.predict(docs, langid.fit(docs)).collect()
     assert len(got) == docs.count()
+    own_columns_stay(langid.predict(docs, langid.fit(docs), keep_text=True), docs, "l_pred", "l_score", "l_ambiguous")
     none = [r for r in got if r.doc_id in (3, 4, 6)]
     assert all(r.l_pred == "und" and r.l_score == 0 for r in none)
 
@@ -31,16 +39,18 @@ def test_language(docs):
 def test_toxicity(docs, labels):
     got = toxicity.predict(docs, toxicity.fit(docs, labels)).collect()
     assert len(got) == docs.count() and all(0 <= r.t_score <= 1 for r in got)
+    own_columns_stay(toxicity.predict(docs, None), docs, "t_score")
 
 
 def test_licenses(docs):
-    got = licenses.digest(licenses.detect(docs.select("doc_id", "text", F.col("score").alias("lic")))).collect()
+    own_columns_stay(licenses.detect(docs), docs, "lic_n_words", "lic_base", "lic_found", "lic_score")
+    got = licenses.digest(licenses.detect(docs)).collect()
     assert len(got) == docs.count() and all(r.n_base == 0 and r.labels == "" and r.first_word is None for r in got)
 
 
 def test_pii(docs):
     got = pii.pseudonymise(docs, "k")
-    assert got.columns == [*docs.columns, "pii_found"]
+    assert got.columns == [*(c for c in docs.columns if c != "pii_found"), "pii_found"]
     assert sorted(str(r.text) for r in got.collect()) == sorted(str(r.text) for r in docs.collect())
 
 
@@ -49,12 +59,17 @@ def test_decontamination(spark, docs):
     got = decontam.mark_leaks(docs, items).collect()
     assert {r.doc_id for r in got if r.leaks} <= {7} and len(got) == docs.count()
     assert decontam.drop_leaks(docs, items).columns == docs.columns
+    own_columns_stay(decontam.drop_leaks(docs, items), docs)
+    own_columns_stay(decontam.mark_leaks(docs, items, block_bytes=5), docs, "leaks")
+    assert {(r.doc_id, len(r.leaks)) for r in decontam.mark_leaks(docs, items, block_bytes=5).collect() if r.leaks} == {(r.doc_id, len(r.leaks)) for r in got if r.leaks}
     assert decontam.drop_leaks(docs, items.limit(0)).count() == docs.count()
 
 
 def test_join(docs):
     got = ngram_join.similar(docs).collect()
     assert len(got) == docs.count()
+    own_columns_stay(ngram_join.keep_first(docs), docs)
+    own_columns_stay(ngram_join.keep_first(docs.dropDuplicates(["doc_id"])), docs)
     if got:
         known = {(r.doc_id, r.class_id, r.n_links) for r in got}
         assert {(1, 1, 3), (2, 1, 3), (8, 1, 3), (3, 3, 0), (4, 4, 0), (9, 9, 0), (None, None, 0)} <= known
