@@ -68,12 +68,12 @@ def slices(batch: pa.RecordBatch, at: int, rows: int = 4096, size: int = 8 << 20
         yield batch.slice(first)
 
 
-def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], dict[str, list]]], fields: str, keep_text: bool = False) -> DataFrame:
+def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[..., dict[str, list]]], fields: str, keep_text: bool = False, also: tuple = ()) -> DataFrame:
     """Columns computed from whole texts, beside the rows' own columns.
 
-    ``make()`` runs once a task; what it returns takes a list of texts and gives a list for each of ``fields``
-    (a DDL string of new columns, which must not clash with the others: callers prefix theirs). The text itself goes
-    back to Spark only if asked for.
+    ``make()`` runs once a task; what it returns takes a list of texts, and one of each column of ``also``, and gives a list
+    for each of ``fields`` (a DDL string of new columns, which must not clash with the others: callers prefix theirs). The
+    text itself goes back to Spark only if asked for.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -85,13 +85,13 @@ def map_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list],
     kind = StructType([StructField(f.name, f.dataType) for f in own] + list(new))
     arrow = to_arrow_schema(new)
     names, at = [f.name for f in own], df.columns.index(text_col)
-    places = [df.columns.index(n) for n in names]
+    places, more = [df.columns.index(n) for n in names], [df.columns.index(n) for n in also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for whole in batches:
             for batch in slices(whole, at):
-                got = score(batch.column(at).to_pylist())
+                got = score(batch.column(at).to_pylist(), *[batch.column(i).to_pylist() for i in more])
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in places] + [pa.array(got[f.name], f.type) for f in arrow], [*names, *arrow.names])
 
     return df.mapInArrow(run, kind)

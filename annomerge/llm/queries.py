@@ -88,6 +88,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (F.coalesce(fold(F.col("doc_id")), F.lit(0)) == 2).alias("held_out"), F.col("t_score").alias("score"), F.when(F.col("t_score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import fill_in_middle
+
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), with_output=False)
+    names = ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return made.select("doc_id", *[F.col(f"fim_{n}").alias(n) for n in names])
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import credentials
+
+    return credentials.digest(credentials.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annomerge.llm import filter_audit
+
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP9_SQL = """
 WITH p AS (
   SELECT page_id, sha256(coalesce(html, '')) AS digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages
@@ -101,9 +121,56 @@ FROM f
 """
 
 
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens, sha256('42:' || doc_id) AS h FROM documents
+), n AS (
+  SELECT *, len(tokens) AS n, [('0x' || h[k * 8 + 1 : k * 8 + 8])::BIGINT for k in range(4)] AS hs FROM t
+), c AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 50 THEN 'plain' WHEN hs[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM n
+), p AS (
+  SELECT doc_id, n, form, text, array_to_string(tokens[1 : a], '') AS prefix, array_to_string(tokens[a + 1 : b], '') AS middle, array_to_string(tokens[b + 1 :], '') AS suffix FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask FROM words
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, CAST(k AS INTEGER) AS step, bits[k] AS bit, CAST(coalesce(list_sum(bits[1 : k - 1]), 0) AS INTEGER) AS before FROM orders, range(1, 6) r(k)
+), told AS (
+  SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM told
+"""
+
+
 def queries() -> dict:
-    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op2_suffix_dedup": op2_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc}
+    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op2_suffix_dedup": op2_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc, "op11_fill_in_middle": op11_fill_in_middle, "op12_secret_scan": op12_secret_scan, "op13_filter_audit": op13_filter_audit}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": OP9_SQL}
+    return {"op9_warc": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_filter_audit": OP13_SQL}

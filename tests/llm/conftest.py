@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 WORDS = [a + b + c for a in ("ka", "lo", "mi", "ne", "pu", "ra") for b in ("ba", "do", "fi", "go", "ju") for c in ("", "n", "s", "th")]
 
 #: Names of result columns, and of columns inside operators.
-RESULTS = ("leaks", "pii_found", "lic_n_words", "lic_base", "lic_found", "lic_score", "l_pred", "l_score", "l_ambiguous", "t_score", "q_n_words", "q_score", "q_base_failed", "q_kept")
-CLASHES = (*RESULTS, "lic_text", "lic_words", "lic_line", "lic_hits", "pii_made", "leaks_0", "key", "all", "dropped", "dropped_id", "member", "row", "kept", "id", "doc", "set_hash", "signature", "brief", "bucket", "size", "n", "t_id", "l_id", "q_id", "q_label", "_value", "_n", "c0", "c1", "page_id", "payload", "digest", "refers_to", "piece", "start", "length", "sequence_id", "offset", "place", "places", "head")
+RESULTS = ("leaks", "pii_found", "lic_n_words", "lic_base", "lic_found", "lic_score", "l_pred", "l_score", "l_ambiguous", "t_score", "q_n_words", "q_score", "q_base_failed", "q_kept", "fim_n", "fim_output", "fim_pieces", "sec_spans")
+CLASHES = (*RESULTS, "lic_text", "lic_words", "lic_line", "lic_hits", "pii_made", "leaks_0", "key", "all", "dropped", "dropped_id", "member", "row", "kept", "id", "doc", "set_hash", "signature", "brief", "bucket", "size", "n", "t_id", "l_id", "q_id", "q_label", "_value", "_n", "c0", "c1", "page_id", "payload", "digest", "refers_to", "piece", "start", "length", "sequence_id", "offset", "place", "places", "head", "a_id", "a_part", "a_mask", "part", "filter_order", "step")
 
 
 @pytest.fixture(scope="session")
