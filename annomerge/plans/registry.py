@@ -349,6 +349,43 @@ def _(s, d):
     return read_alphamissense(s, path)
 
 
+def block_file(s, rows, head, name):
+    """Rows of text columns as block-gzip files in row order; the folder."""
+    from annomerge.sources.blocks import write_blocks
+
+    path = fresh_path(s, name)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns if c != "ord"]
+    write_blocks(rows.orderBy("ord").select(F.concat_ws("\t", *fields).alias("line")), path, head=head).agg(F.sum("n_lines")).collect()
+    return path
+
+
+@query("read_alphamissense_blocks", "SELECT gene, hgvs_p, alphamissense_score, alphamissense_class FROM am", AM)
+def _(s, d):
+    from annomerge.sources.readers import read_alphamissense
+
+    path = block_file(s, adapter(s, d, "am_like"), ("# notes", "uniprot_id\tprotein_variant\tam_pathogenicity\tam_class"), "am-blocks")
+    return jobs.load_alphamissense(read_alphamissense(s, path, order=True, split_bytes=32 << 10), dim(s, d)).drop("ord")
+
+
+@query("read_clinvar_blocks", f"SELECT {COLUMNS.replace('ord, ', '').replace('type, assembly, ', '')} FROM clinvar", CLINVAR)
+def _(s, d):
+    from annomerge.sources.readers import read_clinvar
+    from annomerge.sources.schemas import SUMMARY_COLUMNS
+
+    rows = adapter(s, d, "clinvar_like")
+    cells = [F.col(SUMMARY_COLUMNS[i]) if SUMMARY_COLUMNS.get(i) in rows.columns else F.lit("x") for i in range(34)]
+    path = block_file(s, rows.select("ord", *[c.alias(f"h{i}") for i, c in enumerate(cells)]), ("#" + "\t".join(f"h{i}" for i in range(34)),), "summary-blocks")
+    return jobs.load_clinvar(read_clinvar(s, path, order=True, split_bytes=32 << 10)).drop("ord")
+
+
+@query("read_cadd_blocks", "SELECT a.ord, h.RawScore AS cadd_raw, h.PHRED AS cadd_phred FROM clinvar a LEFT JOIN cadd_hit h ON a.ord = h.id", FEATURES)
+def _(s, d):
+    from annomerge.sources.readers import read_cadd
+
+    path = block_file(s, adapter(s, d, "cadd_like"), ("## notes", "#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED"), "cadd-blocks")
+    return joins.annotate_cadd(clinvar(s, d), read_cadd(s, path, order=True, split_bytes=4 << 10), "ord").select("ord", "cadd_raw", "cadd_phred")
+
+
 @query("read_clinvar", "SELECT type, name, gene_symbol, clinical_sig, last_evaluated, assembly, chromosome, review_status, variation_id, pos_vcf, ref_vcf, alt_vcf FROM clinvar_like", tables=("clinvar_like",))
 def _(s, d):
     from annomerge.sources.readers import read_clinvar

@@ -1,6 +1,7 @@
 """Readers with explicit schemas. Values stay text where they are parsed later; what is missing is NULL.
 
-A gzip file is one task, however large: convert it to Parquet once, or repartition behind the reader.
+A plain gzip file is one task, however large: convert it to Parquet once, or repartition behind the reader. One of blocks is
+read in ranges of ``split_bytes`` where that is given.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from annomerge.functions.nested import zip_header_rows
 from annomerge.functions.scalars import hgvs_p_from_aa, parse_substitution, safe_double
 from annomerge.operators.dedupe import dedupe_last
-from annomerge.sources import schemas
+from annomerge.sources import blocks, schemas
 
 
 def with_row_order(rows: DataFrame, name: str = "ord") -> DataFrame:
@@ -20,15 +21,21 @@ def with_row_order(rows: DataFrame, name: str = "ord") -> DataFrame:
     return rows.select("*", place.alias(name))
 
 
-def read_alphamissense(spark: SparkSession, path: str, coordinates: bool = False, order: bool = False) -> DataFrame:
+def read_alphamissense(spark: SparkSession, path: str, coordinates: bool = False, order: bool = False, split_bytes: int | None = None) -> DataFrame:
     """Tab-separated scores; lines that begin with # are skipped. ``coordinates``: the layout whose header is one."""
+    if split_bytes:
+        kind = schemas.ALPHAMISSENSE_HG38 if coordinates else schemas.ALPHAMISSENSE
+        rows = blocks.read_fields(spark, path, kind, "\t", split_bytes, comment="#", header=not coordinates, quote="")
+        return rows if order else rows.drop("ord")
     reader = spark.read.option("sep", "\t").option("comment", "#").option("quote", "").option("enforceSchema", True)
     rows = reader.schema(schemas.ALPHAMISSENSE_HG38).csv(path) if coordinates else reader.option("header", True).schema(schemas.ALPHAMISSENSE).csv(path)
     return with_row_order(rows) if order else rows
 
 
-def read_clinvar(spark: SparkSession, path: str, order: bool = False) -> DataFrame:
+def read_clinvar(spark: SparkSession, path: str, order: bool = False, split_bytes: int | None = None) -> DataFrame:
     """The used columns, by position, of a summary with one header line and no quoting."""
+    if split_bytes:
+        return blocks.read_fields(spark, path, schemas.CLINVAR, "\t", split_bytes, header=True, quote="").select(*schemas.SUMMARY_COLUMNS.values(), *["ord"] * order)
     rows = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("enforceSchema", True).schema(schemas.CLINVAR).csv(path)
     return (with_row_order(rows) if order else rows).select(*schemas.SUMMARY_COLUMNS.values(), *["ord"] * order)
 
@@ -44,8 +51,11 @@ def read_gnomad(spark: SparkSession, path: str, order: bool = False) -> DataFram
     return with_row_order(rows) if order else rows
 
 
-def read_cadd(spark: SparkSession, path: str, order: bool = False) -> DataFrame:
+def read_cadd(spark: SparkSession, path: str, order: bool = False, split_bytes: int | None = None) -> DataFrame:
     """Bulk files with the header ``#Chrom``; ``order`` is what the first match at a place is chosen by."""
+    if split_bytes:
+        rows = blocks.read_fields(spark, path, schemas.CADD, "\t", split_bytes, comment="#")
+        return rows if order else rows.drop("ord")
     rows = spark.read.option("sep", "\t").option("comment", "#").schema(schemas.CADD).csv(path)
     return with_row_order(rows) if order else rows
 
