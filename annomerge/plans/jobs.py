@@ -65,12 +65,18 @@ def substitution_scores(alphamissense: DataFrame, revel: DataFrame, ord_col: str
     return joins.revel_by_substitution(alphamissense, revel, ord_col=ord_col).select("gene", "hgvs_p", "alphamissense_score", "alphamissense_class", "revel_score")
 
 
-def feature_table(alphamissense: DataFrame, gnomad: DataFrame, clinvar: DataFrame | None = None, substitutions: DataFrame | None = None, ord_col: str = "ord") -> DataFrame:
-    """All sources, one row per (gene, hgvs_p); later ones win on shared columns, but a substitution without a REVEL score
-    leaves the one that is stored."""
+def feature_table(alphamissense: DataFrame, gnomad: DataFrame, clinvar: DataFrame | None = None, revel: DataFrame | None = None, ord_col: str = "ord") -> DataFrame:
+    """All sources, one row per (gene, hgvs_p); later ones win on shared columns. ``revel``, parsed rows, gives the AlphaMissense
+    rows, which then need aaref and aaalt, the score of their amino acids. That score is merged last and leaves a stored one where
+    it is NULL: it is carried along under another name, since no source need be read twice for it."""
+    if revel is not None:
+        alphamissense = joins.revel_by_substitution(alphamissense, revel, ord_col=ord_col).withColumnRenamed("revel_score", "_by_substitution")
     sources = [d.drop(ord_col, "aaref", "aaalt") for d in (alphamissense, gnomad, clinvar) if d is not None]
     table = merge.build_features(sources)
-    return merge.merge_coalesce(table, substitutions, ["revel_score"]) if substitutions is not None else table
+    if revel is None:
+        return table
+    stored = F.col("revel_score") if "revel_score" in table.columns else F.lit(None).cast("double")
+    return table.withColumn("revel_score", F.coalesce("_by_substitution", stored)).drop("_by_substitution")
 
 
 def coverage(features: DataFrame) -> DataFrame:

@@ -114,7 +114,7 @@ def gnomad(s, d):
 
 
 def features(s, d):
-    return jobs.feature_table(am(s, d), gnomad(s, d), scored(s, d), substitutions(s, d))
+    return jobs.feature_table(am(s, d), gnomad(s, d), scored(s, d), revel(s, d))
 
 
 def scored(s, d):

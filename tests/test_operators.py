@@ -37,6 +37,47 @@ def test_merges(spark):
     assert rows(merge.merge_overwrite(once, s.where("gene IS NOT NULL")), "hgvs_p") == rows(once, "hgvs_p")
 
 
+def test_merging_all_at_once_equals_one_after_the_other(spark):
+    import collections
+    import random
+
+    rng = random.Random(6)
+
+    def a_source(columns, n):
+        keyed = {(rng.choice("AB"), f"p.{rng.randrange(12)}") for _ in range(n)}
+        each = [(*k, *[rng.choice([None, "x", "y", str(rng.randrange(99))]) for _ in columns]) for k in sorted(keyed)]
+        lost = [(rng.choice(["A", None]), None, *["z" for _ in columns])] * 2
+        return spark.createDataFrame(each + lost, ", ".join(f"{c} string" for c in ("gene", "hgvs_p", *columns)))
+
+    keys = ["gene", "hgvs_p"]
+    for shapes in (("ab", "bc", "abd"), ("a", "a", "a", "ac"), ("ab", "c"), ("a",)):
+        sources = [a_source(columns, 14) for columns in shapes]
+        for rules in ({}, {"keep": ["a"]}, {"keep": ["b", "c"]}):
+            want = sources[0]
+            for s in sources[1:]:
+                want = merge.merge(want, s, keys, **rules)
+            got = merge.merge_all(sources, keys, **rules)
+            assert got.columns == want.columns
+            assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, want.collect()))
+    two = [a_source("ab", 14), a_source("ab", 14)]
+    got = merge.merge_all(two, keys, insert_only=["a"]), merge.merge(*two, keys, insert_only=["a"])
+    assert collections.Counter(map(tuple, got[0].collect())) == collections.Counter(map(tuple, got[1].collect()))
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merges_read_each_source_once(spark, tmp_path):
+    for k, c in enumerate("abc"):
+        spark.createDataFrame([("G", "p.1", "x")], f"gene string, hgvs_p string, {c} string").write.parquet(str(tmp_path / c))
+    sources = [spark.read.parquet(str(tmp_path / c)) for c in "abc"]
+    plan = plan_of(merge.merge_all(sources, ["gene", "hgvs_p"]))
+    assert plan.count("FileScan") == 3 and plan.count("Exchange") == 1
+    plan = plan_of(merge.merge(sources[0], sources[1], ["gene", "hgvs_p"]))
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 2
+
+
 def test_revel_by_coordinates_first_row_decides(spark):
     v = spark.createDataFrame([("chr1", 5, "A", "C")], "chromosome string, position long, ref string, alt string")
     r = spark.createDataFrame([("1", "9", "5", "A", "C", ".", 1), ("1", "9", "5", "A", "C", "0.7", 2)], "chr string, hg19_pos string, grch38_pos string, ref string, alt string, REVEL string, ord int")
@@ -120,12 +161,14 @@ def test_features_of_all_sources(spark):
     clinvar = spark.createDataFrame([(1, "G", "p.Met1Ala", "c.2", "chr1", 5, "A", "C"), (2, "G", "p.Met2Cys", "c.3", "1", 6, None, None)], "ord int, gene string, hgvs_p string, hgvs_c string, chromosome string, position long, ref string, alt string")
     revel = spark.createDataFrame([(1, "1", "4", "5", "A", "C", "M", "A", "0.7", "T"), (2, "1", "5", "6", "A", "G", "Q", "R", "0.8", "T")], "ord int, chr string, hg19_pos string, grch38_pos string, ref string, alt string, aaref string, aaalt string, REVEL string, Ensembl_transcriptid string")
     cadd = spark.createDataFrame([(1, "1", 6, "A", "G", 3.0, 30.0)], "ord int, Chrom string, Pos long, Ref string, Alt string, RawScore double, PHRED double")
-    subs = jobs.substitution_scores(am, jobs.parse_revel(revel))
     scored = jobs.scored_clinvar(clinvar, revel.replace("0.7", "0.4", "REVEL"), cadd)
-    got = jobs.feature_table(am, gnomad, scored, subs.withColumn("revel_score", F.when(F.col("hgvs_p") == "p.Met1Ala", F.col("revel_score"))))
+    got = jobs.feature_table(am, gnomad, scored, jobs.parse_revel(revel))
     assert rows(got.select("hgvs_p", "hgvs_c", "gnomad_af", "revel_score", "cadd_phred", "alt"), "hgvs_p") == [("p.Met1Ala", "c.2", 0.1, 0.7, None, "C"), ("p.Met2Cys", "c.3", None, None, 30.0, "G")]
-    kept = jobs.feature_table(am, gnomad, scored, subs.withColumn("revel_score", F.lit(None).cast("double")))
+    kept = jobs.feature_table(am, gnomad, scored, jobs.parse_revel(revel).where("aaref = 'none'"))
     assert rows(kept.select("hgvs_p", "revel_score"), "hgvs_p") == [("p.Met1Ala", 0.4), ("p.Met2Cys", None)]
+    subs = jobs.substitution_scores(am, jobs.parse_revel(revel))
+    step = merge.merge_coalesce(jobs.feature_table(am, gnomad, scored), subs, ["revel_score"])
+    assert rows(step.select(*sorted(step.columns)), "hgvs_p") == rows(got.select(*sorted(got.columns)), "hgvs_p")
 
 
 def test_no_shared_folder_on_a_cluster():
