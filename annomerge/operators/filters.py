@@ -21,6 +21,12 @@ def normalize_sources(text: Column) -> Column:
     return F.when(F.array_contains(names, "all"), F.array(*[F.lit(s) for s in ALL_SOURCES])).otherwise(names)
 
 
+def source_list(text: str) -> list[str]:
+    """``normalize_sources`` for a job's own argument."""
+    names = [s.strip().lower() for s in text.split(",")]
+    return list(ALL_SOURCES) if "all" in names else names
+
+
 def filter_gene_set(rows: DataFrame, genes: DataFrame, col: str = "gene", gene_col: str = "gene") -> DataFrame:
     wanted = genes.select(F.col(gene_col).alias(col)).distinct()
     return rows.join(wanted, col, "left_semi")

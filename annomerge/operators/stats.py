@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: The columns that a gene's coverage counts beside its rows; counts of parts can be added.
+COVERAGE = {"with_clinvar": "clinvar_id", "with_alphamissense": "alphamissense_score", "with_gnomad": "gnomad_af", "with_revel": "revel_score"}
+
+
 def coverage_by_gene(rows: DataFrame) -> DataFrame:
-    marks = {"with_clinvar": "clinvar_id", "with_alphamissense": "alphamissense_score", "with_gnomad": "gnomad_af", "with_revel": "revel_score"}
-    return rows.groupBy("gene").agg(F.count("*").alias("total"), *[F.count(c).alias(n) for n, c in marks.items()]).orderBy(F.desc("total"), "gene")
+    return rows.groupBy("gene").agg(F.count("*").alias("total"), *[F.count(c).alias(n) for n, c in COVERAGE.items()]).orderBy(F.desc("total"), "gene")
 
 
 def lof_counts_by_gene(rows: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annomerge.functions import scalars as x
 from annomerge.operators import dedupe, filters, joins, merge, stats
+from annomerge.sources import stored
 
 
 def parse_clinvar(rows: DataFrame, keep: tuple = ("ord",)) -> DataFrame:
@@ -79,5 +82,19 @@ def feature_table(alphamissense: DataFrame, gnomad: DataFrame, clinvar: DataFram
     return table.withColumn("revel_score", F.coalesce("_by_substitution", stored)).drop("_by_substitution")
 
 
+def build(spark: SparkSession, path: str, genes: DataFrame, sources: str, loaded: dict[str, DataFrame], loaded_at: datetime, state: str | None = None) -> DataFrame:
+    """Load the named sources, or ``all``, of some genes into the stored missense table, merged in the order of
+    ``filters.ALL_SOURCES``, by one rewrite of the genes' folders; ``state``: where their coverage is kept. Returns the genes that
+    were loaded. A name that stands for no source, or for one that is not in ``loaded``, is passed over."""
+    wanted = [s for s in filters.ALL_SOURCES if s in filters.source_list(sources) and s in loaded]
+    if not wanted:
+        return genes.select("gene").limit(0)
+    table = merge.build_features([filters.filter_gene_set(loaded[s], genes) for s in wanted])
+    done = stored.upsert(spark, path, "variants_missense", table, loaded_at)
+    if state:
+        stored.refresh_coverage(spark, path, "variants_missense", state, done)
+    return done
+
+
 def coverage(features: DataFrame) -> DataFrame:
     return stats.coverage_by_gene(features)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -474,6 +475,53 @@ def _(s, d):
     return read_features(s, path).select(*SMALL.split(", "))
 
 
+LOADS = ("2024-01-01", "2024-02-01", "2024-03-01")
+
+
+def loaded_table(s, d, state=None):
+    """The path of a stored table after three loads of different genes and sources."""
+    from annomerge.sources.stored import upsert
+
+    path, times = fresh_path(s, "stored"), [datetime.fromisoformat(t).replace(tzinfo=timezone.utc) for t in LOADS]
+    genes = am(s, d).select("gene").distinct()
+    loaded = {"alphamissense": am(s, d).drop("ord", "aaref", "aaalt"), "gnomad": gnomad(s, d).drop("ord"), "clinvar": clinvar(s, d).drop("ord")}
+    jobs.build(s, path, genes, "alphamissense", loaded, times[0], state)
+    jobs.build(s, path, genes.where("gene < 'Brand#3'"), "gnomad, ClinVar", loaded, times[1], state)
+    jobs.build(s, path, genes.where("gene = 'Brand#25'"), "all", {"gnomad": loaded["gnomad"]}, times[2], state)
+    upsert(s, path, "variants_lof", annotated(s, d).limit(0).select("gene", "hgvs_c", "lof_type"), times[2])
+    return path
+
+
+STORED = f"""second AS (SELECT coalesce(g.gene, c.gene) AS gene, coalesce(g.hgvs_p, c.hgvs_p) AS hgvs_p, CASE WHEN c.gene IS NOT NULL THEN c.hgvs_c ELSE g.hgvs_c END AS hgvs_c, g.gnomad_af, c.clinvar_id, c.position
+  FROM gnomad g FULL JOIN clinvar c ON g.gene = c.gene AND g.hgvs_p = c.hgvs_p WHERE coalesce(g.gene, c.gene) < 'Brand#3' AND coalesce(g.gene, c.gene) IN (SELECT gene FROM am)),
+  twice AS (SELECT coalesce(a.gene, s.gene) AS gene, coalesce(a.hgvs_p, s.hgvs_p) AS hgvs_p, s.hgvs_c, a.alphamissense_score, s.gnomad_af, s.clinvar_id, s.position,
+  CASE WHEN a.gene IS NOT NULL THEN '{LOADS[0]}' ELSE '{LOADS[1]}' END AS created, CASE WHEN s.gene IS NOT NULL THEN '{LOADS[1]}' ELSE '{LOADS[0]}' END AS updated FROM am a FULL JOIN second s ON a.gene = s.gene AND a.hgvs_p = s.hgvs_p),
+  third AS (SELECT * FROM gnomad WHERE gene = 'Brand#25'),
+  stored AS (SELECT coalesce(t.gene, g.gene) AS gene, coalesce(t.hgvs_p, g.hgvs_p) AS hgvs_p, CASE WHEN g.gene IS NOT NULL THEN g.hgvs_c ELSE t.hgvs_c END AS hgvs_c, t.alphamissense_score, CASE WHEN g.gene IS NOT NULL THEN g.gnomad_af ELSE t.gnomad_af END AS gnomad_af,
+  t.clinvar_id, t.position, 'GRCh38' AS genome_build, epoch(CAST(coalesce(t.created, '{LOADS[2]}') AS TIMESTAMP))::BIGINT AS created_at, epoch(CAST(CASE WHEN g.gene IS NOT NULL THEN '{LOADS[2]}' ELSE t.updated END AS TIMESTAMP))::BIGINT AS updated_at
+  FROM twice t FULL JOIN third g ON t.gene = g.gene AND t.hgvs_p = g.hgvs_p)"""
+
+
+@query("upsert_features", "SELECT gene, hgvs_p, hgvs_c, alphamissense_score, gnomad_af, clinvar_id, position, genome_build, created_at, updated_at FROM stored", AM, GNOMAD, CLINVAR, STORED)
+def _(s, d):
+    from annomerge.sources.stored import read_stored
+
+    rows = read_stored(s, loaded_table(s, d), "variants_missense")
+    return rows.select("gene", "hgvs_p", "hgvs_c", "alphamissense_score", "gnomad_af", "clinvar_id", "position", "genome_build", F.unix_timestamp("created_at").alias("created_at"), F.unix_timestamp("updated_at").alias("updated_at"))
+
+
+@query("coverage_from_state", "SELECT gene, CAST(count(*) AS BIGINT) AS total, CAST(count(clinvar_id) AS BIGINT) AS with_clinvar, CAST(count(alphamissense_score) AS BIGINT) AS with_alphamissense, CAST(count(gnomad_af) AS BIGINT) AS with_gnomad, CAST(0 AS BIGINT) AS with_revel FROM stored GROUP BY gene", AM, GNOMAD, CLINVAR, STORED)
+def _(s, d):
+    from annomerge.sources.stored import coverage_report
+
+    state = fresh_path(s, "coverage")
+    loaded_table(s, d, state)
+    return coverage_report(s, state)
+
+
+query("normalize_sources", "SELECT c_custkey, CASE WHEN lower(c_mktsegment) LIKE '%build%' THEN 'alphamissense;gnomad;clinvar' ELSE lower(trim(c_mktsegment)) || ';' || lower(trim(substr(c_name, 1, 9))) END AS sources FROM customer")(lambda s, d: s.read.parquet(f"{d}/customer.parquet").select("c_custkey", F.array_join(filters.normalize_sources(F.concat(F.lit(" "), F.replace("c_mktsegment", F.lit("BUILDING"), F.lit("x, ALL")), F.lit(" , "), F.substring("c_name", 1, 9))), ";").alias("sources")))
+
+
 @query("write_gene_cache", "SELECT gene, hgvs_p, alphamissense_class FROM am", AM)
 def _(s, d):
     from annomerge.sources.writers import write_gene_cache
