@@ -8,6 +8,7 @@ from annomerge.functions import nested
 from annomerge.operators import dedupe, joins, merge, quality, stats
 from annomerge.plans import jobs
 from annomerge.sources import readers, writers
+from tests import plans
 
 
 def rows(df, *order):
@@ -64,17 +65,13 @@ def test_merging_all_at_once_equals_one_after_the_other(spark):
     assert collections.Counter(map(tuple, got[0].collect())) == collections.Counter(map(tuple, got[1].collect()))
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_merges_read_each_source_once(spark, tmp_path):
     for k, c in enumerate("abc"):
         spark.createDataFrame([("G", "p.1", "x")], f"gene string, hgvs_p string, {c} string").write.parquet(str(tmp_path / c))
     sources = [spark.read.parquet(str(tmp_path / c)) for c in "abc"]
-    plan = plan_of(merge.merge_all(sources, ["gene", "hgvs_p"]))
+    plan = plans.text(merge.merge_all(sources, ["gene", "hgvs_p"]))
     assert plan.count("FileScan") == 3 and plan.count("Exchange") == 1
-    plan = plan_of(merge.merge(sources[0], sources[1], ["gene", "hgvs_p"]))
+    plan = plans.text(merge.merge(sources[0], sources[1], ["gene", "hgvs_p"]))
     assert plan.count("FileScan") == 2 and plan.count("Exchange") == 2
 
 
