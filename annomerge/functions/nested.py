@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annomerge.functions.scalars import homozygotes, preferred
+from annomerge.operators.ordinals import dense_order
 
 
 def match_transcripts(wanted: Column, listed: Column) -> Column:
@@ -33,7 +34,10 @@ def zip_header_rows(table: Column) -> Column:
     return F.transform(F.filter(rows, lambda r: F.size(r) == F.size(table[0])), lambda r: F.map_from_arrays(table[0], r))
 
 
-def positions_by_substitution(rows: DataFrame, keys: list[str], ord_col: str, fields: list[str]) -> DataFrame:
-    """Per key, the array of ``fields`` in row order. Keep the gene in the keys where lists may grow long."""
-    listed = F.sort_array(F.collect_list(F.struct(ord_col, *fields)))
-    return rows.groupBy(*keys).agg(F.transform(listed, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("positions"))
+def positions_by_substitution(rows: DataFrame, keys: list[str], ord_col: str, fields: list[str], chunk: int = 10_000) -> DataFrame:
+    """Per key, the rows' ``fields`` in row order, in arrays of at most ``chunk``: ``chunk`` numbers a key's arrays from 0. A key's
+    rows are numbered by ``dense_order``, so that none of them must meet in one task."""
+    numbered = dense_order(rows.select(*keys, ord_col, *fields), [ord_col], keys, "_number")
+    listed = F.sort_array(F.collect_list(F.struct("_number", *fields)))
+    grouped = numbered.groupBy(*keys, F.floor(F.col("_number") / chunk).alias("chunk"))
+    return grouped.agg(F.transform(listed, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("positions"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -132,9 +134,18 @@ def predict_nmd_escape(truncation: Column, last_exon: Column) -> Column:
 
 def shown(number: Column, digits: int, exponent: bool = False) -> Column:
     """The number with ``digits`` decimals, plain or with an exponent of two digits and its sign; N/A for none and for 0. The
-    binary value is rounded, to even, as ``printf`` does; Spark's format_string would round its decimal text."""
+    binary value is rounded, to even, as ``printf`` does; Spark's format_string would round its decimal text, and its
+    format_number drops half of the last place, which is told apart here."""
     text = F.call_function("format_number", number, F.lit("0." + "0" * digits + "E00" * exponent))
-    text = F.regexp_replace(F.regexp_replace(text, "E(?=[0-9])", "e+"), "E-", "e-")
+    if exponent:
+        text = F.regexp_replace(F.regexp_replace(text, "E(?=[0-9])", "e+"), "E-", "e-")
+    else:
+        exact = Decimal(5).scaleb(-digits - 1)
+        half = float(exact)
+        up = F.abs(number) >= half if Decimal(half) > exact else F.abs(number) > half
+        sign = F.when(number < 0, "-").otherwise("")
+        small = F.concat(sign, F.when(up, f"{10.0**-digits:.{digits}f}").otherwise(f"{0:.{digits}f}"))
+        text = F.when(F.abs(number) < 10.0**-digits, small).otherwise(text)
     return F.when(number != 0, text).otherwise("N/A")
 
 

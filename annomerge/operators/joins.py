@@ -3,8 +3,6 @@ run time, of shuffled sides."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +11,6 @@ from annomerge.operators.dedupe import dedupe_first
 from annomerge.operators.filters import require_coordinates
 from annomerge.sources.shared import materialise
 
-#: Transcripts that are looked up in a literal map; more are joined.
-MAP_ENTRIES = 1000
-
-
 def alphamissense_for_genes(scores: DataFrame, dim: DataFrame) -> DataFrame:
     """Substitutions of the genes' proteins; dim: gene, uniprot_id."""
     return scores.join(dim, "uniprot_id")
@@ -26,31 +20,26 @@ def unmapped_genes(genes: DataFrame, dim: DataFrame) -> DataFrame:
     return genes.join(dim, "gene", "left_anti")
 
 
-def revel_for_genes(scores: DataFrame, transcripts: DataFrame, ord_col: str = "ord", most: int = MAP_ENTRIES) -> DataFrame:
-    """Rows of each gene with one of its transcripts, and the matches in the gene's order; transcripts: gene,
-    transcript_ids. Up to ``most`` transcripts are a literal map, and nothing is shuffled; more are joined by transcript and
-    brought together again by ``ord_col``, which must tell rows apart."""
-    wanted = transcripts.select("gene", F.posexplode("transcript_ids").alias("place", "id")).groupBy("id").agg(F.sort_array(F.collect_set(F.struct("gene", "place"))).alias("genes"))
-    listed = F.array_distinct(F.split("Ensembl_transcriptid", ";"))
-    known = wanted.limit(most + 1).collect()
-    if len(known) <= most:
-        text = json.dumps({r["id"]: [{"gene": g["gene"], "place": g["place"]} for g in r["genes"]] for r in known})
-        genes_of = F.from_json(F.lit(text), "map<string,array<struct<gene:string,place:int>>>")
-        hits = F.flatten(F.transform(listed, lambda t: F.transform(F.coalesce(F.try_element_at(genes_of, t), F.array().cast("array<struct<gene:string,place:int>>")), lambda g: F.struct(g["place"].alias("place"), t.alias("id"), g["gene"].alias("gene")))))
-        rows = scores.withColumn("_hits", hits).withColumn("_gene", F.explode(F.array_distinct(F.transform("_hits", lambda h: h["gene"]))))
-        matched = F.transform(F.array_sort(F.filter("_hits", lambda h: h["gene"] == F.col("_gene"))), lambda h: h["id"])
-        return rows.select(F.col("_gene").alias("gene"), *scores.columns, matched.alias("matched_transcripts"))
-    rows = scores.withColumn("_id", F.explode(listed)).join(wanted, F.col("_id") == F.col("id")).select(*scores.columns, "_id", F.explode("genes").alias("_g"))
-    hits = rows.groupBy(ord_col, "_g.gene").agg(F.sort_array(F.collect_list(F.struct("_g.place", "_id"))).alias("_m"), *[F.first(c).alias(c) for c in scores.columns if c != ord_col])
-    return hits.select("gene", *scores.columns, F.transform("_m", lambda m: m["_id"]).alias("matched_transcripts"))
+def revel_for_genes(scores: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Rows of each gene with one of its transcripts, and the matches in the gene's order; transcripts: gene, transcript_ids, each
+    gene once. A row meets a gene by every shared transcript and stays with the first that it lists, so it comes once per
+    gene, repeated rows as often as they are there, and nothing is brought together again."""
+    wanted = transcripts.select("gene", F.col("transcript_ids").alias("_wanted"), F.explode(F.array_distinct("transcript_ids")).alias("_id"))
+    listed = scores.withColumn("_listed", F.array_distinct(F.split("Ensembl_transcriptid", ";")))
+    met = listed.withColumn("_id", F.explode("_listed")).join(wanted, "_id")
+    first = F.element_at(F.filter("_listed", lambda t: F.array_contains("_wanted", t)), 1)
+    matched = F.filter("_wanted", lambda t: F.array_contains("_listed", t))
+    return met.where(first == F.col("_id")).select("gene", *scores.columns, matched.alias("matched_transcripts"))
 
 
 def revel_by_coordinates(variants: DataFrame, scores: DataFrame, build: str = "GRCh38", ord_col: str = "ord") -> DataFrame:
-    """Adds revel_score from the first score row of the same coordinates: its score, even if that is none."""
+    """Adds revel_score from the first score row of the same coordinates: its score, even if that is none. Scores are cut to the
+    coordinates asked for before the first of each is taken."""
     keys = ["chromosome", "position", "ref", "alt"]
-    rows = scores.select(F.col("chr").alias("chromosome"), build_position(F.lit(build), F.col("grch38_pos"), F.col("hg19_pos")).alias("position"), "ref", "alt", "REVEL", ord_col)
-    first = dedupe_first(rows, keys, ord_col).select(*keys, safe_double(F.col("REVEL")).alias("revel_score"))
     asked = variants.withColumn("chromosome", normalize_chromosome(F.col("chromosome"))).withColumn("position", F.col("position").cast("string"))
+    rows = scores.select(F.col("chr").alias("chromosome"), build_position(F.lit(build), F.col("grch38_pos"), F.col("hg19_pos")).alias("position"), "ref", "alt", "REVEL", ord_col)
+    own = rows.join(asked.select(*keys).dropna().distinct(), keys, "left_semi")
+    first = dedupe_first(own, keys, ord_col).select(*keys, safe_double(F.col("REVEL")).alias("revel_score"))
     return asked.join(first, keys, "left")
 
 

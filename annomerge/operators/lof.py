@@ -22,3 +22,9 @@ def annotate_lof(rows: DataFrame, genes: DataFrame | None = None) -> DataFrame:
 def route_variants(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(missense, lof): every row with a protein change is in the first, every row with a type in the second."""
     return rows.where(F.col("hgvs_p") != ""), rows.where(F.col("lof_type").isNotNull())
+
+
+def routed(rows: DataFrame) -> DataFrame:
+    """The rows of both routes by one pass: ``variant_type`` is where a row goes, and one with two routes comes twice."""
+    routes = F.array_compact(F.array(F.when(F.col("hgvs_p") != "", "missense"), F.when(F.col("lof_type").isNotNull(), "lof")))
+    return rows.withColumn("variant_type", F.explode(routes))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annomerge.functions import scalars as x
-from annomerge.operators import dedupe, filters, joins, merge, stats
+from annomerge.operators import dedupe, filters, joins, merge, quality, stats
 from annomerge.sources import stored
 
 
@@ -96,5 +96,13 @@ def build(spark: SparkSession, path: str, genes: DataFrame, sources: str, loaded
     return done
 
 
+def load_checked(spark: SparkSession, path: str, table: str, rows: DataFrame, aside: str, loaded_at: datetime, ord_col: str = "ord") -> DataFrame:
+    """Load the rows that break no rule of the stored table, and write the others, with their reasons, to ``aside``. A uniqueness rule
+    is held among the rows loaded and, since a stored key is updated, by the key of the table. Returns the genes loaded."""
+    accepted, refused = quality.split_checked(rows, table, ord_col)
+    refused.write.mode("overwrite").parquet(aside)
+    return stored.upsert(spark, path, table, accepted.drop(ord_col), loaded_at)
+
+
 def coverage(features: DataFrame) -> DataFrame:
     return stats.coverage_by_gene(features)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from annomerge.functions import nested
 from annomerge.functions import scalars as x
 from annomerge.operators import dedupe, filters, joins, lof, merge, quality, stats
+from annomerge.operators.ordinals import dense_order
 from annomerge.plans import jobs
 from annomerge.plans.adapters import adapter, ctes
 from annomerge.sources.shared import fresh_path
@@ -248,8 +249,10 @@ for build, position in (("GRCh38", "grch38_pos"), ("GRCh37", "hg19_pos")):
 
 query("first_seen_last_value", "SELECT * FROM d3", REVEL, FIRST_LAST)(lambda s, d: dedupe.first_seen_last_value(revel(s, d), ["aaref", "aaalt"], "grch38_pos", "ord", "revel_score"))
 query("revel_by_substitution", "SELECT a.ord, a.uniprot_id, a.hgvs_p, d3.revel_score FROM am_all a LEFT JOIN d3 USING (aaref, aaalt)", AM, REVEL, FIRST_LAST)(lambda s, d: joins.revel_by_substitution(am_all(s, d), revel(s, d)).select("ord", "uniprot_id", "hgvs_p", "revel_score"))
-query("positions_by_substitution", "SELECT aaref, aaalt, chromosome, string_agg(grch38_pos || ':' || ref || ':' || alt, ';' ORDER BY ord) AS positions FROM revel GROUP BY aaref, aaalt, chromosome", REVEL)(lambda s, d: nested.positions_by_substitution(revel(s, d), ["aaref", "aaalt", "chromosome"], "ord", ["grch38_pos", "ref", "alt"]).select("aaref", "aaalt", "chromosome", F.array_join(F.transform("positions", lambda p: F.concat_ws(":", p["grch38_pos"], p["ref"], p["alt"])), ";").alias("positions")))
-query("source_coverage", "SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(revel_score) AS BIGINT) AS matched, count(revel_score) * 100.0::DOUBLE / count(*) AS percent FROM am_all LEFT JOIN (SELECT * FROM d3 WHERE aaref < 'M') USING (aaref, aaalt)", AM, REVEL, FIRST_LAST)(lambda s, d: stats.source_coverage(joins.revel_by_substitution(am_all(s, d), revel(s, d).where("aaref < 'M'")), "revel_score"))
+POSITIONS = """SELECT aaref, aaalt, chromosome, chunk, string_agg(grch38_pos || ':' || ref || ':' || alt, ';' ORDER BY ord) AS positions FROM (SELECT *, (row_number() OVER (PARTITION BY aaref, aaalt, chromosome ORDER BY ord) - 1) // 5 AS chunk FROM revel) GROUP BY aaref, aaalt, chromosome, chunk"""
+query("positions_by_substitution", POSITIONS, REVEL)(lambda s, d: nested.positions_by_substitution(revel(s, d), ["aaref", "aaalt", "chromosome"], "ord", ["grch38_pos", "ref", "alt"], chunk=5).select("aaref", "aaalt", "chromosome", "chunk", F.array_join(F.transform("positions", lambda p: F.concat_ws(":", p["grch38_pos"], p["ref"], p["alt"])), ";").alias("positions")))
+query("dense_order", "SELECT ord, gene, row_number() OVER (ORDER BY gene, ord) - 1 AS ordinal, row_number() OVER (PARTITION BY assembly, chromosome ORDER BY ord) - 1 AS in_chromosome FROM parsed", PARSED)(lambda s, d: dense_order(dense_order(parsed(s, d).select("ord", "gene", "assembly", "chromosome"), ["gene", "ord"]), ["ord"], ["assembly", "chromosome"], "in_chromosome").drop("assembly", "chromosome"))
+query("source_coverage", "SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(cadd_phred) AS BIGINT) AS matched, count(cadd_phred) * 100.0::DOUBLE / count(*) AS percent FROM scored", FEATURES)(lambda s, d: stats.source_coverage(scored(s, d), "cadd_phred"))
 
 CADD_KEYS = """asked AS (SELECT ord AS id, gene, chromosome, position, CASE WHEN ord % 3 = 0 THEN NULL WHEN ord % 3 = 1 THEN '' ELSE ref END AS ref, CASE WHEN ord % 2 = 0 THEN NULL ELSE alt END AS alt FROM clinvar)"""
 CADD_HIT = """hit AS (SELECT a.id, c.Chrom, c.Pos, c.Ref AS cref, c.Alt AS calt, c.RawScore, c.PHRED FROM asked a JOIN cadd_like c ON a.chromosome = c.Chrom AND a.position = c.Pos AND (coalesce(a.ref, '') = '' OR a.ref = c.Ref) AND (coalesce(a.alt, '') = '' OR a.alt = c.Alt)
@@ -334,6 +337,25 @@ query("orphan_penetrance", "SELECT variant_type, variant_id, penetrance_mean FRO
 
 # Checks
 
+ASIDE = """judged AS (SELECT p.*, CASE WHEN gene IS NULL THEN 'gene is null' END AS broken FROM parsed p),
+  clashes AS (SELECT ord, CASE WHEN hgvs_p IS NOT NULL AND ord > min(ord) OVER (PARTITION BY gene, hgvs_p) THEN 'repeated gene, hgvs_p' END AS by_change,
+  CASE WHEN chromosome IS NOT NULL AND position IS NOT NULL AND ref IS NOT NULL AND alt IS NOT NULL AND ord > min(ord) OVER (PARTITION BY chromosome, position, ref, alt, assembly) THEN 'repeated chromosome, position, ref, alt, genome_build' END AS by_place FROM judged WHERE broken IS NULL),
+  told AS (SELECT j.ord, concat_ws(';', broken, by_place, by_change) AS violations FROM judged j LEFT JOIN clashes c USING (ord))"""
+
+
+def checked_rows(s, d):
+    return parsed(s, d).withColumn("gene", F.when(F.col("ord") % 10 != 0, F.col("gene"))).withColumnRenamed("assembly", "genome_build").select("ord", "gene", "hgvs_p", "chromosome", "position", "ref", "alt", "genome_build")
+
+
+@query("split_checked", "SELECT ord, violations FROM told", PARSED.replace("SELECT ord, gene_symbol AS gene", "SELECT ord, CASE WHEN ord % 10 <> 0 THEN gene_symbol END AS gene"), ASIDE, tables=("clinvar_like",))
+def _(s, d):
+    accepted, aside = quality.split_checked(checked_rows(s, d), "variants_missense")
+    return accepted.select("ord", F.lit("").alias("violations")).unionByName(aside.select("ord", F.array_join("violations", ";").alias("violations")))
+
+
+query("repeated_keys", """SELECT rule, key, CAST(n_rows AS BIGINT) AS n_rows, first_ord FROM (SELECT 'gene, hgvs_p' AS rule, gene || '|' || hgvs_p AS key, count(*) AS n_rows, min(ord) AS first_ord FROM parsed WHERE gene IS NOT NULL AND hgvs_p IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'chromosome, position, ref, alt, genome_build', chromosome || '|' || position || '|' || ref || '|' || alt || '|' || assembly, count(*), min(ord) FROM parsed WHERE chromosome || position || ref || alt || assembly IS NOT NULL GROUP BY ALL) WHERE n_rows > 1""", PARSED)(lambda s, d: quality.repeated_keys(parsed(s, d).withColumnRenamed("assembly", "genome_build"), "variants_missense").withColumn("key", F.array_join("key", "|")))
+
 query("duplicate_keys", "SELECT gene, hgvs_p, CAST(count(*) AS BIGINT) AS n_rows FROM parsed WHERE gene IS NOT NULL AND hgvs_p IS NOT NULL GROUP BY gene, hgvs_p HAVING count(*) > 1", PARSED)(lambda s, d: quality.duplicate_keys(parsed(s, d), ["gene", "hgvs_p"]))
 query("duplicate_coordinates", "SELECT chromosome, position, ref, alt, CAST(count(*) AS BIGINT) AS n_rows FROM clinvar WHERE chromosome IS NOT NULL AND position IS NOT NULL AND ref IS NOT NULL AND alt IS NOT NULL GROUP BY ALL HAVING count(*) > 1", CLINVAR)(lambda s, d: quality.duplicate_keys(clinvar(s, d).withColumn("genome_build", F.lit("GRCh38")), quality.COORDINATES).drop("genome_build"))
 query("constraint_violations", "SELECT variant_type, variant_id, ord, 'variant_type not allowed' AS violation FROM penetrance_like WHERE variant_type NOT IN ('missense', 'lof')", tables=("penetrance_like",))(lambda s, d: quality.constraint_violations(adapter(s, d, "penetrance_like"), "penetrance_estimates").select("variant_type", "variant_id", "ord", "violation"))
@@ -427,6 +449,62 @@ def _(s, d):
     return read_cadd(s, path)
 
 
+@query("revel_by_coordinates_pruned", """SELECT c.ord, c.chromosome, CAST(c.position AS VARCHAR) AS position, r.revel_score FROM clinvar c LEFT JOIN (SELECT chr, grch38_pos AS pos, ref, alt, TRY_CAST(REVEL AS DOUBLE) AS revel_score FROM revel_like
+  QUALIFY row_number() OVER (PARTITION BY chr, grch38_pos, ref, alt ORDER BY ord) = 1) r ON c.chromosome = r.chr AND CAST(c.position AS VARCHAR) = r.pos AND c.ref = r.ref AND c.alt = r.alt""", CLINVAR, tables=("revel_like",))
+def _(s, d):
+    from annomerge.sources.layout import read_at_places, write_by_coordinates
+
+    path, asked = fresh_path(s, "revel-places"), clinvar(s, d)
+    write_by_coordinates(adapter(s, d, "revel_like"), path, "chr", "grch38_pos", width=50)
+    return joins.revel_by_coordinates(asked, read_at_places(s, path, asked, "chromosome", "position", width=50)).select("ord", "chromosome", "position", "revel_score")
+
+
+@query("annotate_cadd_pruned", f"SELECT {OUT} FROM asked a LEFT JOIN hit h ON a.id = h.id", CLINVAR, CADD_KEYS, CADD_HIT, tables=("cadd_like",))
+def _(s, d):
+    from annomerge.sources.layout import read_at_places, write_by_coordinates
+
+    path, asked = fresh_path(s, "cadd-places"), cadd_asked(s, d)
+    write_by_coordinates(adapter(s, d, "cadd_like"), path, "Chrom", "Pos", width=20)
+    return joins.annotate_cadd(asked, read_at_places(s, path, asked, "chromosome", "position", width=20), "id")
+
+
+@query("lookup_variants_bucketed", "SELECT k.gene, k.hgvs_p, c.clinvar_id, c.clinvar_stars FROM (SELECT DISTINCT gene, hgvs_p FROM lof_like WHERE hgvs_p IS NOT NULL) k LEFT JOIN clinvar c ON k.gene = c.gene AND k.hgvs_p = c.hgvs_p", CLINVAR, tables=("lof_like",))
+def _(s, d):
+    keys = lof_rows(s, d).where("hgvs_p IS NOT NULL").select("gene", "hgvs_p").distinct()
+    return filters.lookup_variants(keys, bucketed(s, clinvar(s, d), ["gene", "hgvs_p"]), ["gene", "hgvs_p"]).select("gene", "hgvs_p", "clinvar_id", "clinvar_stars")
+
+
+def bucketed(s, rows, keys):
+    from annomerge.sources.layout import write_bucketed
+
+    path = fresh_path(s, "buckets")
+    name = "annomerge_" + path.rpartition("-")[2]
+    write_bucketed(rows, name, path, keys, 8)
+    return s.table(name)
+
+
+@query("merge_bucketed", """SELECT coalesce(c.gene, g.gene) AS gene, coalesce(c.hgvs_p, g.hgvs_p) AS hgvs_p, CASE WHEN g.gene IS NOT NULL THEN g.hgvs_c ELSE c.hgvs_c END AS hgvs_c, clinvar_id, gnomad_af
+  FROM clinvar c FULL JOIN gnomad g ON c.gene = g.gene AND c.hgvs_p = g.hgvs_p""", CLINVAR, GNOMAD)
+def _(s, d):
+    stored = bucketed(s, clinvar(s, d).select("gene", "hgvs_p", "hgvs_c", "clinvar_id"), ["gene", "hgvs_p"])
+    return merge.merge(stored, gnomad(s, d).select("gene", "hgvs_p", "hgvs_c", "gnomad_af"), ["gene", "hgvs_p"], copartitioned=True)
+
+
+@query("attach_penetrance_bucketed", "SELECT v.variant_type, v.variant_id, v.ord, p.penetrance_mean FROM (SELECT 'lof' AS variant_type, ord % 70 AS variant_id, ord FROM annotated) v LEFT JOIN pen p USING (variant_type, variant_id)", LOF, ANNOTATED, PEN)
+def _(s, d):
+    variants = annotated(s, d).select(F.lit("lof").alias("variant_type"), (F.col("ord") % 70).alias("variant_id"), "ord")
+    return joins.attach_penetrance(variants, bucketed(s, penetrance(s, d), ["variant_type", "variant_id"])).select("variant_type", "variant_id", "ord", "penetrance_mean")
+
+
+@query("write_routes", "SELECT 'missense' AS variant_type, ord, lof_type FROM lof_typed WHERE hgvs_p <> '' UNION ALL SELECT 'lof', ord, lof_type FROM lof_typed WHERE lof_type IS NOT NULL", LOF)
+def _(s, d):
+    from annomerge.sources.writers import write_routes
+
+    path = fresh_path(s, "routes")
+    write_routes(lof_typed(s, d), path)
+    return s.read.parquet(path).select("variant_type", "ord", "lof_type")
+
+
 @query("annotate_cadd_from_files", f"SELECT a.ord, h.RawScore AS cadd_raw, h.PHRED AS cadd_phred FROM clinvar a LEFT JOIN cadd_hit h ON a.ord = h.id", FEATURES)
 def _(s, d):
     from annomerge.sources.readers import read_cadd
@@ -456,6 +534,23 @@ def _(s, d):
     return read_features(s, path).where("gene = 'Brand#5'").select(*SMALL.split(", "))
 
 
+@query("read_features_typed", """SELECT 'variants_missense' AS stored, gene, hgvs_p AS key, CAST(clinvar_id AS VARCHAR) AS value FROM clinvar UNION ALL SELECT 'variants_lof', gene, hgvs_c, lof_type FROM lof_once
+  UNION ALL SELECT 'genes', symbol, symbol, CAST(symbol IS NOT NULL AS VARCHAR) FROM genes_like UNION ALL SELECT 'penetrance_estimates', gene, variant_type, CAST(variant_id AS VARCHAR) FROM pen""", CLINVAR, LOF, ANNOTATED, "lof_once AS (SELECT gene, hgvs_c, lof_type FROM annotated QUALIFY row_number() OVER (PARTITION BY gene, hgvs_c ORDER BY ord) = 1)", PEN, tables=("genes_like",))
+def _(s, d):
+    from annomerge.sources.readers import read_features
+    from annomerge.sources.stored import conform
+
+    first = dedupe.dedupe_first(annotated(s, d).select("gene", "hgvs_c", "lof_type", "ord"), ["gene", "hgvs_c"], "ord")
+    tables = {"variants_missense": (clinvar(s, d), "hgvs_p", "clinvar_id"), "variants_lof": (first, "hgvs_c", "lof_type"), "genes": (adapter(s, d, "genes_like"), "symbol", None), "penetrance_estimates": (penetrance(s, d), "variant_type", "variant_id")}
+    out = []
+    for name, (rows, key, value) in tables.items():
+        path = fresh_path(s, name)
+        conform(rows.drop("ord"), name).write.parquet(path)
+        read = read_features(s, path, name)
+        out.append(read.select(F.lit(name).alias("stored"), F.col("symbol" if name == "genes" else "gene").alias("gene"), F.col(key).alias("key"), (F.col(value) if value else F.col("pli").isNotNull()).cast("string").alias("value")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query("gene_dims", """SELECT g.symbol AS gene, 'P' || g.symbol AS uniprot_id, t1 || ';' || t2 AS transcripts FROM genes_like g LEFT JOIN wanted w ON g.symbol = w.gene""", TRANSCRIPTS, tables=("genes_like",))
 def _(s, d):
     from annomerge.sources.readers import gene_dims

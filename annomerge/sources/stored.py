@@ -38,7 +38,7 @@ def read_stored(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 def of_genes(stored: DataFrame, genes: DataFrame) -> DataFrame:
     """Rows of the genes; folders of others are not read."""
-    return stored.join(F.broadcast(genes.where("gene > ''").select("gene")), "gene", "left_semi")
+    return stored.join(genes.where("gene > ''").select("gene"), "gene", "left_semi")
 
 
 def merge_stamped(target: DataFrame, source: DataFrame, keys: list[str], loaded_at: datetime, keep: list[str] = (), insert_only: list[str] = ()) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annomerge.operators.lof import routed
+
 #: The most rows in one file of a gene, so that a huge gene is many files.
 ROWS_PER_FILE = 2_000_000
 
@@ -38,3 +40,8 @@ def write_features(rows: DataFrame, path: str) -> None:
 def write_tsv(rows: DataFrame, path: str) -> None:
     flat = rows.select(*[F.array_join(c, ",").alias(c) if t.startswith("array") else F.col(c).cast("int").alias(c) if t == "boolean" else F.col(c) for c, t in rows.dtypes])
     flat.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
+
+
+def write_routes(rows: DataFrame, path: str) -> None:
+    """One job, and one scan of the rows, for both outputs: a folder per ``variant_type`` of ``lof.routed``."""
+    routed(rows).write.mode("overwrite").partitionBy("variant_type").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)

@@ -1,13 +1,15 @@
 """Edge cases of the operators and files, with literal expectations."""
 
+import collections
 import gzip
 
 from pyspark.sql import functions as F
 
 from annomerge.functions import nested
-from annomerge.operators import dedupe, joins, merge, quality, stats
+from annomerge.operators import dedupe, filters, joins, lof, merge, quality, stats
+from annomerge.operators.ordinals import dense_order
 from annomerge.plans import jobs
-from annomerge.sources import readers, writers
+from annomerge.sources import layout, readers, writers
 from tests import plans
 
 
@@ -39,7 +41,6 @@ def test_merges(spark):
 
 
 def test_merging_all_at_once_equals_one_after_the_other(spark):
-    import collections
     import random
 
     rng = random.Random(6)
@@ -125,11 +126,87 @@ def test_cadd_payload(spark):
     assert [(r.Chrom, r.Pos, r.RawScore, r.PHRED) for r in readers.cadd_from_payload(df, "p").collect()] == [("1", 5, 0.0, 7.5)]
 
 
-def test_revel_for_genes_by_map_and_by_join(spark):
-    scores = spark.createDataFrame([(1, 0.1, "T1;T2;T1"), (2, 0.2, "T3"), (3, 0.3, None), (4, 0.4, "T9;T2")], "ord int, revel_score double, Ensembl_transcriptid string")
-    wanted = spark.createDataFrame([("A", ["T2", "T1"]), ("B", ["T2", "T9"]), ("C", None)], "gene string, transcript_ids array<string>")
-    got = [sorted((r.gene, r.ord, tuple(r.matched_transcripts)) for r in joins.revel_for_genes(scores, wanted, most=most).collect()) for most in (1000, 1)]
-    assert got[0] == got[1] == [("A", 1, ("T2", "T1")), ("A", 4, ("T2",)), ("B", 1, ("T2",)), ("B", 4, ("T2", "T9"))]
+def test_revel_for_genes(spark):
+    """Rows of equal, NULL and repeated ord stay apart, by a broadcast and by a shuffle of transcripts alike."""
+    scores = spark.createDataFrame([(1, 0.1, "T1;T2;T1"), (1, 0.1, "T1;T2;T1"), (1, 0.2, "T2"), (2, 0.2, "T3"), (None, 0.3, None), (None, 0.4, "T9;T2"), (None, 0.4, "T9;T2")], "ord int, revel_score double, Ensembl_transcriptid string")
+    wanted = spark.createDataFrame([("A", ["T2", "T1"]), ("B", ["T2", "T9", None]), ("C", None), ("D", [])], "gene string, transcript_ids array<string>")
+    want = [("A", 1, 0.1, ("T2", "T1"))] * 2 + [("A", 1, 0.2, ("T2",))] + [("A", None, 0.4, ("T2",))] * 2 + [("B", 1, 0.1, ("T2",))] * 2 + [("B", 1, 0.2, ("T2",))] + [("B", None, 0.4, ("T2", "T9"))] * 2
+    for hint in ("broadcast", "merge"):
+        got = joins.revel_for_genes(scores, wanted.hint(hint)).collect()
+        assert sorted(((r.gene, r.ord, r.revel_score, tuple(r.matched_transcripts)) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_layout_by_coordinates_reads_asked_windows(spark, tmp_path):
+    scores = spark.range(200_000).select((F.col("id") % 4 + 1).cast("string").alias("chr"), F.lit("0").alias("hg19_pos"), F.col("id").cast("string").alias("grch38_pos"), F.lit("A").alias("ref"), F.lit("C").alias("alt"), F.format_number(F.col("id") / 200_000, 3).alias("REVEL"), F.col("id").alias("ord"))
+    scores = scores.unionByName(scores.limit(1).withColumns({"grch38_pos": F.lit("."), "chr": F.lit("X")}))
+    layout.write_by_coordinates(scores, str(tmp_path / "l"), "chr", "grch38_pos", width=1000)
+    spark.range(100).select(F.concat(F.lit("chr"), (F.col("id") % 2 + 1).cast("string")).alias("chromosome"), (F.col("id") * 17 + 60_000).alias("position"), F.lit("A").alias("ref"), F.lit("C").alias("alt"), F.col("id").alias("ord")).write.parquet(str(tmp_path / "v"))
+    asked = spark.read.parquet(str(tmp_path / "v"))
+    near = layout.read_at_places(spark, str(tmp_path / "l"), asked, "chromosome", "position", width=1000)
+    rows_read = len(near.collect())
+    assert plans.scan_metric(near, "numPartitions", "REVEL") == 4 and rows_read == 1000
+    got = joins.revel_by_coordinates(asked, near), joins.revel_by_coordinates(asked, scores)
+    assert rows(got[0], "ord") == rows(got[1], "ord") and got[0].where("revel_score IS NOT NULL").count() > 20
+    whole = spark.read.parquet(str(tmp_path / "l"))
+    assert whole.count() == 200_001 and set(whole.schema.names) == {*scores.columns, *layout.PARTS}
+
+
+def test_buckets_are_not_shuffled(spark, tmp_path):
+    stored = spark.range(500).select(F.lit("G").alias("gene"), F.col("id").cast("string").alias("hgvs_p"), F.lit(1).alias("a"))
+    layout.write_bucketed(stored, "buckets_of_test", str(tmp_path / "b"), ["gene", "hgvs_p"], 8)
+    spark.range(400, 600).select(F.lit("G").alias("gene"), F.col("id").cast("string").alias("hgvs_p"), F.lit(2).alias("a")).write.parquet(str(tmp_path / "s"))
+    kept, source = spark.table("buckets_of_test"), spark.read.parquet(str(tmp_path / "s"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = merge.merge(kept, source, ["gene", "hgvs_p"], copartitioned=True)
+        asked = filters.lookup_variants(source.drop("a"), kept, ["gene", "hgvs_p"])
+        assert plans.text(merged).count("Exchange") == 1 and plans.text(asked).count("Exchange") == 1
+        assert merged.groupBy("a").count().orderBy("a").collect() == [(1, 400), (2, 200)] and asked.count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE buckets_of_test")
+
+
+def test_dense_order(spark):
+    import random
+
+    rng = random.Random(1)
+    data = [(rng.choice(["a", "b", None]), k, rng.randrange(9)) for k in range(3000)] + [("hot", k, 0) for k in range(5000, 9000)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, ord int, v int").repartition(7)
+    assert [r.n for r in dense_order(df, ["ord"], name="n").orderBy("ord").collect()] == list(range(7000))
+    got = collections.defaultdict(list)
+    for r in dense_order(df, ["ord"], ["k"]).orderBy("ord").collect():
+        got[r.k].append(r.ordinal)
+    assert all(v == list(range(len(v))) for v in got.values()) and len(got["hot"]) == 4000
+    assert dense_order(df.limit(0), ["ord"], ["k"]).count() == 0
+    lists = nested.positions_by_substitution(df, ["k"], "ord", ["v"], chunk=64).collect()
+    assert max(len(r.positions) for r in lists) == 64
+    for k in ("hot", None):
+        want = [v for _, _, v in sorted((x for x in data if x[0] == k), key=lambda x: x[1])]
+        assert [p.v for r in sorted((r for r in lists if r.k == k), key=lambda r: r.chunk) for p in r.positions] == want
+
+
+def test_rows_set_aside_on_write(spark):
+    data = [(1, "G", "p.1", "1", 5, "A", "C", "38"), (2, "G", "p.1", "1", 6, "A", "C", "38"), (3, "G", "p.2", "1", 5, "A", "C", "38"), (4, None, "p.9", "1", 9, "A", "C", "38"), (5, "G", "p.9", "1", 9, "A", "C", "38"), (6, "G", None, None, 9, "A", "C", "38"), (7, "G", None, None, 9, "A", "C", "38"), (8, "G", "p.1", "1", 5, "A", "C", "38")]
+    df = spark.createDataFrame(data, "ord int, gene string, hgvs_p string, chromosome string, position long, ref string, alt string, genome_build string")
+    accepted, aside = quality.split_checked(df, "variants_missense")
+    place = "repeated chromosome, position, ref, alt, genome_build"
+    assert [r.ord for r in accepted.orderBy("ord").collect()] == [1, 5, 6, 7]
+    assert [(r.ord, r.violations) for r in aside.orderBy("ord").collect()] == [(2, ["repeated gene, hgvs_p"]), (3, [place]), (4, ["gene is null"]), (8, [place, "repeated gene, hgvs_p"])]
+    assert accepted.count() + aside.count() == df.count()
+    accepted, aside = quality.split_checked(spark.createDataFrame([(1, "x", 1, "G"), (2, "lof", 1, "G"), (3, "lof", 1, None), (4, "lof", 1, "G")], "n int, variant_type string, variant_id int, gene string"), "penetrance_estimates", "n")
+    assert [(r.n, r.violations) for r in aside.orderBy("n").collect()] == [(1, ["variant_type not allowed"]), (3, ["gene is null"]), (4, ["repeated variant_type, variant_id"])] and accepted.count() == 1
+    assert plans.text(quality.repeated_keys(df, "variants_missense")).count("Exchange") == 1
+    assert [x.count() for x in quality.split_checked(df.limit(0), "variants_missense")] == [0, 0]
+
+
+def test_routes_are_one_scan(spark, tmp_path):
+    spark.createDataFrame([("p.1", None, 1), ("p.2", "nonsense", 2), (None, "frameshift", 3), ("", None, 4)], "hgvs_p string, lof_type string, ord int").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    assert plans.text(lof.routed(df)).count("FileScan") == 1
+    writers.write_routes(df, str(tmp_path / "out"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("variant_type", "ord"), "variant_type", "ord") == [("lof", 2), ("lof", 3), ("missense", 1), ("missense", 2)]
 
 
 def test_top_rows_count_the_rest(spark):

@@ -75,3 +75,9 @@ def test_numbers_and_ids(spark):
     assert one(spark, x.variant_id(F.col("c"), F.col("p"), F.col("r"), F.col("a")), c="chr1", p=5, r=None, a="C") is None
     assert [one(spark, x.shown(F.col("n"), 2, exponent=True), n=n) for n in (0.0, 1.234e-5, 12345.0, 1.5)] == ["N/A", "1.23e-05", "1.23e+04", "1.50e+00"]
     assert [one(spark, x.shown(F.col("n"), 3), n=n) for n in (0.2345, 1234.5, -0.0625, 0.9996)] == ["0.234", "1234.500", "-0.062", "1.000"]
+
+
+def test_shown_numbers_round_as_printf(spark):
+    numbers = [s * k / 10_000 for k in range(1, 20_001) for s in (1, -1)] + [k / 1000 + 0.0005 for k in range(50)]
+    got = spark.createDataFrame([(n,) for n in numbers], "n double").select("n", x.shown(F.col("n"), 3).alias("three"), x.shown(F.col("n"), 2).alias("two")).collect()
+    assert [(r.n, r.three, r.two) for r in got if (r.three, r.two) != (f"{r.n:.3f}", f"{r.n:.2f}")] == []

@@ -80,3 +80,11 @@ def test_coverage_is_counted_for_loaded_genes_alone(spark, tmp_path):
     report = [tuple(r) for r in stored.coverage_report(spark, state).collect()]
     assert report == [("B", 3, 2, 0, 0, 0), ("A", 1, 0, 0, 1, 0)]
     assert report == [tuple(r) for r in stats.coverage_by_gene(stored.read_stored(spark, path, "variants_missense")).collect()]
+
+
+def test_refused_rows_are_set_aside(spark, tmp_path):
+    path, aside = str(tmp_path / "t"), str(tmp_path / "aside")
+    df = spark.createDataFrame([(1, "A", "p.1", 7), (2, "A", "p.1", 8), (3, None, "p.1", 9), (4, "B", None, 1)], "ord int, gene string, hgvs_p string, clinvar_id long")
+    jobs.load_checked(spark, path, "variants_missense", df, aside, FIRST)
+    assert [(r[0], r[1], r[4]) for r in told(spark, path)] == [("A", "p.1", 7), ("B", None, 1)]
+    assert sorted((r.ord, r.violations) for r in spark.read.parquet(aside).collect()) == [(2, ["repeated gene, hgvs_p"]), (3, ["gene is null"])]
