@@ -86,7 +86,10 @@ def weak_spans(text: str, strong: list[tuple[int, int, str]], reach: int) -> lis
     held = {"identifier": [s[:2] for s in strong if s[2] == "access"], "secret": [s[:2] for s in strong if s[2] != "access"], "endpoint": []}
     if not found["secret"] and not held["secret"]:
         return []  # neither an identifier nor an endpoint is told without one
-    found["identifier"] += [m.span(1) for m in NAMED_ID.finditer(text)] + [m.span() for m in (ADDRESS.finditer(text) if "@" in text else ())]
+    found["identifier"] += [m.span(1) for m in NAMED_ID.finditer(text)]
+    if "@" in text:  # what stands in a URL is told by its own parts
+        inside = Intervals(found["secret"] + found["endpoint"])
+        found["identifier"] += [m.span() for m in ADDRESS.finditer(text) if not inside.meet(*m.span())]
     found["endpoint"] += [m.span(1) for m in HOST.finditer(text)]
     known = Intervals([s[:2] for s in strong])
     for role, spans in found.items():

@@ -12,6 +12,8 @@ result, which give way to it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +28,14 @@ MARK = "\x01"
 
 
 def groups() -> list[tuple[str, list[tuple[int, str, str]]]]:
-    """(keyword, its rules as (priority, label, pattern)), rules in order."""
-    out: dict[str, list] = {}
-    for priority, label, keyword, pattern in rules():
-        out.setdefault(keyword, []).append((priority, label, pattern))
-    return list(out.items())
+    """(keyword, its rules as (priority, label, pattern)), rules in order. A label that another of its keyword refines, as gpl-3 does
+    gpl, is searched for by itself, so that a general phrase does not eat the beginning of a specific one."""
+    out: dict[tuple[str, bool], list] = {}
+    known = rules()
+    for priority, label, keyword, pattern in known:
+        general = any(k == keyword and other.startswith(f"{label}-") for _, other, k, _ in known)
+        out.setdefault((keyword, general), []).append((priority, label, pattern))
+    return [(keyword, own) for (keyword, _), own in out.items()]
 
 
 def gate() -> str:
@@ -70,7 +75,8 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
     rows = rows.withColumn("lic_line", F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
     base = F.flatten(F.array(*[labelled_places(words, p, label) for p, label in BASE]))
     rows = rows.withColumn("lic_base", F.when(words.isNotNull(), base)).withColumn("lic_hits", F.when(words.isNotNull(), all_places()))
-    rows = rows.withColumn("lic_found", suppressed("lic_hits"))
+    outer, found = suppressed("lic_hits")
+    rows = rows.withColumn("lic_outer", outer).withColumn("lic_found", found)
     framed = F.filter("lic_found", lambda h: h["last"] - h["first"] >= 3)
     score = (F.size(framed) + F.size("lic_base")) / (F.size("lic_found") + F.size("lic_base"))
     scored = F.when(words.isNotNull() & (F.size("lic_found") + F.size("lic_base") > 0), score).otherwise(F.lit(0.0))
@@ -105,16 +111,23 @@ def all_places() -> Column:
     return F.expr(f"flatten(transform({pieces}, x -> zip_with({starts}, x.hits, (at, hit) -> {one})))")
 
 
-def suppressed(hits: str) -> Column:
-    """Hits that no other holds: by first word, longest first, then by priority, one that ends no later than any before it
-    lies inside an earlier one."""
+def suppressed(hits: str) -> tuple[Column, Column]:
+    """Hits that no other holds, and that no neighbour refines which they share words with. By first word, longest first, then
+    by priority, one that ends no later than any before it lies inside an earlier one; those left begin and end in one order."""
     none = F.array().cast("array<struct<priority:int,label:string,first:bigint,last:bigint>>")
 
     def step(seen: Column, h: Column) -> Column:
         own = F.struct(h["rule"]["priority"].alias("priority"), h["rule"]["label"].alias("label"), h["first"].alias("first"), (-h["end"]).alias("last"))
         return F.when(-h["end"] <= seen["top"], seen).otherwise(F.struct((-h["end"]).alias("top"), F.concat(seen["kept"], F.array(own)).alias("kept")))
 
-    return F.aggregate(F.array_sort(hits), F.struct(F.lit(-1).cast("long").alias("top"), none.alias("kept")), step)["kept"]
+    def refined(h: Column, other: Column) -> Column:
+        shares = (other["first"] <= h["last"]) & (other["last"] >= h["first"])
+        return F.coalesce(shares & F.startswith(other["label"], F.concat(h["label"], F.lit("-"))), F.lit(False))
+
+    def stays(h: Column, i: Column) -> Column:
+        return ~reduce(lambda a, b: a | b, [refined(h, F.get("lic_outer", i + k)) for k in (-2, -1, 1, 2)])
+
+    return F.aggregate(F.array_sort(hits), F.struct(F.lit(-1).cast("long").alias("top"), none.alias("kept")), step)["kept"], F.filter("lic_outer", stays)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -623,6 +623,25 @@ def test_licenses(spark):
     assert got[8].labels == "" and got[9].labels == "mit"
 
 
+def test_specific_licenses_before_general_ones(spark):
+    told = {
+        "redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "gpl-3",
+        "Licensed under the Apache License v2.0": "apache-2", "Licensed under the Apache License 2.0": "apache-2", "Licensed under the GNU General Public License v3": "gpl-3", "Released under the terms of the GNU GPL v2": "gpl-2",
+        "Licensed under the Apache License": "apache", "GPL, and the MIT License": "gpl,mit", "Released under the GNU GPL. Later: GNU GPL v3": "gpl,gpl-3",
+    }
+    docs = spark.createDataFrame(list(told.items()), "text string, doc_id string")
+    assert [(r.doc_id, r.labels) for r in licenses.digest(licenses.detect(docs)).collect()] == [(v, v) for v in told.values()]
+    rng, rules = random.Random(3), licenses.rules()
+    general = {(k, label) for _, label, k, _ in rules if any(o.startswith(f"{label}-") and k2 == k for _, o, k2, _ in rules)}
+    frames = ("licensed under the ", "released under the terms of the ", "distributed under the ", "redistribute it and or modify it under the terms of the ", "")
+    rows = [(label, frame + an_example(pattern, rng)) for _, label, k, pattern in rules for frame in frames if any(k == k2 and label.startswith(f"{g}-") for k2, g in general)]
+    got = licenses.digest(licenses.detect(spark.createDataFrame(rows, "doc_id string, text string"))).collect()
+    plain = {r.text: r.labels for r in licenses.digest(licenses.detect(spark.createDataFrame([(t, t) for _, t in rows], "text string, doc_id string")), "doc_id").withColumnRenamed("doc_id", "text").collect()}
+    assert len(rows) > 200 and all(plain[t] == r.labels for (_, t), r in zip(rows, got))
+    wrong = [(r.doc_id, r.labels, t) for (_, t), r in zip(rows, got) if {g for _, g in general if r.doc_id.startswith(f"{g}-")} & (set(r.labels.split(",")) - set(r.base_labels.split(",")))]
+    assert wrong == []  # labels of base phrases stay
+
+
 def test_warc_ranges_own_each_record_once(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     pages = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 1000)).repartition(3)
