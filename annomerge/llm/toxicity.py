@@ -1,9 +1,10 @@
 """Toxicity scores: embeddings of words' character n-grams, averaged over the text, into a linear softmax.
 
-Embeddings and softmax are trained together in numpy, so a misspelling never seen shares most of its n-grams with
-the words that were. An n-gram weighs by the square root of its share, so that a few words count in a long text. Since
-the sum and the softmax's logits are linear, a trained model is one number per n-gram; most get none, by a decay that
-inner validation chooses.
+Embeddings and softmax are trained together in numpy, so a misspelling never seen shares most of its n-grams with the words
+that were. Every n-gram has a random embedding of its own, which training moves; how far is held back by a decay that inner
+validation chooses, so that n-grams which only single texts explain keep theirs. In the average an n-gram counts by the logarithm
+of its occurrences, and the average is taken in units of its standard error, so that a few words count in a long text. Since
+average and logits are linear, a trained model is one number per n-gram.
 
 Defined cases: a null or empty text, or one without letters, scores the share of toxic rows in training; rows
 without a label are scored and not learned from; without any labelled rows every score is 0; a null id in labels is not
@@ -12,6 +13,8 @@ learned from; input columns named like the result give way to it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from annomerge.llm.common import bounded_sample, fold, letter_codes, letter_tabl
 
 BITS = 19
 LENGTHS = (3, 4, 5, 6)
+#: The spread of the random embeddings that training begins with.
+SCALE = 0.3
 
 
 def grams(codes):
@@ -40,106 +45,150 @@ def grams(codes):
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def averaging(counts):
+    """What each n-gram weighs in its text's average, times the root of the sum: an average in units of its standard error."""
+    import numpy as np
+
+    weight = np.log1p(counts)
+    return weight / np.sqrt(weight.sum())
+
+
 class Model:
-    """ids, weights: the n-grams with an embedding and the difference of the two logits that each adds; bias: what is added once."""
+    """weights: the difference of the two logits that each n-gram adds; bias: what is added once. embed, axis: the embeddings that
+    training moved, in units of the n-grams' spread, and the softmax's difference, before and after, to look at; they are not needed
+    to score and do not leave the driver."""
 
-    def __init__(self, ids, weights, bias: float, prior: float):
-        self.ids, self.weights, self.bias, self.prior = ids, weights, bias, prior
+    def __init__(self, weights, bias: float, prior: float, embed=None, axis=None):
+        self.weights, self.bias, self.prior, self.embed, self.axis = weights, bias, prior, embed, axis
+
+    def __getstate__(self):
+        return {"weights": self.weights, "bias": self.bias, "prior": self.prior, "embed": None, "axis": None}
 
     def scorer(self):
-        """The score of letter codes; the table of weights is made once a task."""
+        """The score of letter codes."""
         import math
 
         import numpy as np
 
-        table = np.zeros(1 << BITS, np.float32)
-        table[self.ids] = self.weights
+        table = self.weights
 
         def score(codes) -> float:
             found = grams(codes) if codes is not None else ()
             if not len(found):
                 return self.prior
-            weighed = found[table[found] != 0]
-            ids, counts = np.unique(weighed, return_counts=True)
-            z = float(np.sqrt(counts / len(found)) @ table[ids]) + self.bias
+            ids, counts = np.unique(found, return_counts=True)
+            z = float(averaging(counts) @ table[ids]) + self.bias
             return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
         return score
 
 
 class Bags:
-    """Texts as bags of n-grams, each with the square root of its share, cut to the candidates and divided by their spread."""
+    """Texts as bags of n-grams, as a sparse matrix of centred columns, each divided by its spread over the texts."""
 
-    def __init__(self, bags: list[tuple], candidates: int):
+    def __init__(self, bags: list[tuple]):
         import numpy as np
 
-        n, size = len(bags), 1 << BITS
+        size, n = 1 << BITS, len(bags)
         self.label = np.array([label for *_, label in bags], np.float64)
-        total, squares, both, texts = (np.zeros(size) for _ in range(4))
-        for (ids, value, _), e in zip(bags, self.label - self.label.mean()):
-            total[ids] += value
-            squares[ids] += value * value
-            both[ids] += value * e
-            texts[ids] += 1
-        spread = np.sqrt(np.maximum(squares / n - (total / n) ** 2, 1e-14))
-        tie = np.where(texts > 1, np.abs(both) / n / spread, 0.0)
-        self.ids = np.argsort(-tie, kind="stable")[:candidates]
-        self.spread, self.most = spread[self.ids], float(tie.max())
-        rank = np.full(size, -1, np.int64)
-        rank[self.ids] = np.arange(len(self.ids))
-        cut = [(rank[ids][keep], value[keep]) for ids, value, _ in bags for keep in [rank[ids] >= 0]]
-        self.column = np.concatenate([c for c, _ in cut])
-        self.owner = np.repeat(np.arange(n), [len(c) for c, _ in cut])
-        self.value = np.concatenate([v for _, v in cut]) / self.spread[self.column]
+        self.column = np.concatenate([ids for ids, *_ in bags])
+        self.owner = np.repeat(np.arange(n, dtype=np.int32), [len(ids) for ids, *_ in bags])
+        value = np.concatenate([value for _, value, _ in bags])
+        self.texts = np.bincount(self.column, minlength=size)
+        mean = np.bincount(self.column, weights=value, minlength=size) / n
+        self.spread = np.sqrt(np.maximum(np.bincount(self.column, weights=value * value, minlength=size) / n - mean**2, 1e-14))
+        self.mean, self.value = mean / self.spread, (value / self.spread[self.column]).astype(np.float32)
+
+    def cut(self, columns):
+        """The same with the given columns alone, numbered anew."""
+        import numpy as np
 
-    def times(self, weights):
+        out, rank = object.__new__(Bags), np.full(len(self.texts), -1, np.int64)
+        rank[columns] = np.arange(len(columns))
+        kept = rank[self.column] >= 0
+        out.label, out.column, out.owner, out.value = self.label, rank[self.column[kept]], self.owner[kept], self.value[kept]
+        out.texts, out.mean, out.spread = self.texts[columns], self.mean[columns], self.spread[columns]
+        return out
+
+    def summed(self, at, of, weights, size: int):
+        """Sums of value * weights[of] by ``at``, in parts, so that no long array of products is held."""
         import numpy as np
 
-        return np.bincount(self.owner, weights=self.value * weights[self.column], minlength=len(self.label))
+        out = np.zeros(size)
+        for k in range(0, len(self.value), 1 << 21):
+            part = slice(k, k + (1 << 21))
+            out += np.bincount(at[part], weights=self.value[part] * weights[of[part]], minlength=size)
+        return out
+
+    def times(self, weights):
+        return self.summed(self.owner, self.column, weights, len(self.label)) - self.mean @ weights
 
     def gradient(self, slope):
-        import numpy as np
+        return self.summed(self.column, self.owner, slope, len(self.texts)) - self.mean * slope.sum()
+
 
-        return np.bincount(self.column, weights=self.value * slope[self.owner], minlength=len(self.ids))
+def slopes(logits, bags: Bags, used):
+    """The loss's slope in each text's logit, for the texts in use."""
+    import numpy as np
+
+    return np.where(used, 1 / (1 + np.exp(-np.clip(logits, -40, 40))) - bags.label, 0.0) / used.sum()
 
 
-def fit_path(bags: Bags, used, shares: tuple, dim: int, steps: int, seed: int):
-    """Embeddings and softmax trained together on the rows ``used``, one (logit weights, bias) for each share of the least
-    decay that leaves every embedding zero. A step shrinks each n-gram's embedding by the decay, to zero if it is shorter,
-    so that n-grams which only single texts explain get none. The softmax keeps its length, which only embeddings change."""
+def descend(bags: Bags, used, moved, own, axis, bias: float, decay: float, steps: int, rng):
+    """Steps of proximal descent with momentum on what embeddings have ``moved`` from their own vectors, with the softmax at the
+    same time. A step shrinks each move by the decay, to none if it is shorter. The softmax keeps its length, which embeddings
+    make up for, and turns."""
     import numpy as np
 
-    rng, n = np.random.default_rng(seed), used.sum()
-    soft = rng.normal(0, 1, (dim, 2))
-    soft /= np.linalg.norm(soft[:, 1] - soft[:, 0])
-    u = rng.normal(0, 1, len(bags.ids))
-    for _ in range(8):  # the steepest curvature, by power iteration
-        v = bags.gradient(np.where(used, bags.times(u), 0.0)) * 0.25 / n
+    u = rng.normal(0, 1, len(moved))
+    for _ in range(6):  # the steepest curvature, by power iteration
+        v = bags.gradient(np.where(used, bags.times(u), 0.0)) * 0.25 / used.sum()
         curve, u = np.linalg.norm(v) / np.linalg.norm(u), v / max(np.linalg.norm(v), 1e-12)
-    rate = 1 / max(curve, 1e-9)
-    embed = np.zeros((len(bags.ids), dim))
-    base = bags.label[used].mean()
-    bias, out = float(np.log(base / (1 - base))), []
+    rate, ahead, speed = 1 / max(curve, 1e-9), moved, 1.0
+    for _ in range(steps):
+        slope = slopes(bags.times((own + ahead) @ axis) + bias, bags, used)
+        up = bags.gradient(slope)
+        after = ahead - rate * up[:, None] * axis
+        size = np.linalg.norm(after, axis=1, keepdims=True)
+        new = after * np.maximum(0, 1 - rate * decay / np.maximum(size, 1e-12))
+        axis = axis - (own + ahead).T @ up
+        axis /= np.linalg.norm(axis)
+        bias -= 4 * slope.sum()
+        faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
+        ahead, moved, speed = new + (speed - 1) / faster * (new - moved), new, faster
+    return moved, axis, bias
+
+
+def fit_path(bags: Bags, used, shares: tuple, dim: int, steps: int, seed: int) -> Iterator[tuple]:
+    """(moves, own vectors, softmax before and after, bias) for each share of the least decay at which no embedding moves. At
+    each decay descent goes over the n-grams whose gradient the last solution leaves large enough to move them; after it all
+    are looked at again, and those left out that should move are taken in."""
+    import numpy as np
+
+    rng, size = np.random.default_rng(seed), len(bags.texts)
+    own = (rng.normal(0, SCALE, (size, dim)) * bags.spread[:, None]).astype(np.float32)
+    axis = rng.normal(0, 1, dim)
+    axis /= np.linalg.norm(axis)
+    first, base = axis, bags.label[used].mean()
+    moved, bias = np.zeros((size, dim), np.float32), float(np.log(base / (1 - base)))
+    up = bags.gradient(slopes(np.full(len(bags.label), bias), bags, used))
+    most = last = float(np.abs(up[bags.texts > 1]).max(initial=1e-12))
     for share in shares:
-        decay, ahead, speed = share * bags.most, embed, 1.0
-        for _ in range(steps):
-            axis = soft[:, 1] - soft[:, 0]
-            slope = np.where(used, 1 / (1 + np.exp(-np.clip(bags.times(ahead @ axis) + bias, -40, 40))) - bags.label, 0.0) / n
-            up = bags.gradient(slope)
-            moved = ahead - rate * up[:, None] * axis
-            size = np.linalg.norm(moved, axis=1, keepdims=True)
-            new = moved * np.maximum(0, 1 - rate * decay / np.maximum(size, 1e-12))
-            pull = ahead.T @ up  # of the logits' difference on the axis
-            soft = soft + rate * 0.01 * np.stack([pull, -pull], axis=1)
-            soft /= np.linalg.norm(soft[:, 1] - soft[:, 0])
-            bias -= 2 * slope.sum()
-            faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
-            ahead, embed, speed = new + (speed - 1) / faster * (new - embed), new, faster
-        out.append((embed @ (soft[:, 1] - soft[:, 0]), bias))
-    return out
-
-
-def train(texts: list[str], toxic: list[int], prior: float, dim: int = 8, candidates: int = 6000, steps: int = 40, shares: tuple = (0.5, 0.3, 0.2, 0.1, 0.05, 0.03, 0.02, 0.01), seed: int = 5) -> Model | None:
+        decay = share * most
+        active = ((np.abs(up) >= 2 * decay - last) | moved.any(axis=1)) & (bags.texts > 0)
+        for _ in range(3):
+            columns = np.flatnonzero(active)
+            moved[columns], axis, bias = descend(bags.cut(columns), used, moved[columns], own[columns], axis, bias, decay, steps, rng)
+            up = bags.gradient(slopes(bags.times((own + moved) @ axis) + bias, bags, used))
+            late = (np.abs(up) > 1.02 * decay) & ~active & (bags.texts > 0)
+            if not late.any():
+                break
+            active |= late
+        last = decay
+        yield moved, own, first, axis, bias
+
+
+def train(texts: list[str], toxic: list[int], prior: float, dim: int = 8, steps: int = 20, shares: tuple = tuple(0.7**k for k in range(1, 13)), seed: int = 5) -> Model | None:
     """The decay is the one with the least loss on a fifth of the texts that the first fit leaves out; the last fit has all. The
     bias is then moved from the sample's share of toxic texts to ``prior``."""
     import numpy as np
@@ -150,23 +199,28 @@ def train(texts: list[str], toxic: list[int], prior: float, dim: int = 8, candid
         found = grams(codes) if codes is not None else ()
         if len(found):
             ids, counts = np.unique(found.astype(np.int32), return_counts=True)
-            bags.append((ids, np.sqrt(counts / counts.sum()).astype(np.float32), int(label)))
+            bags.append((ids, averaging(counts).astype(np.float32), int(label)))
     if len({label for *_, label in bags}) < 2:
-        return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -40.0, prior) if bags else None
-    bags = Bags(bags, candidates)
+        return Model(np.zeros(1 << BITS, np.float32), -40.0, prior) if bags else None
+    bags = Bags(bags)
     n, y, left_out = len(bags.label), bags.label, np.zeros(len(bags.label), bool)
     for label in (0, 1):
         rows = rng.permutation(np.flatnonzero(y == label))
         left_out[rows[: len(rows) // 5]] = True
     best = len(shares) // 2
     if 0 < y[left_out].sum() < left_out.sum():
-        losses = [np.logaddexp(0, np.where(y == 1, -1, 1) * (bags.times(w) + b))[left_out].mean() for w, b in fit_path(bags, ~left_out, shares, dim, steps, seed)]
-        best = int(np.argmin(losses))
-    weights, bias = fit_path(bags, np.ones(n, bool), shares[: best + 1], dim, steps, seed)[-1]
+        losses: list[float] = []
+        for moved, own, _, axis, bias in fit_path(bags, ~left_out, shares, dim, steps, seed):
+            losses.append(np.logaddexp(0, np.where(y == 1, -1, 1) * (bags.times((own + moved) @ axis) + bias))[left_out].mean())
+            best = int(np.argmin(losses))
+            if len(losses) > best + 3:
+                break
+    for moved, own, first, axis, bias in fit_path(bags, np.ones(n, bool), shares[: best + 1], dim, steps, seed):
+        pass
     odds = lambda p: np.log(p / (1 - p))
     shift = odds(min(max(prior, 1e-4), 1 - 1e-4)) - odds(y.mean())
-    kept = weights != 0
-    return Model(bags.ids[kept], (weights / bags.spread)[kept].astype(np.float32), bias + float(shift), prior)
+    weights = np.where(bags.texts > 0, (own + moved) @ axis, 0.0)  # what training never met says nothing
+    return Model((weights / bags.spread).astype(np.float32), float(bias - bags.mean @ weights + shift), prior, own + moved, (first, axis))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = 2500, longest: int = 32 << 10) -> Model | None:

@@ -693,6 +693,35 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert recall >= 0.9 and precision >= 0.9
 
 
+def test_embeddings_and_softmax_are_trained_together(prose):
+    """Embeddings of several dimensions, a softmax that turns, every n-gram taken in, and misspellings never seen told."""
+    import pickle
+
+    from annomerge.llm import toxicity
+    from annomerge.llm.common import letter_codes, letter_table
+
+    rng, texts, toxic = random.Random(5), [], []
+    for k in range(240):
+        words = [w.rstrip("0123456789") for w in prose(rng.randrange(40, 120), 7000 + k).split()]
+        if k % 4 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["blathering", "nincompoop", "scoundrel"]))
+        texts.append(" ".join(words))
+        toxic.append(int(k % 4 == 0))
+    model = toxicity.train(texts, toxic, 0.25)
+    first, last = model.axis
+    used = model.embed[model.weights != 0]
+    sizes = np.linalg.svd(used, compute_uv=False)
+    assert abs(first @ last) < 0.9999 and sizes[1] > 0.05 * sizes[0]
+    letters, score = letter_table(), pickle.loads(pickle.dumps(model)).scorer()
+    seen = np.unique(np.concatenate([toxicity.grams(letter_codes(t, letters)) for t in texts]))
+    assert np.count_nonzero(model.weights[seen]) == len(seen)
+    clean = [" ".join(w.rstrip("0123456789") for w in prose(80, 9000 + k).split()) for k in range(30)]
+    bad = [f"{t} nincompooop blatherring scoundrell" for t in clean]
+    told = [[score(letter_codes(t, letters)) >= 0.3 for t in some] for some in (clean, bad)]
+    assert sum(told[0]) <= 1 and sum(told[1]) >= 27, (sum(told[0]), sum(told[1]))
+
+
 def test_pipeline_stages(spark, sf_dir, documents):
     """Each stage against brute force on what the one before it kept."""
     import corpus_pipeline
