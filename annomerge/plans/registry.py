@@ -468,6 +468,16 @@ def _(s, d):
     return joins.annotate_cadd(asked, read_at_places(s, path, asked, "chromosome", "position", width=20), "id")
 
 
+@query("gnomad_by_variant_id_pruned", "SELECT e.event_id, CAST(e.user_id % 22 + 1 AS VARCHAR) || '-' || CAST(e.event_id AS VARCHAR) || '-A-' || CASE WHEN value > 50 THEN 'C' ELSE 'G' END AS variant_id, g.gnomad_af FROM events e LEFT JOIN g_flat g ON g.variant_id = CAST(e.user_id % 22 + 1 AS VARCHAR) || '-' || CAST(e.event_id AS VARCHAR) || '-A-' || CASE WHEN value > 50 THEN 'C' ELSE 'G' END WHERE e.user_id % 22 = 4", GNOMAD)
+def _(s, d):
+    from annomerge.sources.layout import read_at_places, write_by_coordinates
+
+    path, part = fresh_path(s, "gnomad-places"), lambda k: F.split_part("variant_id", F.lit("-"), F.lit(k))
+    write_by_coordinates(gnomad_flat(s, d).select("variant_id", "gnomad_af", part(1).alias("chrom"), part(2).alias("pos")), path, "chrom", "pos", width=2000)
+    asked = s.read.parquet(f"{d}/events.parquet").where("user_id % 22 = 4").select("event_id", F.lit("chr5").alias("chromosome"), F.col("event_id").alias("position"), F.lit("A").alias("ref"), F.when(F.col("value") > 50, "C").otherwise("G").alias("alt"))
+    return joins.gnomad_by_variant_id(asked, read_at_places(s, path, asked, "chromosome", "position", width=2000).select("variant_id", "gnomad_af")).select("event_id", "variant_id", "gnomad_af")
+
+
 @query("lookup_variants_bucketed", "SELECT k.gene, k.hgvs_p, c.clinvar_id, c.clinvar_stars FROM (SELECT DISTINCT gene, hgvs_p FROM lof_like WHERE hgvs_p IS NOT NULL) k LEFT JOIN clinvar c ON k.gene = c.gene AND k.hgvs_p = c.hgvs_p", CLINVAR, tables=("lof_like",))
 def _(s, d):
     keys = lof_rows(s, d).where("hgvs_p IS NOT NULL").select("gene", "hgvs_p").distinct()
