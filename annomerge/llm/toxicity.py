@@ -84,39 +84,52 @@ class Model:
 
 
 class Bags:
-    """Texts as bags of n-grams, as a sparse matrix of centred columns, each divided by its spread over the texts."""
+    """Texts as bags of n-grams, as a sparse matrix of centred columns, each divided by its spread over the texts: ids and weights
+    of every text's n-grams, and its label."""
 
-    def __init__(self, bags: list[tuple]):
+    def __init__(self, ids: list, values: list, labels: list[int]):
+        """The lists are emptied, so that nothing is held twice."""
         import numpy as np
 
-        size, n = 1 << BITS, len(bags)
-        self.label = np.array([label for *_, label in bags], np.float64)
-        self.column = np.concatenate([ids for ids, *_ in bags])
-        self.owner = np.repeat(np.arange(n, dtype=np.int32), [len(ids) for ids, *_ in bags])
-        value = np.concatenate([value for _, value, _ in bags])
-        self.texts = np.bincount(self.column, minlength=size)
-        mean = np.bincount(self.column, weights=value, minlength=size) / n
-        self.spread = np.sqrt(np.maximum(np.bincount(self.column, weights=value * value, minlength=size) / n - mean**2, 1e-14))
-        self.mean, self.value = mean / self.spread, (value / self.spread[self.column]).astype(np.float32)
+        size, n = 1 << BITS, len(labels)
+        self.label = np.array(labels, np.float64)
+        self.owner = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in ids])
+        self.column = np.concatenate(ids)
+        ids.clear()
+        self.value = np.concatenate(values)
+        values.clear()
+        self.texts, mean, squares = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+        for part in self.parts():
+            column, value = self.column[part], self.value[part]
+            self.texts += np.bincount(column, minlength=size)
+            mean += np.bincount(column, weights=value, minlength=size) / n
+            squares += np.bincount(column, weights=value * value, minlength=size) / n
+        self.spread = np.sqrt(np.maximum(squares - mean**2, 1e-14))
+        self.mean = mean / self.spread
+        self.value /= self.spread.astype(np.float32)[self.column]
 
     def cut(self, columns):
         """The same with the given columns alone, numbered anew."""
         import numpy as np
 
-        out, rank = object.__new__(Bags), np.full(len(self.texts), -1, np.int64)
+        out, rank = object.__new__(Bags), np.full(len(self.texts), -1, np.int32)
         rank[columns] = np.arange(len(columns))
-        kept = rank[self.column] >= 0
-        out.label, out.column, out.owner, out.value = self.label, rank[self.column[kept]], self.owner[kept], self.value[kept]
+        found = rank[self.column]
+        kept = found >= 0
+        out.label, out.column, out.owner, out.value = self.label, found[kept], self.owner[kept], self.value[kept]
         out.texts, out.mean, out.spread = self.texts[columns], self.mean[columns], self.spread[columns]
         return out
 
+    def parts(self) -> Iterator[slice]:
+        """Of the entries, so that no long array of products is held."""
+        return (slice(k, k + (1 << 21)) for k in range(0, len(self.value), 1 << 21))
+
     def summed(self, at, of, weights, size: int):
-        """Sums of value * weights[of] by ``at``, in parts, so that no long array of products is held."""
+        """Sums of value * weights[of] by ``at``."""
         import numpy as np
 
         out = np.zeros(size)
-        for k in range(0, len(self.value), 1 << 21):
-            part = slice(k, k + (1 << 21))
+        for part in self.parts():
             out += np.bincount(at[part], weights=self.value[part] * weights[of[part]], minlength=size)
         return out
 
@@ -193,16 +206,19 @@ def train(texts: list[str], toxic: list[int], prior: float, dim: int = 8, steps:
     bias is then moved from the sample's share of toxic texts to ``prior``."""
     import numpy as np
 
-    letters, rng, bags = letter_table(), np.random.default_rng(seed), []
+    letters, rng = letter_table(), np.random.default_rng(seed)
+    columns, values, labels = [], [], []
     for text, label in zip(texts, toxic):
         codes = letter_codes(text or "", letters)
         found = grams(codes) if codes is not None else ()
         if len(found):
             ids, counts = np.unique(found.astype(np.int32), return_counts=True)
-            bags.append((ids, averaging(counts).astype(np.float32), int(label)))
-    if len({label for *_, label in bags}) < 2:
-        return Model(np.zeros(1 << BITS, np.float32), -40.0, prior) if bags else None
-    bags = Bags(bags)
+            columns.append(ids)
+            values.append(averaging(counts).astype(np.float32))
+            labels.append(int(label))
+    if len(set(labels)) < 2:
+        return Model(np.zeros(1 << BITS, np.float32), -40.0, prior) if labels else None
+    bags = Bags(columns, values, labels)
     n, y, left_out = len(bags.label), bags.label, np.zeros(len(bags.label), bool)
     for label in (0, 1):
         rows = rng.permutation(np.flatnonzero(y == label))
