@@ -455,8 +455,8 @@ def _(s, d):
     from annomerge.sources.layout import read_at_places, write_by_coordinates
 
     path, asked = fresh_path(s, "revel-places"), clinvar(s, d)
-    write_by_coordinates(adapter(s, d, "revel_like"), path, "chr", "grch38_pos", width=50)
-    return joins.revel_by_coordinates(asked, read_at_places(s, path, asked, "chromosome", "position", width=50)).select("ord", "chromosome", "position", "revel_score")
+    write_by_coordinates(adapter(s, d, "revel_like"), path, "chr", "grch38_pos", width=2000)
+    return joins.revel_by_coordinates(asked, read_at_places(s, path, asked, "chromosome", "position", width=2000)).select("ord", "chromosome", "position", "revel_score")
 
 
 @query("annotate_cadd_pruned", f"SELECT {OUT} FROM asked a LEFT JOIN hit h ON a.id = h.id", CLINVAR, CADD_KEYS, CADD_HIT, tables=("cadd_like",))
@@ -473,9 +473,9 @@ def _(s, d):
     from annomerge.sources.layout import read_at_places, write_by_coordinates
 
     path, part = fresh_path(s, "gnomad-places"), lambda k: F.split_part("variant_id", F.lit("-"), F.lit(k))
-    write_by_coordinates(gnomad_flat(s, d).select("variant_id", "gnomad_af", part(1).alias("chrom"), part(2).alias("pos")), path, "chrom", "pos", width=2000)
+    write_by_coordinates(gnomad_flat(s, d).select("variant_id", "gnomad_af", part(1).alias("chrom"), part(2).alias("pos")), path, "chrom", "pos", width=20_000)
     asked = s.read.parquet(f"{d}/events.parquet").where("user_id % 22 = 4").select("event_id", F.lit("chr5").alias("chromosome"), F.col("event_id").alias("position"), F.lit("A").alias("ref"), F.when(F.col("value") > 50, "C").otherwise("G").alias("alt"))
-    return joins.gnomad_by_variant_id(asked, read_at_places(s, path, asked, "chromosome", "position", width=2000).select("variant_id", "gnomad_af")).select("event_id", "variant_id", "gnomad_af")
+    return joins.gnomad_by_variant_id(asked, read_at_places(s, path, asked, "chromosome", "position", width=20_000).select("variant_id", "gnomad_af")).select("event_id", "variant_id", "gnomad_af")
 
 
 @query("lookup_variants_bucketed", "SELECT k.gene, k.hgvs_p, c.clinvar_id, c.clinvar_stars FROM (SELECT DISTINCT gene, hgvs_p FROM lof_like WHERE hgvs_p IS NOT NULL) k LEFT JOIN clinvar c ON k.gene = c.gene AND k.hgvs_p = c.hgvs_p", CLINVAR, tables=("lof_like",))
