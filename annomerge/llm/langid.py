@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annomerge.llm.common import bounded_sample, fold, letter_codes, letter_table, map_texts, numbered, renamed
+from annomerge.llm.common import bounded_sample, fold, letter_codes, letter_table, map_texts, materialise, numbered, renamed
 
 BUCKETS = 1 << 13
 
@@ -90,10 +90,14 @@ def train(texts: list[str], langs: list[str], steps: int = 150) -> Model | None:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400, most: int = 6000, longest: int = 32 << 10) -> Model | None:
     """Learn from about ``per_lang`` whole texts of each language, none of the held-out fold and none of more than ``longest``
-    bytes; with many languages from about ``most`` over all, yet 20 of each. Every language that has a row is learned."""
+    bytes; with many languages from about ``most`` over all, yet 20 of each. A language that has only longer ones gives its
+    shortest, so every language that has a row is learned."""
     rows = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).cast("string").alias("l_text"), F.col(lang_col).cast("string").alias("l_lang"))
-    rows = rows.where((F.coalesce(fold(F.col("l_id")), F.lit(0)) != 2) & (F.octet_length("l_text") <= longest))
-    some = bounded_sample(rows, "l_lang", "l_id", per_lang, most).collect()
+    rows = rows.where((F.coalesce(fold(F.col("l_id")), F.lit(0)) != 2) & F.col("l_text").isNotNull()).withColumn("l_size", F.octet_length("l_text"))
+    only_long = materialise(rows.groupBy("l_lang").agg(F.min("l_size").alias("l_least")).where(F.col("l_least") > longest), "long-languages")
+    some = bounded_sample(rows.where(F.col("l_size") <= longest), "l_lang", "l_id", per_lang, most).collect()
+    if not only_long.isEmpty():
+        some += rows.where(F.col("l_size") > longest).join(only_long, "l_lang", "left_semi").groupBy("l_lang").agg(F.min_by("l_text", F.struct("l_size", "l_id", "l_text")).alias("l_text")).collect()
     some.sort(key=lambda r: (r["l_lang"], r["l_text"]))
     return train([r["l_text"] for r in some], [r["l_lang"] for r in some])
 

@@ -6,9 +6,13 @@ permutation depends on the key and the kind alone, so equal values get equal pse
 different ones of a kind stay different. E-mail addresses have no fixed alphabet; they get a keyed digest as name.
 
 Kinds: email; card (13 to 19 digits with a valid check digit, plain or in groups); iban (valid check digits); phone; ip
-(version 4); ip6 (all eight groups); ssn; date (years 1800 to 2199); key (AKIA or ASIA and 16 letters and digits);
-password (6 to 32 letters and digits behind password=, passwd= or pwd=); secret (32 to 64 hexadecimal digits). What fails
-validation is left as it stands.
+(version 4, but for versions such as v1.2.3.4); ip6 (eight groups, or fewer around a ``::`` behind a first group of four
+digits); ssn; date (years 1800 to 2199); key (AKIA or ASIA and 16 letters and digits); token (prefixes of TOKEN, which stay);
+password (see PASSWORD; its letters and digits are permuted, other signs stay in their places); secret (32 to 64 hexadecimal
+digits). What fails validation is left as it stands.
+
+The key is a literal of the plan: where plans are kept (user interface, event log), ``spark.sql.redaction.string.regex`` must
+cover it.
 
 Defined cases: a null text stays null with nothing found; an empty text stays empty; repeated rows get equal results;
 an empty table gives no rows; other columns are kept, but for one named ``pii_found``, which gives way to the result.
@@ -27,7 +31,7 @@ FIRST_DAY, DAYS = "1800-01-01", (189, 773)
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NAME = r"[\p{L}\p{N}._%+-]"
 EMAIL = rf"(?<!{NAME}){NAME}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}"
-IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d)"
+IP = rf"(?<![\d.])(?<!(?<![A-Za-z])[vV]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d)"
 DATE = r"(?<!\d)(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])"
 NO_DATE = r"(?![ .-](?:\d{4}-\d\d-\d\d|\d\d[./]\d\d[./]\d{4}))"
@@ -39,19 +43,30 @@ PHONE = (
     r"|(?<![\d(+.-])(?:(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|0\d(?:[ .-]\d\d){4}(?![ .-]\d\d(?!\d))|0\d\d[ .-]\d{4}[ .-]\d{4}))(?!\d)"
 )
 SECRET = r"(?<![0-9A-Za-z])(?=[0-9a-f]*[a-f]|[0-9A-F]*[A-F])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
-IP6 = r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])"
+GROUP = "[0-9a-fA-F]{1,4}"
+IP6 = rf"(?<![0-9A-Za-z:])(?:(?:{GROUP}:){{7}}{GROUP}|(?=[a-fA-F:]*[0-9])[0-9a-fA-F]{{4}}(?::{GROUP}){{0,6}}::(?:{GROUP}(?::{GROUP}){{0,5}})?)(?![0-9A-Za-z:])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}\d\d(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"
 ACCESS_KEY = r"(?<![0-9A-Za-z])A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
-PASSWORD = r"(?i:password|passwd|pwd)[=:][0-9A-Za-z]{6,32}(?![0-9A-Za-z])"
+TOKEN = r"(?<![0-9A-Za-z_-])(?:(?:gh[opsur]_|npm_|[ps]k_(?:live|test)_)[0-9A-Za-z]{16,}|(?:github_pat_|glpat-|xox[abprs]-|AIza|sk-)[0-9A-Za-z_-]{16,})(?![0-9A-Za-z])"
+#: A visible ASCII sign of a password without quotes. A comma, semicolon or ampersand ends it before a blank or another name=.
+SIGN = r"(?:[!#-%(-+\--:=?-~]|[,;&](?=[!-~])(?![A-Za-z_][0-9A-Za-z_]*=))"
+AHEAD = r"(?i:password|passwd|pwd)[\"']?[ \t]*[=:]"
+#: Six signs or more: in quotes any of the line up to 128; without, up to a blank and without closing punctuation, and behind a
+#: blank only if one is a digit or a sign that prose does not use.
+PASSWORD = (
+    rf"{AHEAD}(?:[ \t]*(?:\"[^\"\x00-\x1F]{{6,128}}\"|'[^'\x00-\x1F]{{6,128}}')"
+    rf"|(?:[ \t]+(?={SIGN}*?[0-9#$%&*+=@^~]))?[\"']?{SIGN}{{5,}}[!#-%(*+\-/-9=?-\\^-|~])"
+)
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
-KINDS = (("email", EMAIL), ("ip", IP), ("ip6", IP6), ("date", DATE), ("ssn", SSN), ("iban", IBAN), ("phone", PHONE), ("key", ACCESS_KEY), ("password", PASSWORD), ("secret", SECRET), ("card", CARD))
+KINDS = (("email", EMAIL), ("ip", IP), ("ip6", IP6), ("date", DATE), ("ssn", SSN), ("iban", IBAN), ("phone", PHONE), ("key", ACCESS_KEY), ("token", TOKEN), ("password", PASSWORD), ("secret", SECRET), ("card", CARD))
 ANY = "|".join(f"(?:{pattern})" for _, pattern in KINDS)
 #: Holds in every text that ANY finds something in, and costs less.
-GATE = r"\d\d|@|\d\.\d|[0-9a-fA-F]{32}|A[KS]IA[0-9A-Z]{16}|(?i:password|passwd|pwd)[=:]|[0-9a-fA-F]:[0-9a-fA-F]{1,4}:"
+GATE = rf"\d\d|@|\d\.\d|[0-9a-fA-F]{{32}}|A[KS]IA[0-9A-Z]{{16}}|{AHEAD}|[0-9a-fA-F]:[0-9a-fA-F]{{1,4}}:|[0-9a-fA-F]{{4}}::|gh[opsur]_|npm_|[ps]k_(?:live|test)_|github_pat_|glpat-|xox[abprs]-|AIza|sk-"
 #: Country codes of one and two digits; all others have three.
 CODE_1, CODE_2 = "^[17]", "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 HEX = "0123456789abcdef"
 UPPER = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BOTH = UPPER + UPPER[10:].lower()
 
 
 def keyed(key: str, kind: str, turn: Column, half: Column) -> Column:
@@ -128,11 +143,11 @@ def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
-def refill(text: Column, digits: Column) -> Column:
-    """The text with its digits replaced one after another."""
+def refill(text: Column, signs: Column, kind: str = "0-9") -> Column:
+    """The text with its signs of a kind, which are digits, replaced one after another."""
     def one(i: Column) -> Column:
         c = F.substring(text, i, F.lit(1))
-        return F.when(c.rlike("[0-9]"), F.substring(digits, F.length(digits_of(F.substring(text, F.lit(1), i))), F.lit(1))).otherwise(c)
+        return F.when(c.rlike(f"[{kind}]"), F.substring(signs, F.length(F.regexp_replace(F.substring(text, F.lit(1), i), f"[^{kind}]", "")), F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")
 
@@ -172,10 +187,14 @@ def new_ip(key: str, hit: Column) -> Column:
 
 
 def new_ip6(key: str, hit: Column) -> Column:
-    """All 32 hexadecimal digits, so equal addresses meet however their zeros are written."""
-    full = F.array_join(F.transform(F.split(hit, ":"), lambda g: F.lpad(F.lower(g), 4, "0")), "")
+    """All 32 hexadecimal digits, written in full, so equal addresses meet however their zeros are written."""
+    groups = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+    ahead, behind = groups(F.substring_index(hit, "::", 1)), F.when(F.contains(hit, F.lit("::")), groups(F.substring_index(hit, "::", -1))).otherwise(F.array().cast("array<string>"))
+    missing = F.lit(8) - F.size(ahead) - F.size(behind)
+    every = F.concat(ahead, F.array_repeat(F.lit("0"), missing), behind)
+    full = F.array_join(F.transform(every, lambda g: F.lpad(F.lower(g), 4, "0")), "")
     made = F.transform(F.array(full), lambda x: permute_hex(key, x))[0]
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.substring(made, k * 4 + 1, F.lit(4))), ":")
+    return F.when((missing >= 0) & ((missing > 0) == F.contains(hit, F.lit("::"))), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.substring(made, k * 4 + 1, F.lit(4))), ":"))
 
 
 def mod_97(text: Column) -> Column:
@@ -200,9 +219,29 @@ def new_access_key(key: str, hit: Column) -> Column:
     return F.concat(F.substring(hit, 1, 4), permute_signs(key, "key", F.substring(hit, 5, 16), UPPER))
 
 
+def behind(key: str, kind: str, hit: Column, ahead: str) -> Column:
+    """The letters and digits behind the match of ``ahead`` are permuted, in equal parts of at most 32; other signs stay.
+    Null for fewer than two."""
+    first = F.regexp_extract(hit, ahead, 0)
+    rest = F.substring(hit, F.length(first) + 1, F.length(hit))
+    own = F.regexp_replace(rest, "[^0-9A-Za-z]", "")
+
+    def parts(x: Column) -> Column:
+        n = F.length(x)
+        k = F.greatest(F.lit(1), F.ceil(n / 32).cast("int"))
+        edge = lambda i: F.floor(i * n / k).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), k - 1), lambda i: permute_signs(key, kind, F.substring(x, edge(i) + 1, edge(i + 1) - edge(i)), BOTH)), "")
+
+    made = F.transform(F.array(own), parts)
+    return F.when(F.length(own) > 1, F.transform(made, lambda m: F.concat(first, refill(rest, m, "0-9A-Za-z")))[0])
+
+
+def new_token(key: str, hit: Column) -> Column:
+    return behind(key, "token", hit, "^(?:github_pat_|glpat-|xox[a-z]-|AIza|sk-|[a-z]+_(?:(?:live|test)_)?)")
+
+
 def new_password(key: str, hit: Column) -> Column:
-    ahead = F.regexp_extract(hit, "^[a-zA-Z]+[=:]", 0)
-    return F.concat(ahead, permute_signs(key, "password", F.substring(hit, F.length(ahead) + 1, F.length(hit)), UPPER + UPPER[10:].lower()))
+    return behind(key, "password", hit, "^" + AHEAD + r"[ \t]*[\"']?")
 
 
 def new_ssn(key: str, hit: Column) -> Column:
@@ -230,11 +269,11 @@ def new_email(key: str, hit: Column) -> Column:
     return F.concat(F.lit("u"), F.substring(keyed(key, "email", F.lit(0), low), 1, 16), F.lit("@d"), F.substring(keyed(key, "domain", F.lit(0), F.substring_index(low, "@", -1)), 1, 8), F.lit(".example.com"))
 
 
-MAKERS = {"email": new_email, "ip": new_ip, "ip6": new_ip6, "iban": new_iban, "key": new_access_key, "password": new_password, "date": new_date, "ssn": new_ssn, "phone": new_phone, "secret": lambda key, hit: permute_hex(key, hit), "card": new_card}
+MAKERS = {"email": new_email, "ip": new_ip, "ip6": new_ip6, "iban": new_iban, "key": new_access_key, "token": new_token, "password": new_password, "date": new_date, "ssn": new_ssn, "phone": new_phone, "secret": lambda key, hit: permute_hex(key, hit), "card": new_card}
 
 
 def kind_of(hit: Column) -> Column:
-    out = F.when(F.contains(hit, F.lit("@")), F.lit("email"))
+    out = F.when(F.contains(hit, F.lit("@")) & ~hit.rlike("[=:]"), F.lit("email"))
     for kind, pattern in KINDS[1:]:
         out = out.when(hit.rlike(f"^(?:{pattern})$"), F.lit(kind))
     return out
