@@ -137,19 +137,17 @@ class IsolationForest:
         return np.exp2(-total / len(self.split) / max(self.expected(self.size), 1e-9))
 
 
-def counted(docs: DataFrame, text_col: str, forest: IsolationForest | None = None, keep_text: bool = False) -> DataFrame:
-    """COUNTS as columns ``q_*``, and ``q_score`` if there is a forest."""
+def counted(docs: DataFrame, text_col: str, keep_text: bool = False) -> DataFrame:
+    """COUNTS as columns ``q_*``."""
 
     def make():
         def run(texts: list) -> dict:
             counts = [count_text(x) for x in texts]
-            got = {f"q_{name}": [c[i] for c in counts] for i, name in enumerate(COUNTS)}
-            return got | ({"q_score": forest.score(rule_features(counts)).tolist()} if forest else {})
+            return {f"q_{name}": [c[i] for c in counts] for i, name in enumerate(COUNTS)}
 
         return run
 
-    fields = ", ".join(f"q_{name} long" for name in COUNTS) + ", q_score double" * bool(forest)
-    return map_texts(docs, text_col, make, fields, keep_text)
+    return map_texts(docs, text_col, make, ", ".join(f"q_{name} long" for name in COUNTS), keep_text)
 
 
 def scored(counts: DataFrame, forest: IsolationForest) -> DataFrame:
@@ -208,13 +206,12 @@ def calibrate(counts: DataFrame, labels: DataFrame | None, forest: IsolationFore
 
 def judge(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, max_false_reject: float = 0.002, label_id: str = "doc_id") -> DataFrame:
     """Rows with ``q_*`` counts, ``q_score``, ``q_base_failed`` and ``q_kept``, in place of columns of those names. Counts are
-    written once, for the forest, its threshold and, where no text is asked for, the verdicts."""
+    made and written once, beside the text if that is asked for; the forest and its threshold read the counts alone."""
     rows, own_id, text = numbered(docs, id_col, text_col)
-    counts = materialise(counted(rows.select(own_id, text) if keep_text else rows, text), "counts")
+    counts = materialise(counted(rows, text, keep_text), "counts")
     forest = fit_forest(counts, labels, own_id, label_id) or IsolationForest(rule_features([[0] * len(COUNTS)]), 1)
     threshold = calibrate(counts, labels, forest, own_id, label_id, max_false_reject)
-    out = counted(rows, text, forest, True) if keep_text else scored(counts, forest)
-    out = out.withColumn("q_base_failed", F.expr(BASE_RULE)).withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_score") <= threshold))
+    out = scored(counts, forest).withColumn("q_base_failed", F.expr(BASE_RULE)).withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_score") <= threshold))
     return renamed(out, docs.columns, *[f"q_{name}" for name in (*COUNTS, "score", "base_failed", "kept")])
 
 
