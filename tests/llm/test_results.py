@@ -231,6 +231,42 @@ def test_leaks_against_all_alignments(spark, prose):
     assert dropped == {d for d, _ in got}
 
 
+def test_leaks_of_a_benchmark_that_no_task_holds(spark, prose):
+    """Repeated items, one id with two texts, a null id, a text that many rows share, long items; tables too small for them."""
+    a, b, c, long = prose(20, 900), prose(12, 901), prose(25, 902), prose(300, 903)
+    items = [(1, a), (1, a), (2, a.upper()), (3, b), (3, c), (None, c), (4, long), (5, None), (6, ""), (7, "...")] + [(10 + k, prose(15, 910 + k)) for k in range(40)]
+    texts = [f"{prose(30, 950 + k)} {t} {prose(30, 970 + k)}" for k, t in enumerate((a, b, c, long, f"{b} and {c}", f"{a} {a}"))]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100 + k, texts[0]) for k in range(30)] + [(None, texts[1]), (200, None), (201, ""), (202, prose(400, 999)), (203, a[: len(a) // 2])]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    told = lambda df: sorted([(r.doc_id, r.text or "", [tuple(h) for h in r.leaks]) for r in df.collect()], key=key)
+    want = told(decontam.mark_leaks(docs, bench))
+    assert sum(bool(hits) for *_, hits in want) == 37
+    for power in (28, 16, 8):
+        assert told(decontam.mark_leaks(docs, bench, block_bytes=0, power=power)) == want
+    own = decontam.mark_leaks(docs, bench, block_bytes=0, power=16, keep_text=False)
+    assert own.columns == ["doc_id", "leaks"] and own.count() == len(rows)
+
+
+def test_signatures_find_a_fifth_of_edits(prose):
+    rng = random.Random(31)
+    signer = decontam.Signer()
+    for length in (5, 10, 40, 120):
+        met = 0
+        for n in range(40):
+            w = WORD.findall(prose(length, 5000 + n))
+            edited = list(w)
+            for at in sorted(rng.sample(range(length), length // 5), reverse=True):
+                kind = rng.randrange(3)
+                edited[at : at + (kind != 1)] = [] if kind == 0 else [f"q{n}x{at}"]
+            x, y = (signer.words(" ".join(v)) for v in (w, edited))
+            d = length // 5
+            spots = [decontam.widened(y, s, length, 0, 0) for s in range(-(d // 2), d // 2 + 1) if s >= 0]
+            keys = signer.keys(np.stack([x, *spots]))
+            met += any(set(keys[0].tolist()) & set(k.tolist()) for k in keys[1:])
+        assert met >= 37
+
+
 def test_index_does_not_grow_with_word_times_step():
     many = [(k, " ".join(f"w{k}x{j}" for j in range(100))) for k in range(300)]
     index = decontam.Index(many)
