@@ -72,6 +72,16 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7 that SQL can tell."""
+    return op7_quality_rules(spark, sf_dir).drop("kept", "score")
+
+
+def license_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that SQL can tell."""
+    return op8_license_scan(spark, sf_dir).drop("labels", "score")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annomerge.llm.warc import read_warc, write_warc
 
@@ -108,6 +118,41 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+QUALITY_BASE_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), lines AS (
+  SELECT *, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM t
+), words AS (
+  SELECT row, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM t
+), windows AS (
+  SELECT row, i, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS five FROM words WINDOW o AS (PARTITION BY row ORDER BY i)
+), twice AS (
+  SELECT row, i FROM windows WHERE five IS NOT NULL QUALIFY count(*) OVER (PARTITION BY row, five) > 1
+), covered AS (
+  SELECT row, count(DISTINCT i + j) AS n FROM twice, range(5) r(j) GROUP BY row
+), counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM lines LEFT JOIN covered USING (row)
+)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+"""
+
+LICENSE_BASE_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7f])+') AS w FROM documents
+), words AS (
+  SELECT row, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS start FROM t
+), near AS (
+  SELECT row, start, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o AS three, lead(x, 3) OVER o AS fourth FROM words WINDOW o AS (PARTITION BY row ORDER BY start)
+), found AS (
+  SELECT row, start, CASE WHEN three = 'under the mit' AND fourth = 'license' THEN 'mit' WHEN three = 'apache license version' AND fourth = '2' THEN 'apache-2' WHEN three = 'cc by nc' THEN 'cc-by-nc' END AS label FROM near
+), told AS (
+  SELECT row, count(*) AS n, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found WHERE label IS NOT NULL GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(labels, '') AS base_labels FROM t LEFT JOIN told USING (row)
+"""
+
 OP9_SQL = """
 WITH p AS (
   SELECT page_id, sha256(coalesce(html, '')) AS digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages
@@ -169,8 +214,8 @@ FROM told
 
 
 def queries() -> dict:
-    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op2_suffix_dedup": op2_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc, "op11_fill_in_middle": op11_fill_in_middle, "op12_secret_scan": op12_secret_scan, "op13_filter_audit": op13_filter_audit}
+    return {"op1_pii_pseudonyms": op1_pii_pseudonyms, "op2_suffix_dedup": op2_suffix_dedup, "op3_decontamination": op3_decontamination, "op4_ngram_join": op4_ngram_join, "op5_language_codes": op5_language_codes, "op7_quality_rules": op7_quality_rules, "op8_license_scan": op8_license_scan, "op10_toxicity": op10_toxicity, "op6_best_fit_packing": op6_best_fit_packing, "op9_warc": op9_warc, "op11_fill_in_middle": op11_fill_in_middle, "op12_secret_scan": op12_secret_scan, "op13_filter_audit": op13_filter_audit, "quality_rules_base": quality_rules_base, "license_scan_base": license_scan_base}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_filter_audit": OP13_SQL}
+    return {"op9_warc": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_filter_audit": OP13_SQL, "quality_rules_base": QUALITY_BASE_SQL, "license_scan_base": LICENSE_BASE_SQL}
