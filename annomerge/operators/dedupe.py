@@ -40,5 +40,11 @@ def top_rows(rows: DataFrame, group: str, order: list, n: int = 50) -> DataFrame
     return ranked.join(counts, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
+def first_of(rows: DataFrame, keys: list[str], ord_col: str, n: int) -> DataFrame:
+    """The first n rows of each key, by a rank that Spark limits before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(ord_col))
+    return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
 def sample_rows(rows: DataFrame, ord_col: str, n: int) -> DataFrame:
     return rows.orderBy(ord_col).limit(n)

@@ -3,11 +3,11 @@ run time, of shuffled sides."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annomerge.functions.scalars import build_position, normalize_chromosome, safe_double, variant_id
-from annomerge.operators.dedupe import dedupe_first
+from annomerge.operators.dedupe import dedupe_first, first_of
 from annomerge.operators.filters import require_coordinates
 from annomerge.sources.shared import materialise
 
@@ -74,13 +74,21 @@ def revel_by_substitution(scores: DataFrame, revel: DataFrame, keys: list[str] =
 
 def nearby_variants(queries: DataFrame, variants: DataFrame, key: str, reach: int = 5, most: int = 10, ord_col: str = "ord") -> DataFrame:
     """Per query the first rows of its gene within ``reach`` positions. Positions are dealt to ranges one wider than the
-    reach, so a query meets three ranges and the join is by key."""
+    reach, so a query meets three ranges and the join is by key.
+
+    The first rows near a place are among the first ``most`` of each position near it, so no other row is joined, and each place is
+    answered once, however many queries ask for it. The ranges asked for are written first, so that Spark knows how few they are."""
     width = reach + 1
-    asked = queries.select(F.col(key), "gene", F.col("position").alias("query_position"), F.explode(F.sequence(F.floor(F.col("position") / width) - 1, F.floor(F.col("position") / width) + 1)).alias("_range"))
-    rows = variants.withColumn("_range", F.floor(F.col("position") / width))
-    near = asked.join(rows, ["gene", "_range"]).where(F.abs(F.col("position") - F.col("query_position")) <= reach)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(ord_col))
-    return near.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank", "_range")
+    range_of = lambda c: F.floor(F.col(c) / width)
+    asked = queries.select(F.col(key), "gene", F.col("position").alias("query_position"))
+    places = asked.select("gene", "query_position").distinct().withColumn("_range", F.explode(F.sequence(range_of("query_position") - 1, range_of("query_position") + 1)))
+    near = materialise(places, "places")
+    own = variants.withColumn("_range", range_of("position")).join(near.select("gene", "_range").distinct(), ["gene", "_range"], "left_semi")
+    first = first_of(own, ["gene", "position"], ord_col, most)
+    met = near.join(first, ["gene", "_range"]).where(F.abs(F.col("position") - F.col("query_position")) <= reach).drop("_range")
+    answers = first_of(met, ["gene", "query_position"], ord_col, most)
+    each = asked.join(answers, ["gene", "query_position"]).select("gene", key, "query_position", *[c for c in variants.columns if c != "gene"])
+    return first_of(each, [key], ord_col, most)
 
 
 def gnomad_by_variant_id(variants: DataFrame, gnomad: DataFrame) -> DataFrame:

@@ -94,6 +94,23 @@ def test_nearby(spark):
     assert [r["position"] for r in joins.nearby_variants(q, v.withColumnRenamed("id", "x"), "id").orderBy("position").collect()] == list(range(623, 633))
 
 
+def test_nearby_joins_first_rows_of_each_position_alone(spark):
+    q = spark.range(300).select("id", F.lit("G").alias("gene"), (F.col("id") % 2 + 8).cast("int").alias("position"))
+    v = spark.range(40_000).select(F.lit("G").alias("gene"), (F.col("id") % 20).cast("int").alias("position"), (40_000 - F.col("id")).alias("ord"))
+    near = joins.nearby_variants(q, v, "id", reach=2, most=3)
+    got = sorted((r["id"], r["position"], r["ord"]) for r in near.collect())
+    assert got == sorted((i, p, 40_000 - (39_980 + p)) for i in range(300) for p in range(8 + i % 2, 11 + i % 2))
+    joined = [n for n in plans.nodes(near._jdf.queryExecution().executedPlan()) if "Join" in n.getClass().getSimpleName() and "LeftSemi" not in n.toString().split("\n")[0]]
+    assert joined and max(n.metrics().get("numOutputRows").get().value() for n in joined) <= 2 * 18 * 3 + 300 * 3
+
+
+def test_nearby_of_an_id_asked_twice_and_without_place(spark):
+    q = spark.createDataFrame([(1, "G", 5), (1, "G", 50), (2, None, 5), (3, "G", None)], "id int, gene string, position int")
+    v = spark.createDataFrame([("G", 4, 9), ("G", 6, 1), ("G", 51, 5), ("G", None, 0), (None, 5, 0)], "gene string, position int, ord int")
+    got = joins.nearby_variants(q, v, "id", most=2).orderBy("ord").collect()
+    assert [(r["id"], r["query_position"], r["position"], r["ord"]) for r in got] == [(1, 5, 6, 1), (1, 50, 51, 5)]
+
+
 def test_counts_and_checks(spark):
     genes = spark.createDataFrame([("A",), ("B",)], "gene string")
     data = spark.createDataFrame([("A", "p.1"), ("A", None)], "gene string, hgvs_p string")
