@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from annomerge.sources.shared import deal
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 CLINVAR_LIKE = """
@@ -93,13 +95,20 @@ FROM supplier
 
 ADAPTERS = {"clinvar_like": CLINVAR_LIKE, "am_like": AM_LIKE, "revel_like": REVEL_LIKE, "gnomad_like": GNOMAD_LIKE, "cadd_like": CADD_LIKE, "lof_like": LOF_LIKE, "genes_like": GENES_LIKE, "penetrance_like": PENETRANCE_LIKE}
 
+#: Tables of which a stand-in makes several rows of each, with their key and that number.
+EXPANDED = {("am_like", "part"): ("p_partkey", 25)}
+
 
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stand-in as a DataFrame; its plan holds the files, not the views that name them meanwhile."""
     text = ADAPTERS[name]
     for table in TABLES:
         if f"FROM {table}" in text or f"JOIN {table}" in text:
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+            rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            if (name, table) in EXPANDED:
+                key, each = EXPANDED[name, table]
+                rows = deal(rows, [key], each)
+            rows.createOrReplaceTempView(table)
     return spark.sql(text)
 
 

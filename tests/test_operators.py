@@ -111,6 +111,18 @@ def test_nearby_of_an_id_asked_twice_and_without_place(spark):
     assert [(r["id"], r["query_position"], r["position"], r["ord"]) for r in got] == [(1, 5, 6, 1), (1, 50, 51, 5)]
 
 
+def test_rows_that_become_many_are_dealt_to_tasks(spark, sf_dir, tmp_path):
+    from annomerge.plans.adapters import adapter
+    from annomerge.sources.shared import deal
+
+    assert deal(spark.range(1000), ["id"], 25, per_task=1000).rdd.getNumPartitions() == 25
+    spark.read.parquet(f"{sf_dir}/nation.parquet").write.parquet(str(tmp_path / "nation.parquet"))
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").limit(1).drop("p_partkey").crossJoin(spark.range(60_000).withColumnRenamed("id", "p_partkey"))
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    counts = [r["count"] for r in adapter(spark, str(tmp_path), "am_like").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 1_500_000 and max(counts) < 600_000
+
+
 def test_counts_and_checks(spark):
     genes = spark.createDataFrame([("A",), ("B",)], "gene string")
     data = spark.createDataFrame([("A", "p.1"), ("A", None)], "gene string, hgvs_p string")
