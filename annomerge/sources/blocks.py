@@ -30,6 +30,13 @@ MAGIC = b"\x1f\x8b\x08\x04"
 END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 LINES = pa.schema([("file", pa.string()), ("at", pa.int64()), ("line", pa.string())])
 BATCH_BYTES = 4 << 20
+#: The most ranges that splits below ``SPLIT_BYTES`` are cut into. A range is a task with a Python process, which small ones do not pay for.
+RANGES, SPLIT_BYTES = 256, 64 << 20
+
+
+def range_bytes(total: int, split: int) -> int:
+    """The size of ranges: ``split``, more where that would give more than ``RANGES``, but then at most ``SPLIT_BYTES``."""
+    return max(split, min(SPLIT_BYTES, -(-total // RANGES)))
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -164,7 +171,7 @@ def lines_of(source, part: Range) -> Iterator[tuple[int, bytes]]:
 
 class LineReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.split = options["path"], int(options.get("split_bytes", 64 << 20))
+        self.path, self.split = options["path"], int(options.get("split_bytes", SPLIT_BYTES))
         self.header, self.comment = options.get("header") == "true", options.get("comment", "")
 
     def files(self) -> list[tuple[str, int]]:
@@ -177,8 +184,9 @@ class LineReader(DataSourceReader):
 
     def partitions(self) -> list[Range]:
         """Ranges of all files. Of each file the first bytes are read here: whether it has blocks, and where its header is."""
-        out = []
-        for name, size in self.files():
+        out, files = [], self.files()
+        step = range_bytes(sum(size for _, size in files), self.split)
+        for name, size in files:
             store, path = open_fs(name)
             with store.open_input_file(path) as source:
                 blocks = block_size(source.read_at(Blocks.HEAD, 0)) is not None
@@ -186,8 +194,8 @@ class LineReader(DataSourceReader):
                 if self.header:
                     comment = self.comment.encode()
                     whole.header = next((at for at, line in lines_of(source, whole) if not (comment and line.startswith(comment))), -1)
-            cuts = range(0, size, self.split) if blocks else (0,)
-            out += [Range(name, size, c, min(size, c + self.split) if blocks else size, blocks, whole.header) for c in cuts]
+            cuts = range(0, size, step) if blocks else (0,)
+            out += [Range(name, size, c, min(size, c + step) if blocks else size, blocks, whole.header) for c in cuts]
         return out
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -211,7 +219,7 @@ class LineReader(DataSourceReader):
 
 
 class BlockLines(DataSource):
-    """``path``, a file or folder; ``split_bytes``; ``comment``, how lines to leave out begin; ``header``, whether each file's first
+    """``path``, a file or folder; ``split_bytes``, the least size of a range; ``comment``, how lines to leave out begin; ``header``, whether each file's first
     other line is one."""
 
     @classmethod

@@ -106,3 +106,15 @@ def test_written_blocks(spark, tmp_path):
     assert got.rdd.getNumPartitions() > 3
     assert [r.line for r in got.orderBy("file", "at").collect()] == [f"line {k}" for k in range(30_000)]
     assert blocks.read_lines(spark, str(tmp_path / "out"), 20_000).count() == 30_003
+
+
+def test_many_small_ranges_are_widened(tmp_path):
+    assert blocks.range_bytes(10_000, 900) == 900 and blocks.range_bytes(256 << 20, 32 << 10) == 1 << 20
+    assert blocks.range_bytes(1 << 40, 32 << 10) == 64 << 20 and blocks.range_bytes(1 << 40, 1 << 30) == 1 << 30
+    for k in range(3):
+        bgzf(tmp_path / f"{k}.gz", b"".join(b"%d\n" % i for i in range(20_000)), random.Random(k))
+    reader = blocks.LineReader({"path": str(tmp_path), "split_bytes": "50"})
+    ranges = reader.partitions()
+    assert 200 < len(ranges) <= 256 + 3
+    lines = [line for r in ranges for batch in reader.read(r) for line in batch["line"].to_pylist()]
+    assert lines == 3 * [str(i) for i in range(20_000)]
