@@ -14,7 +14,7 @@ from annomerge.operators import dedupe, filters, joins, lof, merge, quality, sta
 from annomerge.operators.ordinals import dense_order
 from annomerge.plans import jobs
 from annomerge.plans.adapters import adapter, ctes
-from annomerge.sources.shared import fresh_path
+from annomerge.sources.shared import fresh_path, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -454,7 +454,7 @@ def _(s, d):
 def _(s, d):
     from annomerge.sources.layout import read_at_places, write_by_coordinates
 
-    path, asked = fresh_path(s, "revel-places"), clinvar(s, d)
+    path, asked = fresh_path(s, "revel-places"), materialise(clinvar(s, d), "asked")
     write_by_coordinates(adapter(s, d, "revel_like"), path, "chr", "grch38_pos", width=2000)
     return joins.revel_by_coordinates(asked, read_at_places(s, path, asked, "chromosome", "position", width=2000)).select("ord", "chromosome", "position", "revel_score")
 
@@ -463,7 +463,7 @@ def _(s, d):
 def _(s, d):
     from annomerge.sources.layout import read_at_places, write_by_coordinates
 
-    path, asked = fresh_path(s, "cadd-places"), cadd_asked(s, d)
+    path, asked = fresh_path(s, "cadd-places"), materialise(cadd_asked(s, d), "asked")
     write_by_coordinates(adapter(s, d, "cadd_like"), path, "Chrom", "Pos", width=20)
     return joins.annotate_cadd(asked, read_at_places(s, path, asked, "chromosome", "position", width=20), "id")
 

@@ -17,6 +17,8 @@ from annomerge.sources.writers import ROWS_PER_FILE
 #: Positions in a window. A score file of all substitutions has three million rows in one.
 WINDOW = 1_000_000
 PARTS = ("part_chrom", "part_window")
+#: Above so many folders that have fewer rows than this on average, windows are widened: folders cost time to write and list.
+FOLDERS, ROWS_PER_FOLDER = 1024, 1_000_000
 
 
 def window_of(chrom: Column, pos: Column, width: int) -> list[Column]:
@@ -24,18 +26,34 @@ def window_of(chrom: Column, pos: Column, width: int) -> list[Column]:
     return [F.coalesce(normalize_chromosome(chrom), F.lit("")).alias(PARTS[0]), F.coalesce(F.floor(pos.try_cast("bigint") / width), F.lit(-1)).alias(PARTS[1])]
 
 
+def fitting_width(rows: DataFrame, chrom: str, pos: str, width: int) -> int:
+    """``width``, doubled until there are at most ``FOLDERS`` windows, or ``ROWS_PER_FOLDER`` rows in one on average."""
+    found = materialise(rows.select(*window_of(F.col(chrom), F.col(pos), width)).groupBy(*PARTS).agg(F.count("*").alias("_n")), "windows")
+    n_rows, folders, last = found.agg(F.sum("_n"), F.count("*"), F.max(PARTS[1])).first()
+    factor = 1
+    while folders > FOLDERS and n_rows < folders * ROWS_PER_FOLDER and factor <= last:
+        factor *= max(2, 1 << (folders // FOLDERS).bit_length() - 1)
+        folders = found.select(PARTS[0], F.floor(F.col(PARTS[1]) / factor)).distinct().count()
+    return width * factor
+
+
 def write_by_coordinates(rows: DataFrame, path: str, chrom: str, pos: str, width: int = WINDOW) -> None:
-    """Rows are dealt by ranges of places, so that a dense window is several tasks and each task writes few folders."""
-    dealt = rows.select("*", *window_of(F.col(chrom), F.col(pos), width), F.col(pos).try_cast("bigint").alias("_pos"))
+    """Rows are dealt by ranges of places, so that a dense window is several tasks and each task writes few folders. The width in
+    the end, which may be more, is stored with the position's column, where readers find it."""
+    width = fitting_width(rows, chrom, pos, width)
+    noted = rows.withColumn(pos, F.col(pos).alias(pos, metadata={"window": width}))
+    dealt = noted.select("*", *window_of(F.col(chrom), F.col(pos), width), F.col(pos).try_cast("bigint").alias("_pos"))
     ordered = dealt.repartitionByRange(*PARTS, "_pos").sortWithinPartitions(*PARTS, "_pos").drop("_pos")
     ordered.write.mode("overwrite").partitionBy(*PARTS).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
 def read_at_places(spark: SparkSession, path: str, asked: DataFrame, chrom: str, pos: str, width: int = WINDOW) -> DataFrame:
-    """All rows of the windows that ``asked`` has places in; exact joins may follow. The windows are written first, so that Spark
+    """All rows of the windows that ``asked`` has places in; exact joins may follow. ``width``: of a table that notes none. The windows are written first, so that Spark
     knows how few they are: it then broadcasts them and prunes folders by them."""
+    kind = stored_schema(spark, path)
+    width = next((f.metadata["window"] for f in kind if "window" in f.metadata), width)
     windows = materialise(asked.select(*window_of(F.col(chrom), F.col(pos), width)).where(F.col(PARTS[1]) >= 0).distinct(), "windows")
-    stored = spark.read.option("mergeSchema", "false").schema(stored_schema(spark, path)).parquet(path)
+    stored = spark.read.option("mergeSchema", "false").schema(kind).parquet(path)
     return stored.join(windows.where(F.col(PARTS[1]) >= 0), list(PARTS), "left_semi").drop(*PARTS)
 
 

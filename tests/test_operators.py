@@ -180,6 +180,20 @@ def test_layout_by_coordinates_reads_asked_windows(spark, tmp_path):
     assert whole.count() == 200_001 and set(whole.schema.names) == {*scores.columns, *layout.PARTS}
 
 
+def test_layout_of_many_small_windows_is_widened(spark, tmp_path):
+    scores = spark.range(30_000).select((F.col("id") % 2 + 1).cast("string").alias("chr"), F.col("id").cast("string").alias("pos"))
+    scores = scores.unionByName(spark.createDataFrame([("1", "."), ("2", "-7")], "chr string, pos string"))
+    path = str(tmp_path / "l")
+    layout.write_by_coordinates(scores, path, "chr", "pos", width=10)
+    folders = spark.read.parquet(path).select(*layout.PARTS).distinct().count()
+    assert 100 < folders <= layout.FOLDERS + 2
+    asked = spark.createDataFrame([("chr1", 20), ("2", 29_999), ("2", 5)], "chromosome string, position long")
+    near = layout.read_at_places(spark, path, asked, "chromosome", "position", width=10)
+    found = {(r["chr"], r["pos"]) for r in near.collect()}
+    assert {("1", "20"), ("2", "29999"), ("2", "5")} <= found and len(found) < 3000
+    assert spark.read.parquet(path).count() == 30_002
+
+
 def test_buckets_are_not_shuffled(spark, tmp_path):
     stored = spark.range(500).select(F.lit("G").alias("gene"), F.col("id").cast("string").alias("hgvs_p"), F.lit(1).alias("a"))
     layout.write_bucketed(stored, "buckets_of_test", str(tmp_path / "b"), ["gene", "hgvs_p"], 8)
