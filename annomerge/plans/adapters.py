@@ -95,8 +95,8 @@ FROM supplier
 
 ADAPTERS = {"clinvar_like": CLINVAR_LIKE, "am_like": AM_LIKE, "revel_like": REVEL_LIKE, "gnomad_like": GNOMAD_LIKE, "cadd_like": CADD_LIKE, "lof_like": LOF_LIKE, "genes_like": GENES_LIKE, "penetrance_like": PENETRANCE_LIKE}
 
-#: Tables of which a stand-in makes several rows of each, with their key and that number.
-EXPANDED = {("am_like", "part"): ("p_partkey", 25)}
+#: Tables of which a stand-in makes several rows of each, or rows much larger than those stored, with their key and that number.
+DEALT = {("am_like", "part"): ("p_partkey", 25), ("clinvar_like", "orders"): ("o_orderkey", 1)}
 
 
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,8 +105,8 @@ def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for table in TABLES:
         if f"FROM {table}" in text or f"JOIN {table}" in text:
             rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-            if (name, table) in EXPANDED:
-                key, each = EXPANDED[name, table]
+            if (name, table) in DEALT:
+                key, each = DEALT[name, table]
                 rows = deal(rows, [key], each)
             rows.createOrReplaceTempView(table)
     return spark.sql(text)

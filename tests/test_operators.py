@@ -123,6 +123,15 @@ def test_rows_that_become_many_are_dealt_to_tasks(spark, sf_dir, tmp_path):
     assert sum(counts) == 1_500_000 and max(counts) < 600_000
 
 
+def test_rows_of_few_stored_bytes_are_dealt_to_tasks(spark, sf_dir, tmp_path):
+    from annomerge.plans.adapters import adapter
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").limit(1).drop("o_orderkey").crossJoin(spark.range(1_200_000).withColumnRenamed("id", "o_orderkey"))
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    counts = [r["count"] for r in adapter(spark, str(tmp_path), "clinvar_like").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 1_200_000 and max(counts) < 600_000
+
+
 def test_counts_and_checks(spark):
     genes = spark.createDataFrame([("A",), ("B",)], "gene string")
     data = spark.createDataFrame([("A", "p.1"), ("A", None)], "gene string, hgvs_p string")
