@@ -3,9 +3,13 @@ since rows are text), not windows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annomerge.sources.shared import materialise
+
 
 def one_per_key(rows: DataFrame, keys: list[str], ord_col: str, pick) -> DataFrame:
     others = [c for c in rows.columns if c not in keys]
@@ -27,9 +31,18 @@ def last_known(rows: DataFrame, keys: list[str], ord_col: str, value: str) -> Da
 
 
 def first_seen_last_value(rows: DataFrame, keys: list[str], place: str, ord_col: str, value: str) -> DataFrame:
-    """Per key, of the place seen first, its value seen last."""
-    each = rows.groupBy(*keys, place).agg(F.min(ord_col).alias("_first"), F.max_by(F.struct(value), ord_col).alias("_last"))
-    return each.groupBy(*keys).agg(F.min_by(F.struct(F.col(place), F.col("_last")[value].alias(value)), "_first").alias("_e")).select(*keys, F.col("_e")[place].alias(place), F.col("_e")[value].alias(value))
+    """Per key, of the place seen first, its value seen last.
+
+    Places can be as many as rows, so no row is grouped by its place: the first order of each key finds its place, and the rows there
+    tell the value. Orders and numbers reduce by hashing, before any shuffle; the rows are read three times and not sorted. What is
+    found is written, so that Spark knows how little it is and broadcasts it."""
+    same = lambda left, right, names: reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_{c}"]) for c in names])
+    named = [F.col(c).alias(f"_{c}") for c in keys]
+    first = materialise(rows.groupBy(*keys).agg(F.min(ord_col).alias("_first")).select(*named, "_first"), "first")
+    there = rows.join(first, same(rows, first, keys) & (F.col(ord_col) == F.col("_first")))
+    at = materialise(there.groupBy(*[f"_{c}" for c in keys]).agg(F.min(place).alias(f"_{place}")), "place")
+    seen = rows.join(at, same(rows, at, [*keys, place])).groupBy(*keys, place).agg(F.max_by(value, ord_col).alias(value))
+    return first.join(seen, same(seen, first, keys), "left").select(*[F.col(f"_{c}").alias(c) for c in keys], place, value)
 
 
 def top_rows(rows: DataFrame, group: str, order: list, n: int = 50) -> DataFrame:

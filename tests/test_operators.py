@@ -132,6 +132,14 @@ def test_rows_of_few_stored_bytes_are_dealt_to_tasks(spark, sf_dir, tmp_path):
     assert sum(counts) == 1_200_000 and max(counts) < 600_000
 
 
+def test_first_seen_last_value_sorts_no_rows(spark):
+    data = [("A", None, None, 1, 0.1), ("A", None, "2", 2, 0.2), ("A", None, None, 3, 0.3), ("B", "C", "7", 4, 0.4), ("B", "C", "7", 9, None), ("B", "C", "8", 5, 0.5), ("D", "E", "9", None, 0.6)]
+    df = spark.createDataFrame(data, "aaref string, aaalt string, pos string, ord int, s double")
+    got = dedupe.first_seen_last_value(df, ["aaref", "aaalt"], "pos", "ord", "s")
+    assert rows(got, "aaref") == [("A", None, None, 0.3), ("B", "C", "7", None), ("D", "E", None, None)]
+    assert "SortAggregate" not in plans.text(got) and "HashAggregate" in plans.text(got)
+
+
 def test_counts_and_checks(spark):
     genes = spark.createDataFrame([("A",), ("B",)], "gene string")
     data = spark.createDataFrame([("A", "p.1"), ("A", None)], "gene string, hgvs_p string")
