@@ -34,9 +34,10 @@ def revel_for_genes(scores: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 def revel_by_coordinates(variants: DataFrame, scores: DataFrame, build: str = "GRCh38", ord_col: str = "ord") -> DataFrame:
     """Adds revel_score from the first score row of the same coordinates: its score, even if that is none. Scores are cut to the
-    coordinates asked for before the first of each is taken."""
+    coordinates asked for before the first of each is taken. The variants are written first, so that Spark knows how few they are and
+    need not shuffle all scores."""
     keys = ["chromosome", "position", "ref", "alt"]
-    asked = variants.withColumn("chromosome", normalize_chromosome(F.col("chromosome"))).withColumn("position", F.col("position").cast("string"))
+    asked = materialise(variants.withColumn("chromosome", normalize_chromosome(F.col("chromosome"))).withColumn("position", F.col("position").cast("string")), "asked")
     rows = scores.select(F.col("chr").alias("chromosome"), build_position(F.lit(build), F.col("grch38_pos"), F.col("hg19_pos")).alias("position"), "ref", "alt", "REVEL", ord_col)
     own = rows.join(asked.select(*keys).dropna().distinct(), keys, "left_semi")
     first = dedupe_first(own, keys, ord_col).select(*keys, safe_double(F.col("REVEL")).alias("revel_score"))
@@ -45,11 +46,16 @@ def revel_by_coordinates(variants: DataFrame, scores: DataFrame, build: str = "G
 
 def annotate_cadd(variants: DataFrame, scores: DataFrame, key: str, ord_col: str = "ord") -> DataFrame:
     """Per variant the first score row at its place; a NULL or empty allele matches any. The row's coordinates replace
-    the variant's where there is one."""
+    the variant's where there is one. Scores are cut to the places asked for and to the first row of each pair of alleles there, by
+    hashing, before they are joined: a variant meets a few rows, however many its place has."""
+    variants = materialise(variants, "variants")
     left = variants.select(F.col(key).alias("_key"), normalize_chromosome(F.col("chromosome")).alias("_chrom"), F.col("position").cast("long").alias("_pos"), F.nullif("ref", F.lit("")).alias("_ref"), F.nullif("alt", F.lit("")).alias("_alt"))
     meets = (F.col("_chrom") == F.col("Chrom")) & (F.col("_pos") == F.col("Pos")) & (F.col("_ref").isNull() | (F.col("_ref") == F.col("Ref"))) & (F.col("_alt").isNull() | (F.col("_alt") == F.col("Alt")))
     score = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
     rows = scores.select("Chrom", "Pos", "Ref", "Alt", score("RawScore"), score("PHRED"), ord_col)
+    places = left.select(F.col("_chrom").alias("Chrom"), F.col("_pos").alias("Pos")).distinct()
+    alleles = rows.join(places, ["Chrom", "Pos"], "left_semi").groupBy("Chrom", "Pos", "Ref", "Alt")
+    rows = alleles.agg(*[F.min_by(c, ord_col).alias(c) for c in ("RawScore", "PHRED")], F.min(ord_col).alias(ord_col))
     first = left.join(rows, meets).groupBy("_key").agg(F.min_by(F.struct("Chrom", "Pos", "Ref", "Alt", "RawScore", "PHRED"), ord_col).alias("_hit"))
     out = variants.join(first, variants[key] == first["_key"], "left")
     names = {"chromosome": "Chrom", "position": "Pos", "ref": "Ref", "alt": "Alt"}

@@ -140,6 +140,24 @@ def test_first_seen_last_value_sorts_no_rows(spark):
     assert "SortAggregate" not in plans.text(got) and "HashAggregate" in plans.text(got)
 
 
+def test_revel_by_coordinates_knows_how_few_variants_ask(spark):
+    few = spark.range(10_000_000).where("id = 5").selectExpr("'chr1' AS chromosome", "id AS position", "'A' AS ref", "'C' AS alt")
+    scores = spark.range(10_000_000).selectExpr("'1' AS chr", "'9' AS hg19_pos", "cast(id AS string) AS grch38_pos", "'A' AS ref", "'C' AS alt", "'0.7' AS REVEL", "id AS ord")
+    got = joins.revel_by_coordinates(few, scores)
+    assert [r["revel_score"] for r in got.collect()] == [0.7]
+    shuffles = [n for n in plans.nodes(got._jdf.queryExecution().executedPlan()) if n.getClass().getSimpleName() == "ShuffleExchangeExec"]
+    assert sum(n.metrics().get("shuffleRecordsWritten").get().value() for n in shuffles) < 1000
+
+
+def test_cadd_joins_first_rows_of_each_pair_of_alleles_alone(spark):
+    v = spark.range(1).selectExpr("id", "'1' AS chromosome", "5L AS position", "'A' AS ref", "'' AS alt")
+    c = spark.range(1000).selectExpr("id AS ord", "'1' AS Chrom", "id % 2 + 5 AS Pos", "'A' AS Ref", "substr('CG', cast(id % 4 / 2 AS int) + 1, 1) AS Alt", "cast(id AS double) AS RawScore", "1.0D AS PHRED")
+    got = joins.annotate_cadd(v, c, "id")
+    assert [tuple(r) for r in got.collect()] == [(0, "1", 5, "A", "C", 0.0, 1.0)]
+    inner = [n for n in plans.nodes(got._jdf.queryExecution().executedPlan()) if "Join" in n.getClass().getSimpleName() and "Inner" in n.simpleStringWithNodeId()]
+    assert [n.metrics().get("numOutputRows").get().value() for n in inner] == [2]
+
+
 def test_counts_and_checks(spark):
     genes = spark.createDataFrame([("A",), ("B",)], "gene string")
     data = spark.createDataFrame([("A", "p.1"), ("A", None)], "gene string, hgvs_p string")
