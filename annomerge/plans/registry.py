@@ -14,7 +14,7 @@ from annomerge.operators import dedupe, filters, joins, lof, merge, quality, sta
 from annomerge.operators.ordinals import dense_order
 from annomerge.plans import jobs
 from annomerge.plans.adapters import adapter, ctes
-from annomerge.sources.shared import fresh_path, materialise
+from annomerge.sources.shared import ROWS_PER_TASK, deal, fresh_path, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,11 +99,13 @@ def am(s, d):
 
 
 def payloads(s, d):
-    """The nested form: a payload for each gene and thousand of rows, variants in row order, and the order of payloads."""
-    g = adapter(s, d, "gnomad_like")
+    """The nested form: a payload for each gene and thousand of rows, variants in row order, and the order of payloads. Rows are dealt
+    to tasks by their thousand, so a task makes whole payloads of a bounded number of rows and nothing is shuffled again. It holds
+    each row twice, in a partial payload and in a whole one."""
+    g = deal(adapter(s, d, "gnomad_like").withColumn("part", F.floor(F.col("ord") / 1000)), ["part"], per_task=ROWS_PER_TASK // 2)
     side = lambda p: F.when(F.coalesce(f"{p}_af", f"{p}_an", f"{p}_hom").isNotNull(), F.struct(F.lit(None).cast("long").alias("ac"), F.col(f"{p}_an").cast("long").alias("an"), F.col(f"{p}_af").alias("af"), F.col(f"{p}_hom").cast("long").alias("homozygote_count")))
     v = F.struct("variant_id", "hgvsc", "hgvsp", "consequence", side("exome").alias("exome"), side("genome").alias("genome"))
-    groups = g.groupBy("symbol", F.floor(F.col("ord") / 1000).alias("part")).agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", v.alias("v")))), lambda x: x["v"]).alias("variants"))
+    groups = g.groupBy("symbol", "part").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", v.alias("v")))), lambda x: x["v"]).alias("variants"))
     return groups.select("part", F.struct(F.struct(F.lit("ENSG").alias("gene_id"), "symbol", "variants").alias("gene")).alias("data"))
 
 

@@ -132,6 +132,23 @@ def test_rows_of_few_stored_bytes_are_dealt_to_tasks(spark, sf_dir, tmp_path):
     assert sum(counts) == 1_200_000 and max(counts) < 600_000
 
 
+def test_gnomad_payloads_are_made_of_bounded_numbers_of_rows(spark, sf_dir, tmp_path):
+    from annomerge.plans import registry
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").limit(1).drop("event_id").crossJoin(spark.range(1_200_000).withColumnRenamed("id", "event_id"))
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = registry.payloads(spark, str(tmp_path)).withColumn("n", F.size("data.gene.variants"))
+        counts = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sum(counts) == 1_200_000 and max(counts) < 400_000
+    plan = plans.text(registry.payloads(spark, str(tmp_path)))
+    assert plan.rindex("ObjectHashAggregate") < plan.index("Exchange ")
+
+
 def test_first_seen_last_value_sorts_no_rows(spark):
     data = [("A", None, None, 1, 0.1), ("A", None, "2", 2, 0.2), ("A", None, None, 3, 0.3), ("B", "C", "7", 4, 0.4), ("B", "C", "7", 9, None), ("B", "C", "8", 5, 0.5), ("D", "E", "9", None, 0.6)]
     df = spark.createDataFrame(data, "aaref string, aaalt string, pos string, ord int, s double")
