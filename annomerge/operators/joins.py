@@ -12,8 +12,9 @@ from annomerge.operators.filters import require_coordinates
 from annomerge.sources.shared import materialise
 
 def alphamissense_for_genes(scores: DataFrame, dim: DataFrame) -> DataFrame:
-    """Substitutions of the genes' proteins; dim: gene, uniprot_id."""
-    return scores.join(dim, "uniprot_id")
+    """Substitutions of the genes' proteins; dim: gene, uniprot_id, written first, so that Spark knows how few they are and does not
+    shuffle the scores by protein."""
+    return scores.join(materialise(dim, "dim"), "uniprot_id")
 
 
 def unmapped_genes(genes: DataFrame, dim: DataFrame) -> DataFrame:
